@@ -1,0 +1,8 @@
+"""Streaming.
+
+The analytics this library rebuilds have no stream source, trigger, watermark,
+window or state: every one is a batch job over whole tables. Nothing is added
+here on purpose. The operators take and return DataFrames, so those that Spark
+allows on streaming DataFrames (projections, filters, aggregations in complete
+or update mode) apply to ``spark.readStream`` sources unchanged.
+"""
