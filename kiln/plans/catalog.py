@@ -125,7 +125,7 @@ def station_counts(spark, sf):
 # ---- word counts over whole documents -----------------------------------------------------------
 
 def _docs(spark, sf):
-    return tables.table(spark, sf, "documents", ["text"])
+    return tables.table(spark, sf, "documents", ["text"], spread_rows=True)
 
 
 def word_count_ascii(spark, sf):

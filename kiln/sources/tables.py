@@ -14,15 +14,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> DataFrame:
-    """A test table; selecting ``columns`` here lets the scan read only those."""
+def spread(df: DataFrame) -> DataFrame:
+    """Repartition ``df`` only when its scan gives fewer tasks than the cluster has
+    cores (e.g. one large Parquet row group); a scan that is already split across
+    many files or row groups is returned untouched, so no shuffle is added at scale.
+    Filters and column pruning still reach the scan through the repartition."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, columns=None, spread_rows: bool = False) -> DataFrame:
+    """A test table; selecting ``columns`` here lets the scan read only those.
+    ``spread_rows`` applies ``spread`` (for tables with heavy per-row work)."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    if columns:
+        df = df.select(*columns)
+    return spread(df) if spread_rows else df
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ratings view (one row per distinct customer/supplier pair)."""
-    li = table(spark, sf_dir, "lineitem", ["l_orderkey", "l_suppkey", "l_quantity"])
+    li = table(spark, sf_dir, "lineitem", ["l_orderkey", "l_suppkey", "l_quantity"], spread_rows=True)
     od = table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
     joined = li.join(od, li.l_orderkey == od.o_orderkey)
     return (joined.groupBy(F.col("o_custkey").alias("user_id"), F.col("l_suppkey").alias("item_id"))
@@ -56,5 +70,5 @@ def order_graph(spark: SparkSession, sf_dir: str):
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of every document (whole texts), column ``value``."""
     from kiln.sources.text import text_lines
-    docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"], spread_rows=True)
     return text_lines(docs, "text", keep=("doc_id",))
