@@ -46,10 +46,16 @@ def nodes_at_minimum(degrees: DataFrame, connections: str = "connections") -> Da
 
 
 def _levels(edges: DataFrame, start, max_levels: int, target, max_broadcast_rows: int):
-    """Run the BFS loop. Returns (level frames, expansions done, hit level, hits)."""
+    """Run the BFS loop. Returns (level frames, expansions done, hit level, hits).
+
+    Each level is one job: frontier x edges, hits aggregated per reached node
+    (partial aggregate, so a node reached from many frontier rows is combined
+    map-side), already-visited nodes removed by an anti-join, and the new level
+    written to the checkpoint folder. The target test reads that small level."""
     spark = edges.sparkSession
     key_type = edges.schema["src"].dataType
     seed = spark.range(1).select(F.lit(start).cast(key_type).alias("node"), F.lit(0).alias("distance"))
+    # Materialised so the optimizer treats the start as data, not as a constant to fold.
     levels = [reliable_checkpoint(seed)]
     visited_rows = 1
     frontier, frontier_rows = levels[0].select("node"), 1
@@ -61,25 +67,25 @@ def _levels(edges: DataFrame, start, max_levels: int, target, max_broadcast_rows
             break
         front = frontier.select(F.col("node").alias("src"))
         front = F.broadcast(front) if frontier_rows <= max_broadcast_rows else front
-        # (dst, hits): every (frontier node, edge) pair counted, repeated edges included.
-        reached = reliable_checkpoint(edges.join(front, "src").groupBy(F.col("dst").alias("node"))
-                                      .agg(F.count(F.lit(1)).alias("hits")))
-        expansions += 1
-        if target is not None:
-            hit = reached.where(F.col("node") == F.lit(target).cast(key_type)).select("hits").collect()
-            if hit:
-                return levels, expansions, level, int(hit[0][0])
+        # (node, hits): every (frontier node, edge) pair counted, repeated edges included.
+        reached = (edges.join(front, "src").groupBy(F.col("dst").alias("node"))
+                   .agg(F.count(F.lit(1)).alias("hits")))
         visited = levels[0].select("node")
         for lv in levels[1:]:
             visited = visited.unionByName(lv.select("node"))
         if visited_rows <= max_broadcast_rows:
             visited = F.broadcast(visited)
         new = reliable_checkpoint(reached.join(visited, "node", "left_anti")
-                                  .select("node", F.lit(level).alias("distance")))
+                                  .select("node", F.lit(level).alias("distance"), "hits"))
+        expansions += 1
+        if target is not None:
+            hit = new.where(F.col("node") == F.lit(target).cast(key_type)).select("hits").collect()
+            if hit:
+                return levels, expansions, level, int(hit[0][0])
         frontier_rows = new.count()
         visited_rows += frontier_rows
         if frontier_rows:
-            levels.append(new)
+            levels.append(new.select("node", "distance"))
         frontier = new.select("node")
     return levels, expansions, None, 0
 

@@ -48,7 +48,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A partial/final aggregate, so an order holding a large share of all line
     items is combined map-side and never gathered into one task."""
-    li = table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey"])
+    li = table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey"], spread_rows=True)
     return li.groupBy("l_orderkey").agg(F.min("l_partkey").alias("hub"),
                                         F.count(F.lit(1)).alias("n_items"))
 
@@ -58,7 +58,7 @@ def order_graph(spark: SparkSession, sf_dir: str):
 
     ``nodes(node)``: distinct hubs. ``edges(src, dst)``: one row per line item of
     an order whose part differs from the hub (repeated parts stay repeated)."""
-    li = table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey"])
+    li = table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey"], spread_rows=True)
     hubs = order_lines(spark, sf_dir).select("l_orderkey", "hub")
     edges = (li.join(hubs, "l_orderkey")
              .where(F.col("l_partkey") != F.col("hub"))
