@@ -27,7 +27,8 @@ def spread(df: DataFrame) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str, columns=None, spread_rows: bool = False) -> DataFrame:
     """A test table; selecting ``columns`` here lets the scan read only those.
-    ``spread_rows`` applies ``spread`` (for tables with heavy per-row work)."""
+    ``spread_rows`` applies ``spread``: worth it only before heavy per-row work
+    (regex tokenising of whole texts); for cheap rows the extra shuffle costs more."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if columns:
         df = df.select(*columns)
@@ -36,7 +37,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, columns=None, spread_rows
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ratings view (one row per distinct customer/supplier pair)."""
-    li = table(spark, sf_dir, "lineitem", ["l_orderkey", "l_suppkey", "l_quantity"], spread_rows=True)
+    li = table(spark, sf_dir, "lineitem", ["l_orderkey", "l_suppkey", "l_quantity"])
     od = table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
     joined = li.join(od, li.l_orderkey == od.o_orderkey)
     return (joined.groupBy(F.col("o_custkey").alias("user_id"), F.col("l_suppkey").alias("item_id"))
@@ -48,7 +49,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A partial/final aggregate, so an order holding a large share of all line
     items is combined map-side and never gathered into one task."""
-    li = table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey"], spread_rows=True)
+    li = table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey"])
     return li.groupBy("l_orderkey").agg(F.min("l_partkey").alias("hub"),
                                         F.count(F.lit(1)).alias("n_items"))
 
@@ -58,7 +59,7 @@ def order_graph(spark: SparkSession, sf_dir: str):
 
     ``nodes(node)``: distinct hubs. ``edges(src, dst)``: one row per line item of
     an order whose part differs from the hub (repeated parts stay repeated)."""
-    li = table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey"], spread_rows=True)
+    li = table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey"])
     hubs = order_lines(spark, sf_dir).select("l_orderkey", "hub")
     edges = (li.join(hubs, "l_orderkey")
              .where(F.col("l_partkey") != F.col("hub"))
