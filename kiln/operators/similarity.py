@@ -9,10 +9,13 @@ Two shapes:
   joined to the ratings, so the work is linear in the ratings of those users and
   no pair table is built.
 * ``all_pairs_similarity``: the pair table is the definition of the result, so
-  each user's items are paired once (theta condition in the join). Users with
-  more than ``split_rows`` ratings are split into salted slices so that no task
-  pairs a hot user's whole row set with itself; the sums per item pair are
-  combined map-side before the shuffle.
+  each user's items are paired once (theta condition in the join). A user with
+  more than ``split_rows`` ratings is split on a grid: with s = ceil(n /
+  split_rows) slices, each row is hashed to a slice on its own side and copied to
+  every slice of the other side, and the join key becomes (user, a, b). Task
+  (a, b) pairs at most split_rows x split_rows rows, however large the user, and
+  every pair is produced exactly once. Sums per item pair are combined map-side
+  before the shuffle.
 """
 
 from __future__ import annotations
@@ -57,17 +60,20 @@ def rating_pairs(ratings: DataFrame, user: str = "user_id", item: str = "item_id
         n_hot = hot.count()
     if n_hot:
         hot_side = F.broadcast(hot) if n_hot <= max_broadcast_rows else hot
-        tagged = r.join(hot_side, "_u", "left").withColumn("_slices", F.coalesce("_slices", F.lit(1)))
-        left = tagged.withColumn("_s", F.pmod(F.xxhash64("_i"), F.col("_slices")).cast("int"))
-        right = tagged.withColumn("_s", F.explode(F.sequence(F.lit(0), F.col("_slices") - F.lit(1))))
+        tagged = (r.join(hot_side, "_u", "left")
+                  .withColumn("_slices", F.coalesce("_slices", F.lit(1)))
+                  .withColumn("_own", F.pmod(F.xxhash64("_i"), F.col("_slices")).cast("int"))
+                  .withColumn("_all", F.explode(F.sequence(F.lit(0), F.col("_slices") - F.lit(1)))))
+        left = tagged.select("_u", "_i", "_r", F.col("_own").alias("_a"), F.col("_all").alias("_b"))
+        right = tagged.select("_u", "_i", "_r", F.col("_all").alias("_a"), F.col("_own").alias("_b"))
     else:
-        left = r.withColumn("_s", F.lit(0))
-        right = left
+        left = r
+        right = r
     a, b = left.alias("a"), right.alias("b")
     theta = (F.col("a._i") > F.col("b._i")) if orientation == "desc" else (F.col("a._i") < F.col("b._i"))
     cond = (F.col("a._u") == F.col("b._u")) & theta
     if n_hot:
-        cond = cond & (F.col("a._s") == F.col("b._s"))
+        cond = cond & (F.col("a._a") == F.col("b._a")) & (F.col("a._b") == F.col("b._b"))
     return a.join(b, cond).select(
         F.col("a._u").alias("user_id"), F.col("a._i").alias("item_1"), F.col("b._i").alias("item_2"),
         F.col("a._r").alias("rating_1"), F.col("b._r").alias("rating_2"))

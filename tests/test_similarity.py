@@ -98,3 +98,13 @@ def test_golden_similar_to_item_50(spark):
             (114, 0.9741816128, 58)]
     assert [(g[0], g[2]) for g in got] == [(w[0], w[2]) for w in want]
     assert all(math.isclose(g[1], w[1], abs_tol=1e-9) for g, w in zip(got, want))
+
+
+def test_hot_user_grid_split_large(spark):
+    # One user holds most rows (a third or more of the table); an 8 x 8 grid of slices.
+    data = [(1, i, i % 5 + 1) for i in range(40)] + [(u, i, (u + i) % 5 + 1) for u in range(2, 8) for i in range(0, 40, 7)]
+    df = spark.createDataFrame(data, "user_id INT, item_id INT, rating INT")
+    split = rows(all_pairs_similarity(df, split_rows=5))
+    assert split == rows(all_pairs_similarity(df, split_rows=None))
+    want = brute_force(data)
+    assert {(a, b): n for a, b, _, n in split} == {k: v[1] for k, v in want.items()}
