@@ -251,6 +251,12 @@ def contiguous_folds(spark, sf):
     return splits.contiguous_folds(tables.ratings(spark, sf), ["user_id", "item_id"], P.FOLDS)
 
 
+def fold_base(spark, sf):
+    folded = splits.contiguous_folds(tables.ratings(spark, sf), ["user_id", "item_id"], P.FOLDS)
+    _, base = splits.fold_parts(folded, P.BASE_OF_FOLD, order=["user_id", "item_id"])
+    return base
+
+
 def partition_profile(spark, sf):
     return profile.partition_profile(tables.table(spark, sf, "lineitem", ["l_orderkey"]))
 
@@ -293,5 +299,6 @@ QUERIES: dict[str, Query] = {
     "holdout_per_user": holdout_per_user,
     "holdout_capped": holdout_capped,
     "contiguous_folds": contiguous_folds,
+    "fold_base": fold_base,
     "partition_profile": partition_profile,
 }

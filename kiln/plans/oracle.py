@@ -177,5 +177,11 @@ SELECT user_id, item_id, rating,
 FROM n""",
 }
 
+ORACLE["fold_base"] = f"""WITH {_RATINGS},
+n AS (SELECT *, row_number() OVER (ORDER BY user_id, item_id) AS g, count(*) OVER () AS total FROM r),
+f AS (SELECT user_id, item_id, rating,
+  CAST(floor((g - 1) / ceil(CAST(total AS DOUBLE) / {P.FOLDS})) + 1 AS INTEGER) AS fold FROM n)
+SELECT * FROM f WHERE fold <> {P.BASE_OF_FOLD} ORDER BY user_id, item_id"""
+
 ORACLE["top_support_pairs"] = ORACLE["all_pairs_similarity"] + \
     f"\nORDER BY num_pairs DESC, item_1, item_2 LIMIT {P.TOP_PAIRS}"

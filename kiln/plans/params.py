@@ -29,3 +29,4 @@ BFS_LEVELS = 5
 HOLDOUT_START, HOLDOUT_STOP = 1, 10
 HOLDOUT_MAX_TEST = 5000
 FOLDS = 5
+BASE_OF_FOLD = 2

@@ -119,3 +119,14 @@ def test_contiguous_folds_cover_and_are_disjoint(shuffled):
     t, b = [tuple(r)[:2] for r in test.collect()], [tuple(r)[:2] for r in base.collect()]
     assert t == sorted(t) and b == sorted(b)
     assert not set(t) & set(b) and len(t) + len(b) == len(data)
+
+
+def test_bfs_edge_property_on_random_graph(spark):
+    rnd = random.Random(11)
+    edges = [(rnd.randrange(60), rnd.randrange(60)) for _ in range(150)]
+    df = spark.createDataFrame(edges, "src BIGINT, dst BIGINT")
+    dist = {n: d for n, d, _ in rows(bfs(df, 0, max_levels=4))}
+    assert dist == {**{s: 9999 for s, _ in edges}, **python_bfs(edges, 0, 4)}
+    for s, d in edges:
+        if dist[s] < 4:
+            assert dist[d] <= dist[s] + 1
