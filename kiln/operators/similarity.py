@@ -27,6 +27,7 @@ from pyspark.sql.types import DecimalType, IntegralType
 from kiln.functions.numeric import cosine
 from kiln.operators.dimension import DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast
 from kiln.operators.topk import top_k
+from kiln.session import reliable_checkpoint
 
 # Users with more ratings than this are split into ceil(n / split_rows) slices.
 DEFAULT_SPLIT_ROWS = 20_000
@@ -54,6 +55,9 @@ def rating_pairs(ratings: DataFrame, user: str = "user_id", item: str = "item_id
         r = r.repartition(partitions, "_u")
     n_hot = 0
     if split_rows:
+        # The size check and the pair join both read the ratings: write them once
+        # (far smaller than the tables they are derived from) instead of deriving twice.
+        r = reliable_checkpoint(r)
         hot = (r.groupBy("_u").agg(F.count(F.lit(1)).alias("_n"))
                .where(F.col("_n") > F.lit(split_rows))
                .select("_u", F.ceil(F.col("_n") / F.lit(split_rows)).cast("int").alias("_slices")))
