@@ -26,6 +26,17 @@ def _cols(order) -> list[str]:
     return [order] if isinstance(order, str) else list(order)
 
 
+def _join_keys_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join on ``keys`` treating NULL as a value (``<=>``), keeping one copy of each key,
+    so rows with a NULL key are neither dropped nor duplicated."""
+    renamed = right.select(*[F.col(c).alias(f"_rk_{c}") if c in keys else F.col(c) for c in right.columns])
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(renamed[f"_rk_{k}"])
+        cond = c if cond is None else cond & c
+    return left.join(renamed, cond, how).drop(*[f"_rk_{k}" for k in keys])
+
+
 def global_row_number(df: DataFrame, order, alias: str = "row_num", partitions: int | None = None,
                       total: str | None = None) -> DataFrame:
     """``df`` plus a 1-based row number in ``order``; optionally the row count as ``total``."""
@@ -56,7 +67,7 @@ def running_number(df: DataFrame, key, order, alias: str = "rank_in_key") -> Dat
     keys = _cols(key)
     numbered = global_row_number(df, keys + _cols(order), alias="_g")
     first = numbered.groupBy(*keys).agg(F.min("_g").alias("_g0"))
-    return (numbered.join(first, keys)
+    return (_join_keys_null_safe(numbered, first, keys, "inner")
             .withColumn(alias, F.col("_g") - F.col("_g0") + F.lit(1))
             .drop("_g", "_g0"))
 
@@ -75,7 +86,7 @@ def holdout_split(df: DataFrame, user: str, order, start: int, stop: int, max_te
         keys = [user] + order_cols
         first_q = (global_row_number(ranked.where(qualifies).select(*keys), keys, alias="_q")
                    .where(F.col("_q") <= F.lit(max_test)).select(*keys, F.lit(True).alias("_t")))
-        ranked = ranked.join(first_q, keys, "left")
+        ranked = _join_keys_null_safe(ranked, first_q, keys, "left")
         is_test = F.col("_t").isNotNull()
     else:
         is_test = qualifies

@@ -130,3 +130,12 @@ def test_bfs_edge_property_on_random_graph(spark):
     for s, d in edges:
         if dist[s] < 4:
             assert dist[d] <= dist[s] + 1
+
+
+def test_null_user_rows_are_kept(spark):
+    df = spark.createDataFrame([(None, 1, 3), (None, 2, 4), (1, 1, 5), (1, 2, 1), (1, 3, 2)],
+                               "user_id INT, item_id INT, rating INT")
+    got = rows(holdout_split(df, "user_id", ["item_id"], 1, 1, max_test=2), "user_id", "item_id", "part")
+    assert got == [(None, 1, "test"), (None, 2, "base"), (1, 1, "test"), (1, 2, "base"), (1, 3, "base")]
+    ranks = rows(running_number(df, "user_id", ["item_id"]), "user_id", "item_id", "rank_in_key")
+    assert ranks == [(None, 1, 1), (None, 2, 2), (1, 1, 1), (1, 2, 2), (1, 3, 3)]
