@@ -25,7 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # ---- ratings view: histogram, popularity --------------------------------------------------------
 
 def rating_histogram(spark, sf):
-    return gs.group_count(tables.ratings(spark, sf), "rating", "count")
+    return topk.ranked(gs.group_count(tables.ratings(spark, sf), "rating", "count"), ["rating"])
 
 
 def rating_total(spark, sf):

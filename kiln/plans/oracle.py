@@ -53,7 +53,7 @@ HAVING regexp_replace(word, '{_NON_ASCII}', '', 'g') <> ''"""
 
 
 ORACLE: dict[str, str] = {
-    "rating_histogram": f"WITH {_RATINGS} SELECT rating, count(*) AS count FROM r GROUP BY rating",
+    "rating_histogram": f"WITH {_RATINGS} SELECT rating, count(*) AS count FROM r GROUP BY rating ORDER BY rating",
     "rating_total": f"WITH {_RATINGS} SELECT count(*) AS total FROM r",
     "popular_items": f"""SELECT l_partkey, count(*) AS count FROM lineitem GROUP BY l_partkey
 ORDER BY count DESC, l_partkey LIMIT {P.TOP_ITEMS}""",
