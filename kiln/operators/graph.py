@@ -5,15 +5,23 @@ a node DataFrame ``(node)``. BFS is level-synchronous: each level joins the
 frontier to the edges, aggregates the reached nodes, removes visited ones with
 an anti-join and writes the new level to the shared checkpoint folder, which
 cuts the lineage and survives executor loss.
+
+The edges are written once, as Parquet in the checkpoint folder, partitioned by
+a hash bucket of ``src``. A level joins on (bucket, src) with the frontier
+broadcast, so Spark's dynamic partition pruning reads only the buckets that
+hold frontier nodes: the first levels of a search touch a small part of the
+edge table instead of all of it.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.operators.dimension import DEFAULT_MAX_BROADCAST_ROWS
-from kiln.session import reliable_checkpoint
+from kiln.session import ensure_checkpoint_dir, reliable_checkpoint
 
 # BFS state names and the distance of a node that was never reached.
 WHITE, GRAY, BLACK = "WHITE", "GRAY", "BLACK"
@@ -45,8 +53,26 @@ def nodes_at_minimum(degrees: DataFrame, connections: str = "connections") -> Da
     return degrees.join(F.broadcast(low), F.col(connections) == F.col("_min")).drop("_min")
 
 
-def _levels(edges: DataFrame, start, max_levels: int, target, max_broadcast_rows: int):
-    """Run the BFS loop. Returns (level frames, expansions done, hit level, hits).
+def _bucket(col: str, buckets: int):
+    return F.pmod(F.xxhash64(F.col(col)), F.lit(buckets)).cast("int")
+
+
+def edge_table(edges: DataFrame, buckets: int | None = None) -> tuple[DataFrame, int]:
+    """Write ``(src, dst)`` to the checkpoint folder partitioned by ``src_bucket``
+    and read it back. The ``rebalance`` hint lets AQE split a bucket that holds a
+    large share of the edges into several files instead of one task writing it."""
+    spark = edges.sparkSession
+    if buckets is None:
+        buckets = min(4096, max(8, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kiln-edges-{uuid.uuid4().hex}"
+    (edges.select("src", "dst", _bucket("src", buckets).alias("src_bucket"))
+     .hint("rebalance", "src_bucket")
+     .write.partitionBy("src_bucket").parquet(path))
+    return spark.read.parquet(path), buckets
+
+
+def _levels(edges: DataFrame, buckets: int, start, max_levels: int, target, max_broadcast_rows: int):
+    """Run the BFS loop. Returns (reached frame, expansions done, hit level, hits).
 
     Each level is one job: frontier x edges, hits aggregated per reached node
     (partial aggregate, so a node reached from many frontier rows is combined
@@ -57,22 +83,28 @@ def _levels(edges: DataFrame, start, max_levels: int, target, max_broadcast_rows
     seed = spark.range(1).select(F.lit(start).cast(key_type).alias("node"), F.lit(0).alias("distance"))
     # Materialised so the optimizer treats the start as data, not as a constant to fold.
     levels = [reliable_checkpoint(seed)]
-    visited_rows = 1
-    frontier, frontier_rows = levels[0].select("node"), 1
-    expansions = 0
+    visited_rows, frontier_rows, expansions = 1, 1, 0
     if target is not None and target == start:
-        return levels, expansions, 0, 0
+        return levels[0], expansions, 0, 0
+
+    def reached_so_far():
+        out = levels[0]
+        for lv in levels[1:]:
+            out = out.unionByName(lv)
+        return out
+
     for level in range(1, max_levels + 1):
         if frontier_rows == 0:
             break
-        front = frontier.select(F.col("node").alias("src"))
+        # The frontier: the nodes reached at distance level - 1 (the newest level). The
+        # distance predicate on the broadcast side lets dynamic partition pruning run.
+        front = (levels[-1].where(F.col("distance") == F.lit(level - 1))
+                 .select(F.col("node").alias("src"), _bucket("node", buckets).alias("src_bucket")))
         front = F.broadcast(front) if frontier_rows <= max_broadcast_rows else front
         # (node, hits): every (frontier node, edge) pair counted, repeated edges included.
-        reached = (edges.join(front, "src").groupBy(F.col("dst").alias("node"))
+        reached = (edges.join(front, ["src_bucket", "src"]).groupBy(F.col("dst").alias("node"))
                    .agg(F.count(F.lit(1)).alias("hits")))
-        visited = levels[0].select("node")
-        for lv in levels[1:]:
-            visited = visited.unionByName(lv.select("node"))
+        visited = reached_so_far().select("node")
         if visited_rows <= max_broadcast_rows:
             visited = F.broadcast(visited)
         new = reliable_checkpoint(reached.join(visited, "node", "left_anti")
@@ -81,13 +113,12 @@ def _levels(edges: DataFrame, start, max_levels: int, target, max_broadcast_rows
         if target is not None:
             hit = new.where(F.col("node") == F.lit(target).cast(key_type)).select("hits").collect()
             if hit:
-                return levels, expansions, level, int(hit[0][0])
+                return reached_so_far(), expansions, level, int(hit[0][0])
         frontier_rows = new.count()
         visited_rows += frontier_rows
         if frontier_rows:
             levels.append(new.select("node", "distance"))
-        frontier = new.select("node")
-    return levels, expansions, None, 0
+    return reached_so_far(), expansions, None, 0
 
 
 def bfs(edges: DataFrame, start, nodes: DataFrame | None = None, max_levels: int = 5,
@@ -98,11 +129,8 @@ def bfs(edges: DataFrame, start, nodes: DataFrame | None = None, max_levels: int
     node: node, distance (``UNREACHED`` if not reached within ``max_levels``), and
     color: BLACK = expanded, GRAY = reached on the last level but not expanded,
     WHITE = not reached."""
-    edges = reliable_checkpoint(edges.select("src", "dst"))
-    levels, expansions, _, _ = _levels(edges, start, max_levels, None, max_broadcast_rows)
-    reached = levels[0]
-    for lv in levels[1:]:
-        reached = reached.unionByName(lv)
+    edges, buckets = edge_table(edges)
+    reached, expansions, _, _ = _levels(edges, buckets, start, max_levels, None, max_broadcast_rows)
     base = (nodes.select("node") if nodes is not None else edges.select(F.col("src").alias("node")))
     everyone = base.unionByName(reached.select("node")).distinct()
     out = everyone.join(reached, "node", "left")
@@ -121,8 +149,8 @@ def bfs_target(edges: DataFrame, start, target, max_levels: int = 5,
     One row: start, target, degrees (the level, i.e. degrees of separation; NULL
     when not reached within ``max_levels``; 0 when target is start) and hits (the
     number of frontier-edge pairs that reached it on that level)."""
-    edges = reliable_checkpoint(edges.select("src", "dst"))
-    _, _, level, hits = _levels(edges, start, max_levels, target, max_broadcast_rows)
+    edges, buckets = edge_table(edges)
+    _, _, level, hits = _levels(edges, buckets, start, max_levels, target, max_broadcast_rows)
     key_type = edges.schema["src"].dataType
     return edges.sparkSession.range(1).select(
         F.lit(start).cast(key_type).alias("start"), F.lit(target).cast(key_type).alias("target"),
