@@ -19,10 +19,12 @@ def spread(df: DataFrame) -> DataFrame:
     cores (e.g. one large Parquet row group); a scan that is already split across
     many files or row groups is returned untouched, so no shuffle is added at scale.
     Filters and column pruning still reach the scan through the repartition."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # sessions without the RDD API (Spark Connect): leave the scan as it is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, columns=None, spread_rows: bool = False) -> DataFrame:
