@@ -30,7 +30,7 @@ from kiln.operators.topk import top_k
 from kiln.session import reliable_checkpoint
 
 # Users with more ratings than this are split into ceil(n / split_rows) slices.
-DEFAULT_SPLIT_ROWS = 20_000
+DEFAULT_SPLIT_ROWS = 5_000
 
 
 def _normalise(ratings: DataFrame, user: str, item: str, rating: str) -> DataFrame:
