@@ -65,10 +65,10 @@ def edge_table(edges: DataFrame, buckets: int | None = None) -> tuple[DataFrame,
     if buckets is None:
         buckets = min(4096, max(8, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kiln-edges-{uuid.uuid4().hex}"
-    (edges.select("src", "dst", _bucket("src", buckets).alias("src_bucket"))
-     .hint("rebalance", "src_bucket")
-     .write.partitionBy("src_bucket").parquet(path))
-    return spark.read.parquet(path), buckets
+    table = edges.select("src", "dst", _bucket("src", buckets).alias("src_bucket"))
+    table.hint("rebalance", "src_bucket").write.partitionBy("src_bucket").parquet(path)
+    # Explicit schema: an empty edge table writes no files to infer one from.
+    return spark.read.schema(table.schema).parquet(path), buckets
 
 
 def _levels(edges: DataFrame, buckets: int, start, max_levels: int, target, max_broadcast_rows: int):
