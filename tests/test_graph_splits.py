@@ -139,3 +139,16 @@ def test_null_user_rows_are_kept(spark):
     assert got == [(None, 1, "test"), (None, 2, "base"), (1, 1, "test"), (1, 2, "base"), (1, 3, "base")]
     ranks = rows(running_number(df, "user_id", ["item_id"]), "user_id", "item_id", "rank_in_key")
     assert ranks == [(None, 1, 1), (None, 2, 2), (1, 1, 1), (1, 2, 2), (1, 3, 3)]
+
+
+def test_hot_user_is_split_across_range_partitions(spark):
+    from pyspark.sql import functions as F
+    data = [(1, i, 1) for i in range(2000)] + [(u, i, 2) for u in range(2, 100) for i in range(10)]
+    df = spark.createDataFrame(data, "user_id INT, item_id INT, rating INT")
+    ranged = df.repartitionByRange(8, "user_id", "item_id")
+    hot_parts = ranged.where(F.col("user_id") == 1).select(F.spark_partition_id()).distinct().count()
+    assert hot_parts >= 4  # the hot user's rows are spread over several tasks
+    got = rows(global_row_number(df, ["user_id", "item_id"], partitions=8), "row_num")
+    assert got == [(n,) for n in range(1, len(data) + 1)]
+    ranks = running_number(df, "user_id", ["item_id"]).where(F.col("user_id") == 1)
+    assert rows(ranks, "rank_in_key") == [(n,) for n in range(1, 2001)]
