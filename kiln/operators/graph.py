@@ -110,11 +110,13 @@ def _levels(edges: DataFrame, buckets: int, start, max_levels: int, target, max_
         new = reliable_checkpoint(reached.join(visited, "node", "left_anti")
                                   .select("node", F.lit(level).alias("distance"), "hits"))
         expansions += 1
-        if target is not None:
-            hit = new.where(F.col("node") == F.lit(target).cast(key_type)).select("hits").collect()
-            if hit:
-                return reached_so_far(), expansions, level, int(hit[0][0])
-        frontier_rows = new.count()
+        # One small job over the new level: its size and, when searching, the target's hits.
+        target_hits = (F.max(F.when(F.col("node") == F.lit(target).cast(key_type), F.col("hits")))
+                       if target is not None else F.lit(None))
+        summary = new.agg(F.count(F.lit(1)).alias("rows"), target_hits.alias("hits")).first()
+        if summary["hits"] is not None:
+            return reached_so_far(), expansions, level, int(summary["hits"])
+        frontier_rows = summary["rows"]
         visited_rows += frontier_rows
         if frontier_rows:
             levels.append(new.select("node", "distance"))
