@@ -234,7 +234,10 @@ def top_support_pairs(spark, sf):
 # ---- sums, splits, layout -----------------------------------------------------------------------
 
 def sum_of_squares(spark, sf):
-    return gs.sum_of_squares(tables.table(spark, sf, "lineitem", ["l_orderkey"]), "l_orderkey")
+    exact = gs.sum_of_squares(tables.table(spark, sf, "lineitem", ["l_orderkey"]), "l_orderkey", "_s")
+    # The exact DECIMAL as text, plus its double value: both compare the same however fetched.
+    return exact.select(F.col("_s").cast("double").alias("sum_of_squares"),
+                        F.col("_s").cast("string").alias("sum_of_squares_exact"), "n")
 
 
 def holdout_per_user(spark, sf):

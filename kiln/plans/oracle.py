@@ -155,8 +155,8 @@ SELECT item_1, item_2,
        ELSE numerator / (sqrt(xx) * sqrt(yy)) END AS score,
   num_pairs
 FROM g""",
-    "sum_of_squares": """SELECT CAST(sum(CAST(l_orderkey AS HUGEINT) * l_orderkey) AS DECIMAL(38,0)) AS sum_of_squares,
-  count(*) AS n FROM lineitem""",
+    "sum_of_squares": """WITH s AS (SELECT sum(CAST(l_orderkey AS HUGEINT) * l_orderkey) AS total, count(*) AS n FROM lineitem)
+SELECT CAST(total AS DOUBLE) AS sum_of_squares, CAST(total AS VARCHAR) AS sum_of_squares_exact, n FROM s""",
     "holdout_per_user": f"""WITH {_RATINGS},
 k AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY item_id) AS rk FROM r)
 SELECT user_id, item_id, rating,
