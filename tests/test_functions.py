@@ -72,3 +72,8 @@ def test_cosine_zero_denominator(spark):
     zero_score = [r[0] for r in df.select(cosine("n", "xx", "yy", "zero")).collect()]
     assert null_score[0] is None and zero_score[0] == 0.0
     assert math.isclose(null_score[1], 6 / (2 * 3)) and zero_score[1] == null_score[1]
+
+
+def test_lower_matches_python_on_special_cases(spark):
+    vals = ["ΟΔΟΣ ΣΑΣ", "İstanbul", "ẞTRASSE", "ÉCOLE Ünïcode", "ǅemal", "ΌΣΟΣ."]
+    assert _one(spark, F.lower(F.col("v")), vals) == [v.lower() for v in vals]
