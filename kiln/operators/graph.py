@@ -71,7 +71,8 @@ def edge_table(edges: DataFrame, buckets: int | None = None) -> tuple[DataFrame,
     return spark.read.schema(table.schema).parquet(path), buckets
 
 
-def _levels(edges: DataFrame, buckets: int, start, max_levels: int, target, max_broadcast_rows: int):
+def _levels(edges: DataFrame, buckets: int, start, max_levels: int, target, max_broadcast_rows: int,
+            strict_neighbours: bool = False):
     """Run the BFS loop. Returns (reached frame, expansions done, hit level, hits).
 
     Each level is one job: frontier x edges, hits aggregated per reached node
@@ -84,7 +85,10 @@ def _levels(edges: DataFrame, buckets: int, start, max_levels: int, target, max_
     # Materialised so the optimizer treats the start as data, not as a constant to fold.
     levels = [reliable_checkpoint(seed)]
     visited_rows, frontier_rows, expansions = 1, 1, 0
-    if target is not None and target == start:
+    # Only neighbours are tested in strict mode, so a start that is also the target is found
+    # again through a back edge or a self-loop; otherwise it is found at distance 0.
+    find_start_again = target is not None and target == start and strict_neighbours
+    if target is not None and target == start and not strict_neighbours:
         return levels[0], expansions, 0, 0
 
     def reached_so_far():
@@ -104,6 +108,10 @@ def _levels(edges: DataFrame, buckets: int, start, max_levels: int, target, max_
         # (node, hits): every (frontier node, edge) pair counted, repeated edges included.
         reached = (edges.join(front, ["src_bucket", "src"]).groupBy(F.col("dst").alias("node"))
                    .agg(F.count(F.lit(1)).alias("hits")))
+        if find_start_again:
+            back = reached.where(F.col("node") == F.lit(start).cast(key_type)).agg(F.sum("hits")).first()[0]
+            if back:
+                return reached_so_far(), expansions + 1, level, int(back)
         visited = reached_so_far().select("node")
         if visited_rows <= max_broadcast_rows:
             visited = F.broadcast(visited)
@@ -145,14 +153,18 @@ def bfs(edges: DataFrame, start, nodes: DataFrame | None = None, max_levels: int
 
 
 def bfs_target(edges: DataFrame, start, target, max_levels: int = 5,
-               max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+               max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+               strict_neighbours: bool = False) -> DataFrame:
     """Search for ``target``: stop at the first level whose expansion reaches it.
 
     One row: start, target, degrees (the level, i.e. degrees of separation; NULL
-    when not reached within ``max_levels``; 0 when target is start) and hits (the
-    number of frontier-edge pairs that reached it on that level)."""
+    when not reached within ``max_levels``) and hits (the number of frontier-edge
+    pairs that reached it on that level). A target equal to the start is found at
+    0, or with ``strict_neighbours`` only through its neighbours (a self-loop gives
+    1, a back edge 2), as a search that tests neighbours only does."""
     edges, buckets = edge_table(edges)
-    _, _, level, hits = _levels(edges, buckets, start, max_levels, target, max_broadcast_rows)
+    _, _, level, hits = _levels(edges, buckets, start, max_levels, target, max_broadcast_rows,
+                                strict_neighbours)
     key_type = edges.schema["src"].dataType
     return edges.sparkSession.range(1).select(
         F.lit(start).cast(key_type).alias("start"), F.lit(target).cast(key_type).alias("target"),

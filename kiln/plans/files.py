@@ -133,14 +133,14 @@ def node_popularity(spark: SparkSession, graph_path: str, names_path: str,
 
 
 def separation(spark: SparkSession, graph_path: str, start: int, target: int | None = None,
-               max_levels: int = 5) -> DataFrame:
+               max_levels: int = 5, strict_neighbours: bool = False) -> DataFrame:
     """BFS over an adjacency file: distances from ``start`` or, with a target, its
     degrees of separation and the number of hits on that level."""
     edges = adjacency_edges(parse_adjacency(read_lines(spark, graph_path), id_type="int"))
     if target is None:
         nodes = parse_adjacency(read_lines(spark, graph_path), id_type="int").select("node").distinct()
         return graph.bfs(edges, start, nodes=nodes, max_levels=max_levels)
-    return graph.bfs_target(edges, start, target, max_levels=max_levels)
+    return graph.bfs_target(edges, start, target, max_levels=max_levels, strict_neighbours=strict_neighbours)
 
 
 def leave_out(spark: SparkSession, ratings_path: str, start: int, stop: int, max_test: int = 0) -> DataFrame:

@@ -152,3 +152,13 @@ def test_hot_user_is_split_across_range_partitions(spark):
     assert got == [(n,) for n in range(1, len(data) + 1)]
     ranks = running_number(df, "user_id", ["item_id"]).where(F.col("user_id") == 1)
     assert rows(ranks, "rank_in_key") == [(n,) for n in range(1, 2001)]
+
+
+def test_bfs_target_strict_neighbours(spark):
+    back = spark.createDataFrame([(1, 2), (2, 1), (2, 3)], "src BIGINT, dst BIGINT")
+    assert tuple(bfs_target(back, 1, 1).first())[2:] == (0, 0)
+    assert tuple(bfs_target(back, 1, 1, strict_neighbours=True).first())[2:] == (2, 1)
+    loop = spark.createDataFrame([(1, 1), (1, 1), (1, 2)], "src BIGINT, dst BIGINT")
+    assert tuple(bfs_target(loop, 1, 1, strict_neighbours=True).first())[2:] == (1, 2)
+    none = spark.createDataFrame([(1, 2)], "src BIGINT, dst BIGINT")
+    assert tuple(bfs_target(none, 1, 1, strict_neighbours=True).first())[2:] == (None, 0)
