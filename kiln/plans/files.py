@@ -10,7 +10,7 @@ Formats (fixed by the files, not by kiln):
   item names ``id|title|...`` or ``id::title::genres`` in ISO-8859-1; people
   ``id,name,age,friends``; orders ``customer,order,amount``; weather
   ``station,date,measure,tenths_celsius[,...]``; graph lines ``node n1 n2 ...``;
-  hero names ``id "NAME"`` in ISO-8859-1.
+  node names ``id "NAME"`` in ISO-8859-1.
 """
 
 from __future__ import annotations
