@@ -63,7 +63,8 @@ def edge_table(edges: DataFrame, buckets: int | None = None) -> tuple[DataFrame,
     large share of the edges into several files instead of one task writing it."""
     spark = edges.sparkSession
     if buckets is None:
-        buckets = min(4096, max(8, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+        # About one bucket per core: fine-grained pruning on a cluster, few files locally.
+        buckets = min(4096, max(8, spark.sparkContext.defaultParallelism))
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kiln-edges-{uuid.uuid4().hex}"
     table = edges.select("src", "dst", _bucket("src", buckets).alias("src_bucket"))
     table.hint("rebalance", "src_bucket").write.partitionBy("src_bucket").parquet(path)

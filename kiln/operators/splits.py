@@ -41,8 +41,10 @@ def global_row_number(df: DataFrame, order, alias: str = "row_num", partitions:
                       total: str | None = None) -> DataFrame:
     """``df`` plus a 1-based row number in ``order``; optionally the row count as ``total``."""
     cols = _cols(order)
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = reliable_checkpoint(df.repartitionByRange(n, *cols).sortWithinPartitions(*cols))
+    # Without an explicit count AQE sizes the range partitions to the data, merging only
+    # adjacent ranges, so partition order remains the global order.
+    ranged = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
+    ranged = reliable_checkpoint(ranged.sortWithinPartitions(*cols))
     tagged = ranged.select("*", F.spark_partition_id().alias("_pid"),
                            F.monotonically_increasing_id().alias("_pos"))
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
