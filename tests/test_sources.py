@@ -75,3 +75,12 @@ def test_bad_id_becomes_null(spark, tmp_path):
     path = _write(tmp_path, "g.txt", b"x 1 2\n3 4\n")
     adj = parse_adjacency(read_lines(spark, path))
     assert rows(adj.where(F.col("node").isNull()), "neighbours") == [([1, 2],)]
+
+
+def test_double_colon_dimension_latin1_bounded(spark, tmp_path):
+    data = "".join(f"{i}::Film {i} (19{i:02d})::Comedy|Drama\n" for i in range(1, 13)) + "13::Amélie (2001)::Romance\n"
+    path = _write(tmp_path, "movies.dat", data.encode("latin-1"))
+    names = read_dimension(spark, path, sep="::", key="movieID", name="title")
+    assert names.count() == 13 and rows(names.where("movieID = 13"), "title") == [("Amélie (2001)",)]
+    first = read_dimension(spark, path, sep="::", key="movieID", name="title", max_lines=10, order_by="movieID")
+    assert rows(first, "movieID") == [(i,) for i in range(1, 11)]
