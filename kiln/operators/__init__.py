@@ -13,9 +13,10 @@ from kiln.operators.splits import (contiguous_folds, fold_parts, global_row_numb
                                    running_number)
 from kiln.operators.text import token_total, tokens, word_count
 from kiln.operators.topk import first_row, preview, ranked, top_k
+from kiln.operators.graph import edge_table
 
 __all__ = [
-    "all_pairs_similarity", "bfs", "bfs_target", "checked_broadcast", "closed_form_square_sum",
+    "all_pairs_similarity", "bfs", "bfs_target", "checked_broadcast", "closed_form_square_sum", "edge_table",
     "contiguous_folds", "degree_ranking", "distinct_keys", "first_row", "fits_broadcast",
     "fold_parts", "global_extreme", "global_row_number", "group_count", "group_extreme",
     "group_mean", "group_mean_by_parts", "group_sum", "holdout_split", "least_connected", "lookup",
