@@ -18,7 +18,8 @@ def read_latin1_lines(spark: SparkSession, path: str, encoding: str = "ISO-8859-
     """One row per line decoded with ``encoding`` (the text source ignores encodings).
 
     Uses the CSV reader with quoting off and a NUL separator, so the whole line
-    lands in ``value``. Blank lines are skipped, as the CSV reader does."""
+    lands in ``value`` (a line that itself contains a NUL byte keeps only the part
+    before it). Blank lines are skipped, as the CSV reader does."""
     return (spark.read
             .option("sep", "\u0000").option("quote", "").option("escape", "")
             .option("encoding", encoding).option("header", "false")
