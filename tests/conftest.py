@@ -18,6 +18,7 @@ def spark():
     session = (SparkSession.builder.master("local[*]")
                .appName("kiln-tests")
                .config("spark.sql.shuffle.partitions", "8")
+               .config("spark.driver.memory", "4g")
                .config("spark.sql.adaptive.enabled", "true")
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.ui.enabled", "false")
