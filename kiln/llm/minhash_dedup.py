@@ -11,11 +11,11 @@
 3. Overlaps from the lists, first as stars: in each list every class is paired with three hubs
    (the class with the smallest id, and the first and the last by hash). The union-sketch estimate drops pairs far
    below the threshold, the full sets confirm the rest, and connected components are formed.
-4. What a star cannot see are links between two classes of one list that both missed the
-   hub. Lists whose classes are still in several components are therefore compared in full,
-   in blocks of BLOCK classes, pairs of different components only: the estimate first, then
-   the full sets, within the list of the smallest value that the pair shares. Only confirmed
-   links leave a task. Every pair of one list is thus in one component or has been compared.
+4. What a star cannot see are links between two classes of one list that are no hubs of it.
+   Where these are still in several components, they are compared in full, in blocks of
+   BLOCK classes, pairs of different components only: the estimate first, then the full
+   sets, within the list with the smallest key that the pair shares. Only confirmed links
+   leave a task. Every pair of one list is thus in one component or has been compared.
 5. Components again, and every row gets the component of its class.
 
 No list is capped. Null and empty texts have an empty set and are linked with nothing.
@@ -341,10 +341,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     lists = written(lists.join(several, "key"))
     texts = written(_texts(source, lists.select("c", "id").distinct()))
     hubs = lists.groupBy("key").agg(F.min_by("c", "id").alias("h1"), F.min("c").alias("h2"), F.max("c").alias("h3"))
-    stars = (lists.join(hubs, "key").select("c", F.explode(F.array("h1", "h2", "h3")).alias("h")).where("c != h")
+    starred = lists.join(hubs, "key")
+    stars = (starred.select("c", F.explode(F.array("h1", "h2", "h3")).alias("h")).where("c != h")
              .select(F.least("c", "h").alias("a"), F.greatest("c", "h").alias("b")).distinct())
     links = written(_confirmed(stars, texts))
-    more = written(_residual(lists.select("key", "c"), components(links), texts))
+    others = starred.where("c not in (h1, h2, h3)").select("key", "c")
+    more = written(_residual(others, components(links), texts))
     label = components(links.union(more))
     ids = (classes.select("digest", "c", "id").join(label, F.col("c") == F.col("v"), "left")
            .select("digest", "id", F.coalesce("component", "c").alias("component")))
