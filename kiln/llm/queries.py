@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kiln.llm import bpe_automaton, decontaminate, minhash_dedup, quality_rules, secret_scan
+from kiln.llm import bpe_automaton, decontaminate, minhash_dedup, quality_rules, secret_scan, substring_dedup
 from kiln.llm.common import table
 
 #: Folder of the public vocabulary files: a parameter of the package that installs them.
@@ -46,6 +46,13 @@ def op5_minhash_dedup(spark, sf_dir):
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark, sf_dir):
+    """Words of every document before and after passages that occur elsewhere are removed."""
+    done = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    kept = F.coalesce(F.sha2(F.col("kept").cast("binary"), 256), F.col("digest"))
+    return done.select("doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
+
+
 def op10_bpe_automaton(spark, sf_dir):
     """Ids of every document by the automaton, and the text they decode to, as digests."""
     done = bpe_automaton.encode_decode(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
@@ -55,5 +62,5 @@ def op10_bpe_automaton(spark, sf_dir):
 
 
 LLM_QUERIES = {f.__name__: f for f in (
-    op1_secret_scan, op3_decontamination, op4_quality_rules, op5_minhash_dedup, op10_bpe_automaton)}
+    op1_secret_scan, op3_decontamination, op4_quality_rules, op5_minhash_dedup, op7_substring_dedup, op10_bpe_automaton)}
 LLM_ORACLE: dict[str, str] = {}
