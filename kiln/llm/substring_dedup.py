@@ -238,8 +238,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 pa.array([hashlib.sha256(j).hexdigest() for j in joined], pa.string()),
                 pa.array([_name(j) for j in joined], pa.int64())], names=["doc_id", "n_words", "digest", "c"])
 
-    # The classes' texts are shuffled once: the three uses below share the exchange.
-    classes = (source.select("text").mapInArrow(packed, "c long, blob binary")
+    # The classes' texts are shuffled once: the three uses below share the exchange. (A nullable c
+    # would get a filter in the one use that joins it inside, and a second exchange.)
+    classes = (source.select("text").mapInArrow(packed, "c long not null, blob binary")
                .groupBy("c").agg(F.count(F.lit(1)).alias("m"), F.first("blob").alias("blob")))
     windows = _met(_windows(classes, _met(_anchors(classes))))
     remains = _remains(classes, windows)
