@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kiln.llm import bpe_automaton, decontaminate, minhash_dedup, quality_rules, secret_scan, substring_dedup
+from kiln.llm import bpe_automaton, decontaminate, minhash_dedup, quality_rules, secret_scan, substring_dedup, token_files
 from kiln.llm.common import table
 
 #: Folder of the public vocabulary files: a parameter of the package that installs them.
@@ -29,6 +29,12 @@ def op1_secret_scan(spark, sf_dir):
                         secret_scan.spans_text(F.col("spans")).alias("spans"))
 
 
+def op2_token_files(spark, sf_dir):
+    """Ids of every document, written to token files and read back: place, number and checksum."""
+    path = token_files.encode_files(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=2)
+    return token_files.with_crc32(token_files.read_files(spark, path))
+
+
 def op3_decontamination(spark, sf_dir):
     """Pairs of a document and a benchmark item that it holds."""
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -62,5 +68,5 @@ def op10_bpe_automaton(spark, sf_dir):
 
 
 LLM_QUERIES = {f.__name__: f for f in (
-    op1_secret_scan, op3_decontamination, op4_quality_rules, op5_minhash_dedup, op7_substring_dedup, op10_bpe_automaton)}
+    op1_secret_scan, op2_token_files, op3_decontamination, op4_quality_rules, op5_minhash_dedup, op7_substring_dedup, op10_bpe_automaton)}
 LLM_ORACLE: dict[str, str] = {}
