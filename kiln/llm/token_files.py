@@ -13,8 +13,8 @@ Blocks hold whole documents, about BLOCK_IDS ids or else one document. The ranks
 table beside the blocks. Decoding is by table lookup in numpy: a control byte gives four
 widths; their running sum gives where each rank starts.
 
-Ids come from the tokenizers library, a whole white-space-separated chunk at a time: the
-tokenizer splits at white space anyway, so chunks can be remembered. ``end_id`` closes each
+Ids come from the tokenizers library, a white-space-separated chunk at a time: the tokenizer
+splits at white space anyway, so chunks can be remembered. ``end_id`` closes each
 document. Null and empty texts have the end id only. Rows are written in ascending order of
 doc_id, null ids first; rows that repeat an id follow each other in the order of their ids'
 bytes. Other columns are not read. An empty table gives no blocks and no ranks.
@@ -31,30 +31,35 @@ from kiln.llm.common import pick, scratch_folder, ship, written
 
 #: Ids in a block, about; and chunks a task remembers (emptied when full: a memory bound only).
 BLOCK_IDS = 1 << 16
-CACHE = 400_000
+CACHE = 1_500_000
 
 #: control byte -> the widths of its four ids.
-WIDTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1
+WIDTHS = (((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1).astype(np.uint8)
 
 
 def pack_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """(control, data) of an array of ranks below 2^32."""
-    n = len(ranks)
-    width = 1 + (ranks > 0xFF).astype(np.int64) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
+    n, widest = len(ranks), max(1, (int(ranks.max(initial=0)).bit_length() + 7) // 8)
+    used = np.empty((n, widest), bool)  # which bytes of each rank are written
+    used[:, 0] = True
     codes = np.zeros(-(-n // 4) * 4, np.uint8)
-    codes[:n] = width - 1
-    control = (codes.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(1, dtype=np.uint8)
-    octets = ranks.astype("<u4").view(np.uint8).reshape(n, 4)
-    return control.tobytes(), octets[np.arange(4) < width[:, None]].tobytes()
+    for k in range(1, widest):
+        used[:, k] = ranks >= 1 << 8 * k
+        codes[:n] += used[:, k]
+    codes = codes.reshape(-1, 4)
+    control = codes[:, 0] | codes[:, 1] << 2 | codes[:, 2] << 4 | codes[:, 3] << 6
+    octets = ranks.astype("<u4", copy=False).view(np.uint8).reshape(n, 4)
+    return control.tobytes(), octets[:, :widest][used].tobytes()
 
 
 def unpack_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
     width = WIDTHS[np.frombuffer(control, np.uint8)].ravel()[:n]
-    start = np.cumsum(width) - width
-    octets = np.concatenate([np.frombuffer(data, np.uint8), np.zeros(3, np.uint8)])
-    out = np.zeros(n, np.uint32)
-    for k in range(4):
-        out |= np.where(width > k, octets[start + k], 0).astype(np.uint32) << np.uint32(8 * k)
+    start = np.cumsum(width, dtype=np.int64) - width
+    octets = np.frombuffer(data, np.uint8)
+    out = octets[start].astype(np.uint32)
+    for k in range(1, int(width.max(initial=1))):
+        at = np.flatnonzero(width > k)
+        out[at] |= octets[start[at] + k].astype(np.uint32) << np.uint32(8 * k)
     return out
 
 
@@ -74,15 +79,33 @@ class ChunkEncoder:
         if len(self.known) > CACHE:
             self.known.clear()
         known = self.known
-        new = list({c for of in chunks for c in of if c not in known})
-        for lo in range(0, len(new), 4096):
-            part = new[lo:lo + 4096]
-            done = self.tokenizer.encode_batch_fast([c.decode() for c in part], add_special_tokens=False)
-            for c, e in zip(part, done):
-                known[c] = np.array(e.ids, "<u4").tobytes()
+        missing = {c for of in chunks for c in of if c not in known}
+        if missing:
+            parts = {c: _parts(c) for c in missing}
+            new = list({p for of in parts.values() for p in of if p not in known})
+            for lo in range(0, len(new), 4096):
+                part = new[lo:lo + 4096]
+                done = self.tokenizer.encode_batch_fast([c.decode() for c in part], add_special_tokens=False)
+                for c, e in zip(part, done):
+                    known[c] = np.array(e.ids, "<u4").tobytes()
+            for c, of in parts.items():
+                known[c] = b"".join([known[p] for p in of])
         return [b"".join([known[c] for c in of]) for of in chunks]
 
 
+def _parts(chunk: bytes) -> list[bytes]:
+    """Pieces of a chunk that the tokenizer encodes alike by themselves: it lower-cases (done here
+    for plain ASCII without special tokens) and cuts between a letter or digit and punctuation."""
+    if chunk.isascii():
+        if b"<|" in chunk:
+            return [chunk]
+        chunk = chunk.lower()
+    core = chunk.rstrip(b".,;:!?")
+    if core and len(core) < len(chunk) and core.decode()[-1].isalnum():
+        return [core, chunk[len(core):]]
+    return [chunk]
+
+
 _ENCODERS: dict[str, ChunkEncoder] = {}
 
 
@@ -118,7 +141,7 @@ def tokenized(docs: DataFrame, vocabulary: str, end_id: int, id_col: str = "doc_
 
 
 def _ids(data: bytes, wide: bool) -> np.ndarray:
-    return np.frombuffer(data, "<u4" if wide else "<u2").astype(np.uint32)
+    return np.frombuffer(data, "<u4" if wide else "<u2")
 
 
 def id_counts(tokens: DataFrame) -> DataFrame:
