@@ -101,7 +101,7 @@ def _parts(chunk: bytes) -> list[bytes]:
             return [chunk]
         chunk = chunk.lower()
     core = chunk.rstrip(b".,;:!?")
-    if core and len(core) < len(chunk) and core.decode()[-1].isalnum():
+    if core and len(core) < len(chunk) and core.decode().lower()[-1].isalnum():
         return [core, chunk[len(core):]]
     return [chunk]
 
