@@ -83,3 +83,15 @@ def word_hashes(words: list[str]) -> np.ndarray:
     if not words:
         return np.zeros(0, np.uint64)
     return pd.util.hash_array(np.array(words, dtype=object), categorize=False)
+
+
+def ranges(sizes, limit: int):
+    """Ranges (from, to) of rows whose sizes add up to about ``limit``, one row at least."""
+    start, total = 0, 0
+    for k, size in enumerate(sizes):
+        total += size
+        if total >= limit:
+            yield start, k + 1
+            start, total = k + 1, 0
+    if start < len(sizes):
+        yield start, len(sizes)

@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.common import mix, pick, ship
+from kiln.llm.common import mix, pick, ranges, ship
 
 WINDOW = 35
 ANCHOR = 15
@@ -45,18 +45,6 @@ CHUNK = 8 << 20
 _A, _B = np.uint64(0xD1342543DE82EF95), np.uint64(0xAF251AF3B0F025B5)
 
 
-def _parts(sizes: list[int]):
-    """Ranges of rows of about CHUNK bytes."""
-    start, total = 0, 0
-    for k, size in enumerate(sizes):
-        total += size
-        if total >= CHUNK:
-            yield start, k + 1
-            start, total = k + 1, 0
-    if start < len(sizes):
-        yield start, len(sizes)
-
-
 def sequence_hash(words: np.ndarray, at: np.ndarray, n: int, base: np.uint64) -> np.ndarray:
     """Hash of the n words from each place of ``at`` on."""
     h = np.zeros(len(at), np.uint64)
@@ -133,7 +121,7 @@ def _anchors(classes: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             names, blobs = batch.column(0).to_numpy(), batch.column(2).to_pylist()
-            for lo, hi in _parts([len(b) * 4 for b in blobs]):
+            for lo, hi in ranges([len(b) * 4 for b in blobs], CHUNK):
                 texts = _Texts(blobs[lo:hi])
                 at, of = [], []
                 for k, n in enumerate(texts.n):
@@ -156,7 +144,7 @@ def _windows(classes: DataFrame, anchors: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             names, blobs, hits = batch.column(0).to_numpy(), batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            for lo, hi in _parts([len(b) * 4 for b in blobs]):
+            for lo, hi in ranges([len(b) * 4 for b in blobs], CHUNK):
                 texts = _Texts(blobs[lo:hi])
                 at, of = [], []
                 for k, n in enumerate(texts.n):

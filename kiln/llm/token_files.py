@@ -22,17 +22,23 @@ bytes. Other columns are not read. An empty table gives no blocks and no ranks.
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm.common import pick, scratch_folder, ship, written
+from kiln.llm.common import pick, ranges, scratch_folder, ship, written
 
 #: Ids in a block, about; and chunks a task remembers (emptied when full: a memory bound only).
 BLOCK_IDS = 1 << 16
 CACHE = 1_500_000
 
+#: Bytes of text encoded at once.
+SLICE = 8 << 20
+
 #: control byte -> the widths of its four ids.
 WIDTHS = (((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1).astype(np.uint8)
 
@@ -67,41 +73,59 @@ class ChunkEncoder:
     """Ids of texts by one vocabulary file, remembering the chunks between white space."""
 
     def __init__(self, spec: str):
+        # One thread: Spark runs a task on each core already.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[bytes, bytes] = {}
+        self.known: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        chunks = [t.encode().split() for t in texts]  # bytes split at ASCII white space only
+    def _chunk_ids(self, chunks: list[str]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each of the distinct chunks."""
         if len(self.known) > CACHE:
             self.known.clear()
         known = self.known
-        missing = {c for of in chunks for c in of if c not in known}
-        if missing:
-            parts = {c: _parts(c) for c in missing}
-            new = list({p for of in parts.values() for p in of if p not in known})
-            for lo in range(0, len(new), 4096):
-                part = new[lo:lo + 4096]
-                done = self.tokenizer.encode_batch_fast([c.decode() for c in part], add_special_tokens=False)
-                for c, e in zip(part, done):
-                    known[c] = np.array(e.ids, "<u4").tobytes()
-            for c, of in parts.items():
-                known[c] = b"".join([known[p] for p in of])
-        return [b"".join([known[c] for c in of]) for of in chunks]
-
-
-def _parts(chunk: bytes) -> list[bytes]:
+        missing = {c: _parts(c) for c in chunks if c not in known}
+        new = list({p for of in missing.values() for p in of if p not in known})
+        for lo in range(0, len(new), 4096):
+            part = new[lo:lo + 4096]
+            for c, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                known[c] = np.array(e.ids, "<u4").tobytes()
+        for c, of in missing.items():
+            known[c] = b"".join([known[p] for p in of])
+        return [known[c] for c in chunks]
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text. The chunks between ASCII white space are numbered in Arrow, encoded
+        once each, and their ids laid out by numpy."""
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        chunks = split.flatten().dictionary_encode()
+        ids_of = self._chunk_ids(chunks.dictionary.to_pylist())
+        sizes = np.array([len(x) // 4 for x in ids_of], np.int64)
+        flat = np.frombuffer(b"".join(ids_of), "<u4")
+        code = chunks.indices.to_numpy()
+        size = sizes[code]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        first = (np.cumsum(sizes) - sizes)[code]
+        ids = flat[np.repeat(first - ends[:-1], size) + np.arange(ends[-1])]
+        bounds = ends[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+
+
+#: ASCII punctuation but for the apostrophe, which may begin a suffix.
+_PUNCTUATION = "".join(chr(b) for b in range(33, 127) if not chr(b).isalnum() and b != 39)
+
+
+def _parts(chunk: str) -> list[str]:
     """Pieces of a chunk that the tokenizer encodes alike by themselves: it lower-cases (done here
     for plain ASCII without special tokens) and cuts between a letter or digit and punctuation."""
+    if "<|" in chunk:
+        return [chunk]
     if chunk.isascii():
-        if b"<|" in chunk:
-            return [chunk]
         chunk = chunk.lower()
-    core = chunk.rstrip(b".,;:!?")
-    if core and len(core) < len(chunk) and core.decode().lower()[-1].isalnum():
+    core = chunk.rstrip(_PUNCTUATION)
+    if core and len(core) < len(chunk) and core.lower()[-1].isalnum():
         return [core, chunk[len(core):]]
     return [chunk]
 
@@ -122,18 +146,16 @@ def tokenized(docs: DataFrame, vocabulary: str, end_id: int, id_col: str = "doc_
         spec = docs.sparkSession.sparkContext.broadcast(f.read())
     rows = pick(docs, doc_id=id_col, text=text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    last = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
         encoder = _encoder(spec.value)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                ids, wide = [], []
-                for x in encoder.encode([t or "" for t in part.column(1).to_pylist()]):
-                    x = np.frombuffer(x + last, "<u4")
-                    wide.append(bool(x.max() > 0xFFFF))
-                    ids.append(x.tobytes() if wide[-1] else x.astype("<u2").tobytes())
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()
+            for lo, hi in ranges(sizes, SLICE):
+                part = batch.slice(lo, hi - lo)
+                texts = [np.append(x, np.uint32(end_id)) for x in encoder.encode(part.column(1))]
+                wide = [bool(x.max() > 0xFFFF) for x in texts]
+                ids = [x.astype("<u4" if w else "<u2").tobytes() for x, w in zip(texts, wide)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), pa.array(wide)],
                                                  names=["doc_id", "ids", "wide"])
 
