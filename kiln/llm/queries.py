@@ -7,7 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kiln.llm import bpe_automaton, decontaminate, minhash_dedup, quality_rules, secret_scan, substring_dedup, token_files
+from kiln.llm import (
+    bpe_automaton, decontaminate, minhash_dedup, quality_ranking, quality_rules, secret_scan, site_style_tree,
+    substring_dedup, token_files, url_filter)
 from kiln.llm.common import table
 
 #: Folder of the public vocabulary files: a parameter of the package that installs them.
@@ -52,6 +54,12 @@ def op5_minhash_dedup(spark, sf_dir):
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_site_style_tree(spark, sf_dir):
+    """Main text of every page."""
+    done = site_style_tree.extract(table(spark, sf_dir, "pages"))
+    return done.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op7_substring_dedup(spark, sf_dir):
     """Words of every document before and after passages that occur elsewhere are removed."""
     done = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
@@ -59,6 +67,17 @@ def op7_substring_dedup(spark, sf_dir):
     return done.select("doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
 
 
+def op8_url_filter(spark, sf_dir):
+    """Verdict on every page's url, by rule or by the words of its host and path."""
+    return url_filter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op9_quality_ranking(spark, sf_dir):
+    """Quality score of every document."""
+    done = quality_ranking.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return done.withColumn("predicted", (F.col("score") >= quality_ranking.THRESHOLD).cast("int"))
+
+
 def op10_bpe_automaton(spark, sf_dir):
     """Ids of every document by the automaton, and the text they decode to, as digests."""
     done = bpe_automaton.encode_decode(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
@@ -68,5 +87,6 @@ def op10_bpe_automaton(spark, sf_dir):
 
 
 LLM_QUERIES = {f.__name__: f for f in (
-    op1_secret_scan, op2_token_files, op3_decontamination, op4_quality_rules, op5_minhash_dedup, op7_substring_dedup, op10_bpe_automaton)}
+    op1_secret_scan, op2_token_files, op3_decontamination, op4_quality_rules, op5_minhash_dedup, op6_site_style_tree,
+    op7_substring_dedup, op8_url_filter, op9_quality_ranking, op10_bpe_automaton)}
 LLM_ORACLE: dict[str, str] = {}
