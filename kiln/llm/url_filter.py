@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.common import pick, ship
+from kiln.llm.common import pick, ship, written
 
 #: (verdict, rule), fixed by the contract of the query.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -150,11 +150,11 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
     rows = pick(pages, page_id=id_col, url=url_col)
     host, path = url_parts(F.col("url"))
     rows = rows.select("page_id", host.alias("host"), path.alias("path"))
-    counts = word_counts(pages, html_col)
+    counts = written(word_counts(pages, html_col))
     rule, verdict = rule_column(F.col("host"), F.col("path"), rules)
     path_words = F.array_remove(F.split(F.lower("path"), r"[^a-z]+", -1), "")
     named = F.array(*[F.lit(w) for w in rule_words(rules)]).cast("array<string>")
-    split = (rows.join(host_words(rows, counts), "host", "left")
+    split = (rows.join(written(host_words(rows, counts)), "host", "left")
              .select("page_id", "host", "path", rule.alias("rule"), verdict.alias("verdict"),
                      F.array_except(F.concat(F.coalesce("words", F.array().cast("array<string>")), F.transform(
                          path_words, lambda w: F.concat(F.lit("/"), w))), named).alias("words")))
