@@ -8,9 +8,10 @@
    their union's values, which leaves runs of agreeing values: for sets of up to k values
    some run of three is certain, for larger ones it is missing with a chance below 1e-9 at
    k = 64. Single values would be shared by any two texts with a common phrase.
-3. Overlaps from the lists, first as stars: in each list every class is paired with three hubs
-   (the class with the smallest id, and the first and the last by hash). The union-sketch estimate drops pairs far
-   below the threshold, the full sets confirm the rest, and connected components are formed.
+3. Overlaps from the lists, first as stars: in each list every class is paired with a hub, the
+   class with the smallest id. The union-sketch estimate drops pairs far below the threshold,
+   the full sets confirm the rest, and connected components are formed. Then the same with
+   two more hubs, the first and the last class by hash, for pairs not in one component yet.
 4. What a star cannot see are links between two classes of one list that are no hubs of it.
    Where these are still in several components, they are compared in full, in blocks of
    BLOCK classes, pairs of different components only: the estimate first, then the full
@@ -220,6 +221,13 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose ends are not in one component yet."""
+    of = lambda x: label.select(F.col("v").alias(x), F.col("component").alias(f"of_{x}"))
+    return (pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+            .where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b"))
+
+
 def shared_counts(a: list[np.ndarray], b: list[np.ndarray], chunk: int = 4096) -> np.ndarray:
     """Matrix of the number of values that each array of ``a`` shares with each of ``b``, by
     products of 0/1 matrices over the values both sides have, ``chunk`` values at a time."""
@@ -313,8 +321,18 @@ def _residual(lists: DataFrame, label: DataFrame, texts: DataFrame) -> DataFrame
         unpack = zstandard.ZstdDecompressor().decompress
         for (key, i, j), rows in _groups(batches):
             full = [shingle_set(unpack(r[4]).decode()) for r in rows]
-            found = [(rows[x][1], rows[y][1]) for x, y in _pairs(key, i, j, rows, [f[:SKETCH] for f in full])
-                     if linked(full[x], full[y])]
+            found, joined = [], {r[2]: r[2] for r in rows}  # component -> one that it is linked with here
+
+            def root(x):
+                while joined[x] != x:
+                    x = joined[x]
+                return x
+
+            for x, y in _pairs(key, i, j, rows, [f[:SKETCH] for f in full]):
+                p, q = root(rows[x][2]), root(rows[y][2])
+                if p != q and linked(full[x], full[y]):
+                    joined[p] = q
+                    found.append((rows[x][1], rows[y][1]))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()),
                                                   pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
@@ -342,9 +360,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = written(_texts(source, lists.select("c", "id").distinct()))
     hubs = lists.groupBy("key").agg(F.min_by("c", "id").alias("h1"), F.min("c").alias("h2"), F.max("c").alias("h3"))
     starred = lists.join(hubs, "key")
-    stars = (starred.select("c", F.explode(F.array("h1", "h2", "h3")).alias("h")).where("c != h")
-             .select(F.least("c", "h").alias("a"), F.greatest("c", "h").alias("b")).distinct())
+    pair = [F.least("c", "h").alias("a"), F.greatest("c", "h").alias("b")]
+    stars = starred.select("c", F.col("h1").alias("h")).where("c != h").select(*pair).distinct()
     links = written(_confirmed(stars, texts))
+    label = components(links)
+    stars = starred.select("c", F.explode(F.array("h2", "h3")).alias("h")).where("c != h").select(*pair).distinct()
+    links = written(links.union(_confirmed(_apart(stars, label), texts)))
     others = starred.where("c not in (h1, h2, h3)").select("key", "c")
     more = written(_residual(others, components(links), texts))
     label = components(links.union(more))
