@@ -47,6 +47,8 @@ SHINGLE = 2
 SLACK = 0.23
 #: Classes compared at once in a long list; longer lists are cut into pairs of such blocks.
 BLOCK = 2048
+#: Rows of a block that meet the other block at once: a bound on a task's memory.
+STRIP = 256
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -228,7 +230,7 @@ def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
             .where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b"))
 
 
-def shared_counts(a: list[np.ndarray], b: list[np.ndarray], chunk: int = 4096) -> np.ndarray:
+def shared_counts(a: list[np.ndarray], b: list[np.ndarray], chunk: int = 1024) -> np.ndarray:
     """Matrix of the number of values that each array of ``a`` shares with each of ``b``, by
     products of 0/1 matrices over the values both sides have, ``chunk`` values at a time."""
     va, vb = np.concatenate(a), np.concatenate(b)
@@ -268,29 +270,30 @@ def _groups(batches):
 def _pairs(key: int, i: int, j: int, rows: list[tuple], sketches: list[np.ndarray]):
     """Index pairs of the rows (at, c, component, n, ...) of one group that are still to be
     confirmed: in different components, alike in size, alike by the union-sketch estimate,
-    and with this list as the smallest that they share."""
+    and with this list as the smallest that they share. STRIP rows at a time meet all others."""
     first = [k for k, r in enumerate(rows) if r[0] == i]
     second = first if i == j else [k for k, r in enumerate(rows) if r[0] == j]
-    if not first or not second:
-        return
-    part = lambda of, k: np.array([rows[x][k] for x in of])
-    n1, n2 = part(first, 3)[:, None], part(second, 3)[None, :]
-    able = (part(first, 2)[:, None] != part(second, 2)[None, :]) & (100 * np.minimum(n1, n2) >= PERCENT * np.maximum(n1, n2))
-    if i == j:
-        able &= np.tri(len(first), k=-1, dtype=bool)
-    if not able.any():
-        return
-    s1, s2 = [sketches[x] for x in first], [sketches[x] for x in second]
-    # The estimate is at most the number of retained values shared over the sketch's size.
-    able &= shared_counts(s1, s2) >= (PERCENT / 100 - SLACK) * np.minimum(SKETCH, np.maximum(n1, n2))
-    if not able.any():
-        return
     own = np.array([key]).view(np.uint64)[0]
-    below = lambda of: [(k := sketch_keys(s))[k < own] for s in of]
-    able &= shared_counts(below(s1), below(s2)) == 0
-    for x, y in zip(*np.nonzero(able)):
-        if estimate(s1[x], s2[y]) >= PERCENT / 100 - SLACK:
-            yield first[x], second[y]
+    part = lambda of, k: np.array([rows[x][k] for x in of], np.int64)
+    below = lambda of: [(k := sketch_keys(sketches[x]))[k < own] for x in of]
+    n2, c2, s2, k2 = part(second, 3), part(second, 2), [sketches[x] for x in second], below(second)
+    for lo in range(0, len(first) if second else 0, STRIP):
+        strip = first[lo:lo + STRIP]
+        n1 = part(strip, 3)[:, None]
+        able = (part(strip, 2)[:, None] != c2) & (100 * np.minimum(n1, n2) >= PERCENT * np.maximum(n1, n2))
+        if i == j:
+            able &= np.arange(lo, lo + len(strip))[:, None] > np.arange(len(second))
+        if not able.any():
+            continue
+        s1 = [sketches[x] for x in strip]
+        # The estimate is at most the number of retained values shared over the sketch's size.
+        able &= shared_counts(s1, s2) >= (PERCENT / 100 - SLACK) * np.minimum(SKETCH, np.maximum(n1, n2))
+        if not able.any():
+            continue
+        able &= shared_counts(below(strip), k2) == 0
+        for x, y in zip(*np.nonzero(able)):
+            if estimate(s1[x], s2[y]) >= PERCENT / 100 - SLACK:
+                yield strip[x], second[y]
 
 
 def _residual(lists: DataFrame, label: DataFrame, texts: DataFrame) -> DataFrame:
