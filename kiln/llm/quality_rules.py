@@ -3,8 +3,9 @@
 Each rule reads figures of one text and votes "good" or "junk", or abstains. How far a
 vote is to be trusted is not set by hand: expectation-maximisation estimates, from the
 agreements between rules over all documents, how often each rule votes on good and on junk
-documents, and from these the probability that a document is good. An abstention is no
-evidence. The EM runs on the histogram of vote patterns, of which there are 2^rules at most
+documents, and from these the probability that a document is good. (While the rates are
+estimated, abstaining where others vote counts too; a verdict rests on votes alone, an
+abstention is no evidence.) The EM runs on the histogram of vote patterns, of which there are 2^rules at most
 whatever the number of documents; the documents themselves never leave the executors.
 
 Bounds that keep the estimate sane on any table: a rule's vote never counts against its own
@@ -125,6 +126,7 @@ class VoteModel:
 def fit_votes(patterns: list[tuple[tuple[bool, ...], int]], good: list[bool], rounds: int = 50) -> VoteModel:
     """EM over (pattern of votes, number of documents)."""
     k, total = len(good), sum(c for _, c in patterns) or 1
+    silence = [0.0] * k  # log(P(abstains | good) / P(abstains | junk))
     # Start: a junk vote speaks for junk, whoever casts it.
     p_good = [0.1 if any(v and not g for v, g in zip(p, good)) else 0.9 for p, _ in patterns]
     prior, weights, accuracies = 0.8, [math.log(5) * (1 if g else -1) for g in good], [0.8] * k
@@ -135,12 +137,15 @@ def fit_votes(patterns: list[tuple[tuple[bool, ...], int]], good: list[bool], ro
         for j in range(k):
             on_good = sum(c * q for (p, c), q in zip(patterns, p_good) if p[j])
             on_junk = sum(c * (1 - q) for (p, c), q in zip(patterns, p_good) if p[j])
-            ratio = math.log(((on_good + 0.1) / (n_good + 1)) / ((on_junk + 0.1) / (n_junk + 1)))
+            rate_good, rate_junk = (on_good + 0.1) / (n_good + 1), (on_junk + 0.1) / (n_junk + 1)
+            ratio = math.log(rate_good / rate_junk)
+            silence[j] = math.log((1 - min(rate_good, 0.99)) / (1 - min(rate_junk, 0.99)))
             weights[j] = min(6.0, max(0.0, ratio)) if good[j] else max(-6.0, min(0.0, ratio))
             right = on_good if good[j] else on_junk
             accuracies[j] = (right + 0.5) / (on_good + on_junk + 1)
         logit = math.log(prior / (1 - prior))
-        p_good = [1 / (1 + math.exp(-(logit + sum(w for w, v in zip(weights, p) if v)))) for p, _ in patterns]
+        p_good = [1 / (1 + math.exp(-(logit + sum(w if v else u for w, u, v in zip(weights, silence, p)))))
+                  for p, _ in patterns]
     return VoteModel(prior, tuple(weights), tuple(accuracies))
 
 
