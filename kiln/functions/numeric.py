@@ -17,13 +17,14 @@ def tenths_celsius_to_fahrenheit(value) -> Column:
     return _col(value) * F.lit(0.1) * F.lit(9.0) / F.lit(5) + F.lit(32)
 
 
-def exact_sum(value, scale: int = 2, precision: int = 38) -> Column:
-    """Sum of a money-like double column done in fixed point, returned as double.
-
-    Each value is taken at ``scale`` decimal places, summed exactly as DECIMAL and
-    converted once at the end, so the result does not depend on the order in which
-    partitions are merged (a plain double sum does)."""
-    return F.sum(_col(value).cast(f"decimal({min(precision, 38)},{scale})")).cast("double")
+def exact_sum(value, scale: int = 12, precision: int = 38) -> Column:
+    """Sum in fixed point with ``scale`` decimal places, as double: the same in any order of the
+    rows. A value with more places than that fails the job rather than being rounded."""
+    v = _col(value)
+    fixed = v.cast(f"decimal({precision},{scale})")
+    lost = v.isNotNull() & (fixed.isNull() | (fixed.cast("double") != v.cast("double")))
+    checked = F.when(lost, F.raise_error(F.concat(F.lit("no exact value with the given scale: "), v.cast("string"))))
+    return F.sum(checked.otherwise(fixed)).cast("double")
 
 
 def exact_square_sum(value) -> Column:

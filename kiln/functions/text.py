@@ -77,4 +77,4 @@ def field_at(text, index: int, tokenizer: str = "whitespace") -> Column:
 
 def contains(col, needle: str) -> Column:
     """Substring containment (``needle in value``); differs from equality on e.g. ``XTMAX``."""
-    return F.instr(_col(col), needle) > 0
+    return _col(col).contains(needle)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegralType
 
 from kiln.functions.numeric import cosine
-from kiln.operators.dimension import DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast
+from kiln.operators.dimension import DEFAULT_MAX_BROADCAST_ROWS
 from kiln.operators.topk import top_k
 from kiln.session import reliable_checkpoint
 
@@ -97,24 +97,34 @@ def pair_similarity(pairs: DataFrame, zero_denominator: str = "null", with_sums:
 def all_pairs_similarity(ratings: DataFrame, user: str = "user_id", item: str = "item_id",
                          rating: str = "rating", orientation: str = "asc",
                          zero_denominator: str = "zero", split_rows: int | None = DEFAULT_SPLIT_ROWS,
-                         partitions: int | None = None) -> DataFrame:
-    """Similarity of every co-rated item pair: item_1, item_2, score, num_pairs."""
-    pairs = rating_pairs(ratings, user, item, rating, orientation, split_rows, partitions)
-    return pair_similarity(pairs, zero_denominator)
+                         partitions: int | None = None, min_score: float | None = None,
+                         min_support: int | None = None) -> DataFrame:
+    """Similarity of every co-rated item pair: item_1, item_2, score, num_pairs; strict
+    ``> min_score`` and ``> min_support`` where given. An item with ``min_support`` raters or
+    fewer is in no pair of more support, so it is left out before the pairs are built."""
+    if min_support is not None:
+        rated = ratings.where(F.col(rating).isNotNull() & F.col(user).isNotNull())
+        often = (rated.groupBy(item).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(min_support))
+                 .select(item))
+        ratings = ratings.join(often, item, "left_semi")
+    sims = pair_similarity(rating_pairs(ratings, user, item, rating, orientation, split_rows, partitions),
+                           zero_denominator)
+    if min_score is not None:
+        sims = sims.where(F.col("score") > F.lit(min_score))
+    return sims if min_support is None else sims.where(F.col("num_pairs") > F.lit(min_support))
 
 
 def similar_to_item(ratings: DataFrame, ref, user: str = "user_id", item: str = "item_id",
                     rating: str = "rating", min_score: float | None = None,
                     min_support: int | None = None, k: int | None = 10, orientation: str = "desc",
-                    zero_denominator: str = "null",
-                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                    zero_denominator: str = "null") -> DataFrame:
     """Items similar to ``ref``: item_1, item_2 (pair in the chosen orientation),
     other_item, score, num_pairs; strict ``> min_score`` and ``> min_support``;
     the ``k`` best by score (ties by other_item) or all when ``k`` is None."""
     r = _normalise(ratings, user, item, rating)
     raters = r.where(F.col("_i") == F.lit(ref)).select("_u", F.col("_r").alias("_rr"))
     others = r.where(F.col("_i") != F.lit(ref))
-    joined = others.join(checked_broadcast(raters, max_broadcast_rows), "_u")
+    joined = others.join(raters, "_u")
     sums = joined.groupBy(F.col("_i").alias("other_item")).agg(
         F.sum(F.col("_r") * F.col("_rr")).alias("numerator"),
         F.sum(F.col("_rr") * F.col("_rr")).alias("sum_ref"),

@@ -60,18 +60,19 @@ def global_row_number(df: DataFrame, order, alias: str = "row_num", partitions:
     return out.select(*keep)
 
 
-def running_number(df: DataFrame, key, order, alias: str = "rank_in_key") -> DataFrame:
+def running_number(df: DataFrame, key, order, alias: str = "rank_in_key", number: str | None = None) -> DataFrame:
     """1-based position of each row within its key, in ``order``.
 
     Derived from the global number over (key, order) minus the first global
     number of the key (a partial/final aggregate), so a key with a large share of
-    the rows is never gathered into one window partition."""
+    the rows is never gathered into one window partition. ``number``: also keep the
+    global number, under this name."""
     keys = _cols(key)
     numbered = global_row_number(df, keys + _cols(order), alias="_g")
     first = numbered.groupBy(*keys).agg(F.min("_g").alias("_g0"))
     return (_join_keys_null_safe(numbered, first, keys, "inner")
             .withColumn(alias, F.col("_g") - F.col("_g0") + F.lit(1))
-            .drop("_g", "_g0"))
+            .withColumn(number or "_g", F.col("_g")).drop("_g0", *([] if number == "_g" else ["_g"])))
 
 
 def holdout_split(df: DataFrame, user: str, order, start: int, stop: int, max_test: int = 0,
@@ -82,26 +83,25 @@ def holdout_split(df: DataFrame, user: str, order, start: int, stop: int, max_te
     ``max_test > 0`` caps the test size: only the first ``max_test`` such rows in
     the global (user, order) order go to test, later ones go to base."""
     order_cols = _cols(order)
-    ranked = running_number(df, user, order_cols, alias="_k")
+    ranked = running_number(df, user, order_cols, alias="_k", number="_g")
     qualifies = (F.col("_k") >= F.lit(start)) & (F.col("_k") <= F.lit(stop))
     if max_test and max_test > 0:
-        keys = [user] + order_cols
-        first_q = (global_row_number(ranked.where(qualifies).select(*keys), keys, alias="_q")
-                   .where(F.col("_q") <= F.lit(max_test)).select(*keys, F.lit(True).alias("_t")))
-        ranked = _join_keys_null_safe(ranked, first_q, keys, "left")
+        # The global number is unique, so that rows alike in (user, order) are told apart.
+        first_q = (global_row_number(ranked.where(qualifies).select("_g"), ["_g"], alias="_q")
+                   .where(F.col("_q") <= F.lit(max_test)).select("_g", F.lit(True).alias("_t")))
+        ranked = ranked.join(first_q, "_g", "left")
         is_test = F.col("_t").isNotNull()
     else:
         is_test = qualifies
-    return ranked.select(*[c for c in ranked.columns if c not in ("_k", "_t")],
+    return ranked.select(*[c for c in ranked.columns if c not in ("_k", "_g", "_t")],
                          F.when(is_test, F.lit("test")).otherwise(F.lit("base")).alias(part))
 
 
 def contiguous_folds(df: DataFrame, order, k: int = 5, fold: str = "fold") -> DataFrame:
-    """k contiguous folds by position in ``order``; fold sizes ceil(n / k), 1-based."""
+    """k contiguous folds by position in ``order``, 1-based, whose sizes differ by one at most."""
     numbered = global_row_number(df, order, alias="_g", total="_n")
-    size = F.ceil(F.col("_n") / F.lit(k))
     return numbered.select(*[c for c in numbered.columns if c not in ("_g", "_n")],
-                           (F.floor((F.col("_g") - F.lit(1)) / size) + F.lit(1)).cast("int").alias(fold))
+                           F.expr(f"cast((_g - 1) * {int(k)} div _n + 1 as int)").alias(fold))
 
 
 def fold_parts(folded: DataFrame, i: int, fold: str = "fold", order=None):

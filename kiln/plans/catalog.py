@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from kiln.functions.numeric import round_half_up, tenths_celsius_to_fahrenheit
 from kiln.functions.text import contains
 import kiln.operators.dimension as lk
-from kiln.operators import graph, groupstats as gs, profile, similarity, splits, text, topk
+from kiln.operators import graph, groupstats as gs, similarity, splits, text, topk
 from kiln.plans import params as P
 from kiln.sources import tables
 from kiln.sources.text import line_degree
@@ -39,7 +39,7 @@ def popular_items(spark, sf):
 
 def popular_items_named(spark, sf):
     part = tables.table(spark, sf, "part", ["p_partkey", "p_name"]).withColumnRenamed("p_partkey", "l_partkey")
-    return lk.lookup_few(popular_items(spark, sf), part, "l_partkey", "p_name")
+    return lk.lookup_few(popular_items(spark, sf), part, "l_partkey", "p_name", ["-count"], ["l_partkey"])
 
 
 # ---- people-style group statistics on customer --------------------------------------------------
@@ -50,12 +50,17 @@ def _customer(spark, sf, cols=None):
 
 def avg_by_group(spark, sf):
     c = _customer(spark, sf, ["c_nationkey", "c_acctbal"])
-    return gs.group_mean(c, "c_nationkey", "c_acctbal", "avg_acctbal", exact_scale=2)
+    return gs.group_mean(c, "c_nationkey", "c_acctbal", "avg_acctbal", exact_scale=12)
 
 
 def avg_by_group_pairs(spark, sf):
     c = _customer(spark, sf, ["c_nationkey", "c_acctbal"])
-    return gs.group_mean_by_parts(c, "c_nationkey", "c_acctbal", "avg_acctbal", exact_scale=2)
+    return gs.group_mean_by_parts(c, "c_nationkey", "c_acctbal", "avg_acctbal", exact_scale=12)
+
+
+def mean_by_group_int(spark, sf):
+    li = tables.table(spark, sf, "lineitem", ["l_suppkey", "l_linenumber"])
+    return topk.ranked(gs.group_mean(li, "l_suppkey", "l_linenumber", "avg_linenumber"), ["l_suppkey"])
 
 
 def range_filter_sql(spark, sf):
@@ -85,7 +90,7 @@ def shifted_column(spark, sf):
 
 def spend_by_customer(spark, sf):
     o = tables.table(spark, sf, "orders", ["o_custkey", "o_totalprice"])
-    totals = gs.group_sum(o, "o_custkey", "o_totalprice", "total_purchases", exact_scale=2)
+    totals = gs.group_sum(o, "o_custkey", "o_totalprice", "total_purchases", exact_scale=12)
     return topk.ranked(totals.withColumn("total_purchases", round_half_up("total_purchases", 2)),
                        ["-total_purchases"], ["o_custkey"])
 
@@ -196,6 +201,10 @@ def line_degree_space(spark, sf):
     return _doc_line_degrees(spark, sf, "space")
 
 
+def line_degree_each(spark, sf):
+    return line_degree(tables.document_lines(spark, sf), "value", "space")
+
+
 def line_degree_ws(spark, sf):
     return _doc_line_degrees(spark, sf, "whitespace")
 
@@ -219,7 +228,7 @@ def similar_items(spark, sf):
                                       min_support=P.MIN_SUPPORT, k=P.TOP_SIMILAR, orientation="desc")
     names = (tables.table(spark, sf, "supplier", ["s_suppkey", "s_name"])
              .withColumnRenamed("s_suppkey", "other_item"))
-    return lk.lookup_few(sims, names, "other_item", "s_name")
+    return lk.lookup_few(sims, names, "other_item", "s_name", ["-score"], ["other_item"])
 
 
 def all_pairs_similarity(spark, sf):
@@ -227,6 +236,11 @@ def all_pairs_similarity(spark, sf):
                                            zero_denominator="zero")
 
 
+def similar_pairs(spark, sf):
+    return similarity.all_pairs_similarity(tables.ratings(spark, sf), orientation="asc", zero_denominator="zero",
+                                           min_score=P.MIN_SCORE, min_support=P.MIN_SUPPORT)
+
+
 def top_support_pairs(spark, sf):
     return topk.top_k(all_pairs_similarity(spark, sf), P.TOP_PAIRS, ["-num_pairs"], ["item_1", "item_2"])
 
@@ -260,10 +274,6 @@ def fold_base(spark, sf):
     return base
 
 
-def partition_profile(spark, sf):
-    return profile.partition_profile(tables.table(spark, sf, "lineitem", ["l_orderkey"]))
-
-
 QUERIES: dict[str, Query] = {
     "rating_histogram": rating_histogram,
     "rating_total": rating_total,
@@ -271,6 +281,7 @@ QUERIES: dict[str, Query] = {
     "popular_items_named": popular_items_named,
     "avg_by_group": avg_by_group,
     "avg_by_group_pairs": avg_by_group_pairs,
+    "mean_by_group_int": mean_by_group_int,
     "range_filter_sql": range_filter_sql,
     "group_size": group_size,
     "select_columns": select_columns,
@@ -292,16 +303,17 @@ QUERIES: dict[str, Query] = {
     "global_min_degree": global_min_degree,
     "min_degree_nodes": min_degree_nodes,
     "line_degree_space": line_degree_space,
+    "line_degree_each": line_degree_each,
     "line_degree_ws": line_degree_ws,
     "bfs_distances": bfs_distances,
     "bfs_target": bfs_target,
     "similar_items": similar_items,
     "all_pairs_similarity": all_pairs_similarity,
+    "similar_pairs": similar_pairs,
     "top_support_pairs": top_support_pairs,
     "sum_of_squares": sum_of_squares,
     "holdout_per_user": holdout_per_user,
     "holdout_capped": holdout_capped,
     "contiguous_folds": contiguous_folds,
     "fold_base": fold_base,
-    "partition_profile": partition_profile,
 }

@@ -61,7 +61,7 @@ def people_between(spark: SparkSession, path: str, low: int, high: int, view: st
 def customer_spend(spark: SparkSession, path: str, k: int | None = None) -> DataFrame:
     """Total amount per customer (exact to the cent), largest first; top ``k`` if given."""
     orders = read_delimited(spark, path, schema=ORDERS, quote=None)
-    totals = gs.group_sum(orders, "customer_id", "amount", "total", exact_scale=2)
+    totals = gs.group_sum(orders, "customer_id", "amount", "total", exact_scale=12)
     totals = totals.withColumn("total", round_half_up("total", 2))
     return topk.top_k(totals, k, ["-total"], ["customer_id"]) if k else topk.ranked(totals, ["-total"], ["customer_id"])
 
@@ -99,7 +99,7 @@ def popular_items(spark: SparkSession, ratings_path: str, names_path: str | None
     if names_path is None:
         return top
     names = read_dimension(spark, names_path, sep=names_sep, key="item_id", name="title")
-    return dimension.lookup_few(top, names, "item_id", "title")
+    return dimension.lookup_few(top, names, "item_id", "title", ["-count"], ["item_id"])
 
 
 def similar_items(spark: SparkSession, ratings_path: str, ref: int, names_path: str | None = None,
@@ -111,7 +111,7 @@ def similar_items(spark: SparkSession, ratings_path: str, ref: int, names_path:
     if names_path is None:
         return sims
     names = read_dimension(spark, names_path, sep=names_sep, key="other_item", name="title")
-    return dimension.lookup_few(sims, names, "other_item", "title")
+    return dimension.lookup_few(sims, names, "other_item", "title", ["-score"], ["other_item"])
 
 
 def all_item_pairs(spark: SparkSession, ratings_path: str, sep: str = "::", k: int | None = None) -> DataFrame:

@@ -62,10 +62,10 @@ ORDER BY count DESC, l_partkey LIMIT {P.TOP_ITEMS}""",
   ORDER BY count DESC, l_partkey LIMIT {P.TOP_ITEMS})
 SELECT t.l_partkey, t.count, p.p_name FROM t LEFT JOIN part p ON p.p_partkey = t.l_partkey""",
     "avg_by_group": """SELECT c_nationkey,
-  CAST(sum(CAST(c_acctbal AS DECIMAL(38,2))) AS DOUBLE) / count(c_acctbal) AS avg_acctbal
+  CAST(sum(CAST(c_acctbal AS DECIMAL(38,10))) AS DOUBLE) / count(c_acctbal) AS avg_acctbal
 FROM customer GROUP BY c_nationkey""",
     "avg_by_group_pairs": """SELECT c_nationkey,
-  CAST(sum(CAST(c_acctbal AS DECIMAL(38,2))) AS DOUBLE) / count(c_acctbal) AS avg_acctbal
+  CAST(sum(CAST(c_acctbal AS DECIMAL(38,10))) AS DOUBLE) / count(c_acctbal) AS avg_acctbal
 FROM customer GROUP BY c_nationkey""",
     "range_filter_sql": f"SELECT * FROM customer WHERE c_nationkey < {P.RANGE_HIGH} AND c_nationkey > {P.RANGE_LOW}",
     "group_size": "SELECT c_nationkey, count(*) AS count FROM customer GROUP BY c_nationkey ORDER BY c_nationkey",
@@ -73,10 +73,10 @@ FROM customer GROUP BY c_nationkey""",
     "filter_less_than": f"SELECT * FROM customer WHERE c_nationkey < {P.LESS_THAN}",
     "shifted_column": f"SELECT c_name, c_nationkey + {P.SHIFT} AS nationkey_shifted FROM customer",
     "spend_by_customer": """SELECT o_custkey,
-  round(CAST(sum(CAST(o_totalprice AS DECIMAL(38,2))) AS DOUBLE), 2) AS total_purchases
+  round(fsum(o_totalprice), 2) AS total_purchases
 FROM orders GROUP BY o_custkey ORDER BY total_purchases DESC, o_custkey""",
     "spend_top5": f"""SELECT o_custkey,
-  round(CAST(sum(CAST(o_totalprice AS DECIMAL(38,2))) AS DOUBLE), 2) AS total_purchases
+  round(fsum(o_totalprice), 2) AS total_purchases
 FROM orders GROUP BY o_custkey ORDER BY total_purchases DESC, o_custkey LIMIT {P.TOP_SPENDERS}""",
     "extreme_by_station_max": f"""SELECT user_id,
   max(value * CAST(0.1 AS DOUBLE) * CAST(9.0 AS DOUBLE) / 5 + 32) AS temp_f
@@ -143,6 +143,22 @@ top AS (
   SELECT * FROM sc WHERE score > CAST({P.MIN_SCORE} AS DOUBLE) AND num_pairs > {P.MIN_SUPPORT}
   ORDER BY score DESC, other_item LIMIT {P.TOP_SIMILAR})
 SELECT top.*, su.s_name FROM top LEFT JOIN supplier su ON su.s_suppkey = top.other_item""",
+    "similar_pairs": f"""WITH {_RATINGS},
+g AS (
+  SELECT a.item_id AS item_1, b.item_id AS item_2, sum(a.rating * b.rating) AS numerator,
+         sum(a.rating * a.rating) AS xx, sum(b.rating * b.rating) AS yy,
+         count(a.rating * b.rating) AS num_pairs
+  FROM r a JOIN r b ON a.user_id = b.user_id AND a.item_id < b.item_id
+  GROUP BY 1, 2)
+SELECT item_1, item_2,
+  CASE WHEN sqrt(xx) * sqrt(yy) = 0 THEN CAST(0 AS DOUBLE)
+       ELSE numerator / (sqrt(xx) * sqrt(yy)) END AS score,
+  num_pairs
+FROM g
+WHERE num_pairs > {P.MIN_SUPPORT} AND numerator / (sqrt(xx) * sqrt(yy)) > {P.MIN_SCORE}""",
+    "mean_by_group_int": """SELECT l_suppkey, avg(l_linenumber) AS avg_linenumber FROM lineitem GROUP BY l_suppkey ORDER BY l_suppkey""",
+    "line_degree_each": """SELECT split_part(line, ' ', 1) AS node, CAST(len(string_split(line, ' ')) - 1 AS INTEGER) AS degree
+FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)""",
     "all_pairs_similarity": f"""WITH {_RATINGS},
 g AS (
   SELECT a.item_id AS item_1, b.item_id AS item_2, sum(a.rating * b.rating) AS numerator,
@@ -173,14 +189,14 @@ FROM k LEFT JOIN q ON k.user_id = q.user_id AND k.item_id = q.item_id""",
     "contiguous_folds": f"""WITH {_RATINGS},
 n AS (SELECT *, row_number() OVER (ORDER BY user_id, item_id) AS g, count(*) OVER () AS total FROM r)
 SELECT user_id, item_id, rating,
-  CAST(floor((g - 1) / ceil(CAST(total AS DOUBLE) / {P.FOLDS})) + 1 AS INTEGER) AS fold
+  CAST((g - 1) * {P.FOLDS} // total + 1 AS INTEGER) AS fold
 FROM n""",
 }
 
 ORACLE["fold_base"] = f"""WITH {_RATINGS},
 n AS (SELECT *, row_number() OVER (ORDER BY user_id, item_id) AS g, count(*) OVER () AS total FROM r),
 f AS (SELECT user_id, item_id, rating,
-  CAST(floor((g - 1) / ceil(CAST(total AS DOUBLE) / {P.FOLDS})) + 1 AS INTEGER) AS fold FROM n)
+  CAST((g - 1) * {P.FOLDS} // total + 1 AS INTEGER) AS fold FROM n)
 SELECT * FROM f WHERE fold <> {P.BASE_OF_FOLD} ORDER BY user_id, item_id"""
 
 ORACLE["top_support_pairs"] = ORACLE["all_pairs_similarity"] + \

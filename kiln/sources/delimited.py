@@ -33,20 +33,11 @@ def read_delimited(spark: SparkSession, path: str, schema: StructType | str | No
 
 
 def read_dimension(spark: SparkSession, path: str, sep: str = "|", key: str = "id",
-                   name: str = "name", key_type: str = "int", encoding: str = "ISO-8859-1",
-                   max_lines: int | None = None, order_by: str | None = None) -> DataFrame:
-    """Id/name dimension from a delimited file: fields 0 and 1 only, quotes off.
-
-    ``max_lines`` keeps a bounded number of rows; pass ``order_by`` when the kept
-    rows must be repeatable (a table has no file order)."""
+                   name: str = "name", key_type: str = "int", encoding: str = "ISO-8859-1") -> DataFrame:
+    """Id/name dimension from a delimited file: fields 0 and 1 only, quotes off."""
     df = read_delimited(spark, path, schema=f"{key} STRING, {name} STRING", sep=sep,
                         encoding=encoding, quote=None)
-    df = df.select(F.col(key).try_cast(key_type).alias(key), F.col(name))
-    if max_lines is not None:
-        if order_by is not None:
-            df = df.orderBy(order_by)
-        df = df.limit(max_lines)
-    return df
+    return df.select(F.col(key).try_cast(key_type).alias(key), F.col(name))
 
 
 def read_quoted_names(spark: SparkSession, path: str, key: str = "id", name: str = "name",
@@ -70,8 +61,6 @@ def quoted_csv_names(spark: SparkSession, path: str, key: str = "id", name: str
     return df.select(key, collapse_whitespace(F.col(name)).alias(name))
 
 
-def limit_rows(df: DataFrame, n: int, order_by=None) -> DataFrame:
-    """A bounded number of rows; sorted first when ``order_by`` is given (repeatable)."""
-    if order_by is not None:
-        df = df.orderBy(*([order_by] if isinstance(order_by, str) else order_by))
-    return df.limit(n)
+def limit_rows(df: DataFrame, n: int, order_by) -> DataFrame:
+    """The first ``n`` rows in the given order."""
+    return df.orderBy(*([order_by] if isinstance(order_by, str) else order_by)).limit(n)

@@ -15,16 +15,9 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_latin1_lines(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") -> DataFrame:
-    """One row per line decoded with ``encoding`` (the text source ignores encodings).
-
-    Uses the CSV reader with quoting off and a NUL separator, so the whole line
-    lands in ``value`` (a line that itself contains a NUL byte keeps only the part
-    before it). Blank lines are skipped, as the CSV reader does."""
-    return (spark.read
-            .option("sep", "\u0000").option("quote", "").option("escape", "")
-            .option("encoding", encoding).option("header", "false")
-            .schema("value STRING")
-            .csv(path))
+    """One row per line decoded with ``encoding``: the bytes of every line, whatever they are,
+    pass through the text source unchanged and are decoded afterwards."""
+    return spark.read.text(path).select(F.decode(F.col("value").cast("binary"), encoding).alias("value"))
 
 
 def text_lines(df: DataFrame, text: str = "text", keep=("doc_id",), value: str = "value",
@@ -39,9 +32,9 @@ def parse_adjacency(lines: DataFrame, value: str = "value", node: str = "node",
     """Adjacency lines ``node n1 n2 ...`` to ``(node, neighbours ARRAY)``.
 
     The first token is the node, the rest its neighbours. Ids that do not parse
-    become NULL (``try_cast``) instead of failing the job."""
+    become NULL (``try_cast``) instead of failing the job. Lines without a token are no nodes."""
     toks = split_tokens(F.col(value), tokenizer)
-    return lines.select(
+    return lines.where(F.col(value).rlike(r"\S")).select(
         F.get(toks, 0).try_cast(id_type).alias(node),
         F.transform(F.slice(toks, 2, F.greatest(F.size(toks) - 1, F.lit(0))),
                     lambda t: t.try_cast(id_type)).alias(neighbours),

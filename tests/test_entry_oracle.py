@@ -32,10 +32,10 @@ def test_entry_smoke(spark):
     assert 0 < df.count() <= 10
 
 
-def test_every_query_has_oracle_except_layout():
+def test_every_query_has_oracle():
     from __spark_entry__ import oracle_sql, queries
     missing = set(queries()) - set(oracle_sql())
-    assert {k for k in missing if not k.startswith("op") and k != "pipeline"} == {"partition_profile"}
+    assert {k for k in missing if not k.startswith("op") and k != "pipeline"} == set()
     assert set(oracle_sql()) <= set(queries())
 
 
@@ -66,8 +66,19 @@ def test_query_matches_oracle(spark, duck, name):
     assert _digest(got, df.columns) == _digest(want, ocols)
 
 
-def test_partition_profile_counts_all_rows(spark):
-    from __spark_entry__ import queries
-    prof = queries()["partition_profile"](spark, SF_SMALL)
-    total = sum(r.rows for r in prof.collect())
-    assert total == spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
+@pytest.mark.parametrize("name", ["popular_items_named", "similar_items", "popular_items", "spend_top5", "top_support_pairs"])
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_ranked_rows_keep_their_order(spark, duck, name, threshold):
+    from __spark_entry__ import oracle_sql, queries
+    order = {"popular_items_named": "count DESC, l_partkey", "similar_items": "score DESC, other_item"}.get(name)
+    sql = oracle_sql()[name]
+    res = duck.execute(f"SELECT * FROM ({sql}) ORDER BY {order}" if order else sql)
+    cols = [d[0] for d in res.description]
+    want = res.fetchall()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        got = [tuple(r[c] for c in cols) for r in queries()[name](spark, SF_SMALL).collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert [repr(r[0]) for r in got] == [repr(r[0]) for r in want] and len(got) == len(want)

@@ -112,8 +112,7 @@ def test_contiguous_folds_cover_and_are_disjoint(shuffled):
     data, df = shuffled
     folded = contiguous_folds(df, ["user_id", "item_id"], 5)
     got = rows(folded, "user_id", "item_id", "fold")
-    size = -(-len(data) // 5)
-    want = [(u, i, n // size + 1) for n, (u, i, _) in enumerate(sorted(data))]
+    want = [(u, i, n * 5 // len(data) + 1) for n, (u, i, _) in enumerate(sorted(data))]
     assert got == sorted(want)
     test, base = fold_parts(folded, 2, order=["user_id", "item_id"])
     t, b = [tuple(r)[:2] for r in test.collect()], [tuple(r)[:2] for r in base.collect()]
@@ -162,3 +161,12 @@ def test_bfs_target_strict_neighbours(spark):
     assert tuple(bfs_target(loop, 1, 1, strict_neighbours=True).first())[2:] == (1, 2)
     none = spark.createDataFrame([(1, 2)], "src BIGINT, dst BIGINT")
     assert tuple(bfs_target(none, 1, 1, strict_neighbours=True).first())[2:] == (None, 0)
+
+
+def test_holdout_cap_and_folds_with_repeated_rows(spark):
+    from kiln.operators import contiguous_folds, holdout_split
+    df = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (2, 1), (2, 1), (2, 2)], "u INT, i INT")
+    out = holdout_split(df, "u", ["i"], 1, 1, max_test=2)
+    assert out.count() == 6 and out.where("part = 'test'").count() == 2
+    folds = contiguous_folds(df, ["u", "i"], 5)
+    assert sorted(r["count"] for r in folds.groupBy("fold").count().collect()) == [1, 1, 1, 1, 2]

@@ -4,8 +4,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from kiln.operators import (checked_broadcast, closed_form_square_sum, distinct_keys, first_row,
-                            fits_broadcast, global_extreme, group_count, group_extreme, group_mean,
+from kiln.operators import (closed_form_square_sum, distinct_keys, first_row,
+                            global_extreme, group_count, group_extreme, group_mean,
                             group_mean_by_parts, group_sum, lookup, lookup_few, other_of_pair,
                             sum_of_squares, top_k, total_count, word_count)
 from tests.conftest import rows
@@ -62,9 +62,9 @@ def test_top_k_breaks_ties_by_key(spark):
 
 
 BOOK = [
-    "Self-Employment: Building an Internet Business of One",
-    "Achieving Financial and Personal Freedom through a Lifestyle Technology Business",
-    "By Frank Kane  \t Café crème déjà-vu naïve 日本語 business",
+    "Half-Day Walks: Nine Easy Hills and Three of Them Steep",
+    "Reading the Weather from a Small Garden Business",
+    "By Nobody Inparticular  \t Café crème déjà-vu naïve 日本語 business",
     "",
     "  trailing   spaces business  ",
 ]
@@ -90,8 +90,6 @@ def test_word_counts_match_python(spark):
 def test_lookup_broadcast_strict_and_few(spark):
     facts = spark.createDataFrame([(1, 10), (2, 20), (3, 30)], "id INT, n INT")
     dim = spark.createDataFrame([(1, "one"), (2, "two")], "id INT, name STRING")
-    assert fits_broadcast(dim, 2) and not fits_broadcast(dim, 1)
-    assert checked_broadcast(dim, 1) is dim
     assert rows(lookup(facts, dim, "id")) == [(1, 10, "one"), (2, 20, "two"), (3, 30, None)]
     with pytest.raises(Exception):
         lookup(facts, dim, "id", strict_column="name").collect()
@@ -99,3 +97,19 @@ def test_lookup_broadcast_strict_and_few(spark):
     assert rows(lookup_few(top, dim, "id", "name")) == [(2, 20, "two"), (3, 30, None)]
     pairs = spark.createDataFrame([(50, 7), (9, 50)], "a INT, b INT")
     assert rows(pairs.select(other_of_pair("a", "b", 50).alias("o"))) == [(7,), (9,)]
+
+
+def test_lookup_tells_a_null_name_from_a_missing_key_and_takes_the_last_row(spark):
+    facts = spark.createDataFrame([(1, 10), (2, 20)], "id INT, n INT")
+    dim = spark.createDataFrame([(1, None, 0), (2, "old", 0), (2, "new", 1)], "id INT, name STRING, line INT")
+    for look in (lambda: lookup(facts, dim, "id", strict_column="name", last_by="line").select("id", "n", "name"),
+                 lambda: lookup_few(facts, dim, "id", "name", ["-n"], strict_column="name", last_by="line")):
+        assert [tuple(r) for r in look().orderBy("id").collect()] == [(1, 10, None), (2, 20, "new")]
+    assert [r.id for r in lookup_few(facts, dim, "id", "name", ["-n"], last_by="line").collect()] == [2, 1]
+
+
+def test_exact_sum_keeps_every_decimal(spark):
+    df = spark.createDataFrame([(1, 0.004), (1, 0.004), (1, 0.004), (2, 37.194), (2, 0.004)], "k INT, v DOUBLE")
+    assert dict(rows(group_sum(df, "k", "v", "total", exact_scale=12))) == {1: 0.012, 2: 37.198}
+    with pytest.raises(Exception):
+        group_sum(df, "k", "v", "total", exact_scale=2).collect()

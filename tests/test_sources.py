@@ -48,7 +48,7 @@ def test_dimension_latin1_pipe_quotes_off(spark, tmp_path):
     path = _write(tmp_path, "u.item", data)
     df = read_dimension(spark, path, sep="|", key="movieID", name="title")
     assert rows(df) == [(1, "Toy Story (1995)"), (2, 'Café "Noir"')]
-    assert read_dimension(spark, path, sep="|", max_lines=1, order_by="id").count() == 1
+    assert read_dimension(spark, path, sep="|").orderBy("id").limit(1).count() == 1
 
 
 def test_quoted_names_latin1_collapse(spark, tmp_path):
@@ -82,5 +82,14 @@ def test_double_colon_dimension_latin1_bounded(spark, tmp_path):
     path = _write(tmp_path, "movies.dat", data.encode("latin-1"))
     names = read_dimension(spark, path, sep="::", key="movieID", name="title")
     assert names.count() == 13 and rows(names.where("movieID = 13"), "title") == [("Amélie (2001)",)]
-    first = read_dimension(spark, path, sep="::", key="movieID", name="title", max_lines=10, order_by="movieID")
+    first = read_dimension(spark, path, sep="::", key="movieID", name="title").orderBy("movieID").limit(10)
     assert rows(first, "movieID") == [(i,) for i in range(1, 11)]
+
+
+def test_latin1_lines_keep_nul_bytes_and_blank_lines(spark, tmp_path):
+    path = tmp_path / "names.txt"
+    path.write_bytes(b'1 "caf\xe9"\n\n2 "x\x00y"\n')
+    from kiln.sources.text import parse_adjacency, read_latin1_lines
+    lines = read_latin1_lines(spark, str(path))
+    assert [r.value for r in lines.collect()] == ['1 "caf\u00e9"', "", '2 "x\x00y"']
+    assert parse_adjacency(lines).count() == 2
