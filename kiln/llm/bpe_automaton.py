@@ -95,6 +95,7 @@ class BpeAutomaton:
             self._ahead[text] = t
         self._arcs: dict[int, bool] = {}
         self._words: dict[str, bytes] = {}
+        self.word_cache = WORD_CACHE
 
     @classmethod
     def from_text(cls, text: str) -> "BpeAutomaton":
@@ -153,12 +154,17 @@ class BpeAutomaton:
                 if ids is None:
                     ids = b"".join(t.to_bytes(4, "little") for t in self.encode_bytes(word.encode()))
                     if len(word) <= 64:
-                        if len(words) >= WORD_CACHE:
+                        if len(words) >= self.word_cache:
                             words.clear()
                         words[word] = ids
                 out.append(ids)
         return b"".join(out)
 
+    def forget(self) -> None:
+        """Empty the tables of words and arcs seen, so that an idle worker holds little memory."""
+        self._words.clear()
+        self._arcs.clear()
+
     def decode(self, ids) -> str:
         """Text of the ids (any iterable of integers): the labels of their arcs."""
         return b"".join(map(self.label.__getitem__, ids)).decode("utf-8", "replace")
@@ -197,9 +203,10 @@ def encode_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text
     return rows.mapInArrow(run, f"doc_id {kind}, ids binary, decoded string")
 
 
-def with_ids(docs: DataFrame, vocabulary: str, text_col: str = "text") -> DataFrame:
+def with_ids(docs: DataFrame, vocabulary: str, text_col: str = "text", word_cache: int = 100_000) -> DataFrame:
     """``docs`` with n_tokens and ids after its own columns (which give way if named alike). The
-    ids are decoded again in the task, and a row whose text does not come back fails the job."""
+    ids are decoded again in the task, and a row whose text does not come back fails the job.
+    As one stage among others it remembers fewer words, and none after a task."""
     with open(vocabulary, encoding="utf-8") as f:
         spec = docs.sparkSession.sparkContext.broadcast(f.read())
     ship(docs.sparkSession)
@@ -208,6 +215,7 @@ def with_ids(docs: DataFrame, vocabulary: str, text_col: str = "text") -> DataFr
 
     def run(batches):
         auto = automaton(spec.value)
+        auto.word_cache = word_cache
         for batch in batches:
             ids = []
             for text in batch.column(position).to_pylist():
@@ -217,6 +225,8 @@ def with_ids(docs: DataFrame, vocabulary: str, text_col: str = "text") -> DataFr
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
                 names=[*batch.schema.names, "n_tokens", "ids"])
+        auto.forget()
+        auto.word_cache = WORD_CACHE
 
     schema = StructType([*docs.schema.fields, StructField("n_tokens", LongType()), StructField("ids", BinaryType())])
     return docs.mapInArrow(run, schema)
