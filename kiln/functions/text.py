@@ -20,6 +20,7 @@ UNICODE_WORD_SPLIT = r"[^\p{L}\p{N}_]+"
 WHITESPACE_SPLIT = r"[\s\x0b\x1c-\x1f\x85\p{Z}]+"
 SPACE_SPLIT = " "
 NON_ASCII = r"[^\x00-\x7F]"
+ASCII = r"[\x00-\x7F]"
 LINE_BREAK = r"\r?\n"
 
 TOKENIZERS = {
@@ -56,7 +57,7 @@ def ascii_only(token) -> Column:
 
 def has_ascii(token) -> Column:
     """True when at least one ASCII character is left after ``ascii_only``."""
-    return ascii_only(token) != F.lit("")
+    return _col(token).rlike(ASCII)
 
 
 def collapse_whitespace(text) -> Column:

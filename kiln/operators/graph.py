@@ -10,11 +10,12 @@ The edges are written once, as Parquet in the checkpoint folder, partitioned by
 a hash bucket of ``src``. A level joins on (bucket, src) with the frontier
 broadcast, so Spark's dynamic partition pruning reads only the buckets that
 hold frontier nodes: the first levels of a search touch a small part of the
-edge table instead of all of it.
+edge table instead of all of it. The table is deleted when the search ends.
 """
 
 from __future__ import annotations
 
+import itertools
 import uuid
 
 from pyspark.sql import DataFrame
@@ -57,9 +58,9 @@ def _bucket(col: str, buckets: int):
     return F.pmod(F.xxhash64(F.col(col)), F.lit(buckets)).cast("int")
 
 
-def edge_table(edges: DataFrame, buckets: int | None = None) -> tuple[DataFrame, int]:
+def edge_table(edges: DataFrame, buckets: int | None = None) -> tuple[DataFrame, int, str]:
     """Write ``(src, dst)`` to the checkpoint folder partitioned by ``src_bucket``
-    and read it back. The ``rebalance`` hint lets AQE split a bucket that holds a
+    and read it back: the table, its number of buckets and its path. The ``rebalance`` hint lets AQE split a bucket that holds a
     large share of the edges into several files instead of one task writing it."""
     spark = edges.sparkSession
     if buckets is None:
@@ -69,10 +70,16 @@ def edge_table(edges: DataFrame, buckets: int | None = None) -> tuple[DataFrame,
     table = edges.select("src", "dst", _bucket("src", buckets).alias("src_bucket"))
     table.hint("rebalance", "src_bucket").write.partitionBy("src_bucket").parquet(path)
     # Explicit schema: an empty edge table writes no files to infer one from.
-    return spark.read.schema(table.schema).parquet(path), buckets
+    return spark.read.schema(table.schema).parquet(path), buckets, path
 
 
-def _levels(edges: DataFrame, buckets: int, start, max_levels: int, target, max_broadcast_rows: int,
+def drop_edge_table(spark, path: str) -> None:
+    """Delete a table that ``edge_table`` wrote."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _levels(edges: DataFrame, buckets: int, start, max_levels: int | None, target, max_broadcast_rows: int,
             strict_neighbours: bool = False):
     """Run the BFS loop. Returns (reached frame, expansions done, hit level, hits).
 
@@ -98,8 +105,8 @@ def _levels(edges: DataFrame, buckets: int, start, max_levels: int, target, max_
             out = out.unionByName(lv)
         return out
 
-    for level in range(1, max_levels + 1):
-        if frontier_rows == 0:
+    for level in itertools.count(1):
+        if frontier_rows == 0 or (max_levels is not None and level > max_levels):
             break
         # The frontier: the nodes reached at distance level - 1 (the newest level). The
         # distance predicate on the broadcast side lets dynamic partition pruning run.
@@ -132,17 +139,23 @@ def _levels(edges: DataFrame, buckets: int, start, max_levels: int, target, max_
     return reached_so_far(), expansions, None, 0
 
 
-def bfs(edges: DataFrame, start, nodes: DataFrame | None = None, max_levels: int = 5,
+def bfs(edges: DataFrame, start, nodes: DataFrame | None = None, max_levels: int | None = 5,
         max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Distances from ``start`` by level-synchronous BFS over directed edges.
 
     One row per node of ``nodes`` (default: every edge source) and per reached
     node: node, distance (``UNREACHED`` if not reached within ``max_levels``), and
     color: BLACK = expanded, GRAY = reached on the last level but not expanded,
-    WHITE = not reached."""
-    edges, buckets = edge_table(edges)
-    reached, expansions, _, _ = _levels(edges, buckets, start, max_levels, None, max_broadcast_rows)
-    base = (nodes.select("node") if nodes is not None else edges.select(F.col("src").alias("node")))
+    WHITE = not reached. Nodes further away than ``max_levels`` count as not reached;
+    None searches until no new node is found."""
+    spark = edges.sparkSession
+    edges, buckets, path = edge_table(edges)
+    try:
+        reached, expansions, _, _ = _levels(edges, buckets, start, max_levels, None, max_broadcast_rows)
+        base = (nodes.select("node") if nodes is not None
+                else reliable_checkpoint(edges.select(F.col("src").alias("node")).distinct()))
+    finally:
+        drop_edge_table(spark, path)
     everyone = base.unionByName(reached.select("node")).distinct()
     out = everyone.join(reached, "node", "left")
     d = F.col("distance")
@@ -153,7 +166,7 @@ def bfs(edges: DataFrame, start, nodes: DataFrame | None = None, max_levels: int
          .otherwise(F.lit(GRAY)).alias("color"))
 
 
-def bfs_target(edges: DataFrame, start, target, max_levels: int = 5,
+def bfs_target(edges: DataFrame, start, target, max_levels: int | None = 5,
                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                strict_neighbours: bool = False) -> DataFrame:
     """Search for ``target``: stop at the first level whose expansion reaches it.
@@ -163,10 +176,14 @@ def bfs_target(edges: DataFrame, start, target, max_levels: int = 5,
     pairs that reached it on that level). A target equal to the start is found at
     0, or with ``strict_neighbours`` only through its neighbours (a self-loop gives
     1, a back edge 2), as a search that tests neighbours only does."""
-    edges, buckets = edge_table(edges)
-    _, _, level, hits = _levels(edges, buckets, start, max_levels, target, max_broadcast_rows,
-                                strict_neighbours)
+    spark = edges.sparkSession
+    edges, buckets, path = edge_table(edges)
+    try:
+        _, _, level, hits = _levels(edges, buckets, start, max_levels, target, max_broadcast_rows,
+                                    strict_neighbours)
+    finally:
+        drop_edge_table(spark, path)
     key_type = edges.schema["src"].dataType
-    return edges.sparkSession.range(1).select(
+    return spark.range(1).select(
         F.lit(start).cast(key_type).alias("start"), F.lit(target).cast(key_type).alias("target"),
         F.lit(level).cast("int").alias("degrees"), F.lit(hits).cast("bigint").alias("hits"))

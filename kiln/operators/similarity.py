@@ -9,12 +9,12 @@ Two shapes:
   joined to the ratings, so the work is linear in the ratings of those users and
   no pair table is built.
 * ``all_pairs_similarity``: the pair table is the definition of the result, so
-  each user's items are paired once (theta condition in the join). A user with
-  more than ``split_rows`` ratings is split on a grid: with s = ceil(n /
-  split_rows) slices, each row is hashed to a slice on its own side and copied to
-  every slice of the other side, and the join key becomes (user, a, b). Task
-  (a, b) pairs at most split_rows x split_rows rows, however large the user, and
-  every pair is produced exactly once. Sums per item pair are combined map-side
+  each user's items are paired once (theta condition in the join) on a grid: with
+  s = ceil(n / split_rows) slices for a user of n ratings (one for most), each row is
+  hashed to a slice on its own side and copied to every slice of the other side, and
+  the join key is (user, a, b). Task (a, b) pairs about split_rows x split_rows rows,
+  however large the user, and every pair is produced exactly once. The plan is the
+  same whether there is such a user or not. Sums per item pair are combined map-side
   before the shuffle.
 """
 
@@ -25,9 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegralType
 
 from kiln.functions.numeric import cosine
-from kiln.operators.dimension import DEFAULT_MAX_BROADCAST_ROWS
 from kiln.operators.topk import top_k
-from kiln.session import reliable_checkpoint
 
 # Users with more ratings than this are split into ceil(n / split_rows) slices.
 DEFAULT_SPLIT_ROWS = 5_000
@@ -42,42 +40,34 @@ def _normalise(ratings: DataFrame, user: str, item: str, rating: str) -> DataFra
 
 def rating_pairs(ratings: DataFrame, user: str = "user_id", item: str = "item_id",
                  rating: str = "rating", orientation: str = "desc",
-                 split_rows: int | None = DEFAULT_SPLIT_ROWS, partitions: int | None = None,
-                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                 split_rows: int | None = DEFAULT_SPLIT_ROWS, partitions: int | None = None) -> DataFrame:
     """Each unordered pair of items rated by the same user, once per user.
 
     ``orientation="desc"`` keeps ``item_1 > item_2``, ``"asc"`` keeps ``item_1 < item_2``;
-    self pairs are dropped. ``partitions`` hash-partitions the ratings by user first
-    (both join sides then share that partitioning). Output columns: user_id,
-    item_1, item_2, rating_1, rating_2."""
+    self pairs are dropped. ``partitions`` hash-partitions both sides by the join key, the user
+    and the grid cell. ``split_rows=None`` leaves the grid out. Output columns: user_id, item_1,
+    item_2, rating_1, rating_2."""
     r = _normalise(ratings, user, item, rating)
-    if partitions:
-        r = r.repartition(partitions, "_u")
-    n_hot = 0
+    keys = ["_u"]
+    left = right = r
     if split_rows:
-        # The size check and the pair join both read the ratings: write them once
-        # (far smaller than the tables they are derived from) instead of deriving twice.
-        r = reliable_checkpoint(r)
+        keys = ["_u", "_a", "_b"]
+        # Only users with several slices have a row here; the others get slice 0 by the left join.
         hot = (r.groupBy("_u").agg(F.count(F.lit(1)).alias("_n"))
                .where(F.col("_n") > F.lit(split_rows))
                .select("_u", F.ceil(F.col("_n") / F.lit(split_rows)).cast("int").alias("_slices")))
-        n_hot = hot.count()
-    if n_hot:
-        hot_side = F.broadcast(hot) if n_hot <= max_broadcast_rows else hot
-        tagged = (r.join(hot_side, "_u", "left")
+        tagged = (r.join(hot, "_u", "left")
                   .withColumn("_slices", F.coalesce("_slices", F.lit(1)))
                   .withColumn("_own", F.pmod(F.xxhash64("_i"), F.col("_slices")).cast("int"))
                   .withColumn("_all", F.explode(F.sequence(F.lit(0), F.col("_slices") - F.lit(1)))))
         left = tagged.select("_u", "_i", "_r", F.col("_own").alias("_a"), F.col("_all").alias("_b"))
         right = tagged.select("_u", "_i", "_r", F.col("_all").alias("_a"), F.col("_own").alias("_b"))
-    else:
-        left = r
-        right = r
+    if partitions:
+        left, right = left.repartition(partitions, *keys), right.repartition(partitions, *keys)
     a, b = left.alias("a"), right.alias("b")
-    theta = (F.col("a._i") > F.col("b._i")) if orientation == "desc" else (F.col("a._i") < F.col("b._i"))
-    cond = (F.col("a._u") == F.col("b._u")) & theta
-    if n_hot:
-        cond = cond & (F.col("a._a") == F.col("b._a")) & (F.col("a._b") == F.col("b._b"))
+    cond = (F.col("a._i") > F.col("b._i")) if orientation == "desc" else (F.col("a._i") < F.col("b._i"))
+    for k in keys:
+        cond = cond & (F.col(f"a.{k}") == F.col(f"b.{k}"))
     return a.join(b, cond).select(
         F.col("a._u").alias("user_id"), F.col("a._i").alias("item_1"), F.col("b._i").alias("item_2"),
         F.col("a._r").alias("rating_1"), F.col("b._r").alias("rating_2"))

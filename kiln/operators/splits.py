@@ -38,8 +38,9 @@ def _join_keys_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how
 
 
 def global_row_number(df: DataFrame, order, alias: str = "row_num", partitions: int | None = None,
-                      total: str | None = None) -> DataFrame:
-    """``df`` plus a 1-based row number in ``order``; optionally the row count as ``total``."""
+                      total: str | None = None, part: str | None = None) -> DataFrame:
+    """``df`` plus a 1-based row number in ``order``; optionally the row count as ``total`` and the
+    range partition as ``part``."""
     cols = _cols(order)
     # Without an explicit count AQE sizes the range partitions to the data, merging only
     # adjacent ranges, so partition order remains the global order.
@@ -54,7 +55,9 @@ def global_row_number(df: DataFrame, order, alias: str = "row_num", partitions:
                             F.sum("_cnt").over(Window.partitionBy()).alias("_total"))
     out = tagged.join(F.broadcast(offsets), "_pid").withColumn(
         alias, F.col("_off") + F.col("_pos").bitwiseAND(F.lit(_POSITION_MASK)) + F.lit(1))
-    keep = ranged.columns + [alias] + ([total] if total else [])
+    keep = ranged.columns + [alias] + ([total] if total else []) + ([part] if part else [])
+    if part:
+        out = out.withColumn(part, F.col("_pid"))
     if total:
         out = out.withColumn(total, F.col("_total"))
     return out.select(*keep)
@@ -63,16 +66,18 @@ def global_row_number(df: DataFrame, order, alias: str = "row_num", partitions:
 def running_number(df: DataFrame, key, order, alias: str = "rank_in_key", number: str | None = None) -> DataFrame:
     """1-based position of each row within its key, in ``order``.
 
-    Derived from the global number over (key, order) minus the first global
-    number of the key (a partial/final aggregate), so a key with a large share of
-    the rows is never gathered into one window partition. ``number``: also keep the
-    global number, under this name."""
+    Derived from the global number over (key, order) minus the first global number of
+    the key. That first number is attached per (range partition, key), so a key with a large
+    share of the rows stays spread over its range partitions; only one row per range partition
+    and key is ever grouped by key alone. ``number``: also keep the global number, under this
+    name."""
     keys = _cols(key)
-    numbered = global_row_number(df, keys + _cols(order), alias="_g")
-    first = numbered.groupBy(*keys).agg(F.min("_g").alias("_g0"))
-    return (_join_keys_null_safe(numbered, first, keys, "inner")
+    numbered = global_row_number(df, keys + _cols(order), alias="_g", part="_p")
+    first = (numbered.groupBy("_p", *keys).agg(F.min("_g").alias("_g0"))
+             .withColumn("_g0", F.min("_g0").over(Window.partitionBy(*keys))))
+    return (_join_keys_null_safe(numbered, first, ["_p", *keys], "inner")
             .withColumn(alias, F.col("_g") - F.col("_g0") + F.lit(1))
-            .withColumn(number or "_g", F.col("_g")).drop("_g0", *([] if number == "_g" else ["_g"])))
+            .withColumn(number or "_g", F.col("_g")).drop("_g0", "_p", *([] if number == "_g" else ["_g"])))
 
 
 def holdout_split(df: DataFrame, user: str, order, start: int, stop: int, max_test: int = 0,

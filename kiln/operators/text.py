@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.functions.text import ascii_only, split_tokens
+from kiln.functions.text import ascii_only, has_ascii, split_tokens
 
 
 def tokens(df: DataFrame, text: str = "value", tokenizer: str = "whitespace",
@@ -32,13 +32,11 @@ def word_count(df: DataFrame, text: str = "value", tokenizer: str = "whitespace"
     """Occurrences per token.
 
     With ``ascii_filter`` only tokens that keep at least one ASCII character are
-    returned, together with that ASCII-only form (``ascii_word``); the filter runs
-    after counting, so two tokens may share one ASCII form."""
+    returned, together with that ASCII-only form (``ascii_word``), which is made once per
+    distinct token; two tokens may share one ASCII form."""
     counted = tokens(df, text, tokenizer, lower, word).groupBy(word).agg(F.count(F.lit(1)).alias(count))
     if ascii_filter:
-        counted = (counted.withColumn("ascii_word", ascii_only(F.col(word)))
-                   .where(F.col("ascii_word") != F.lit(""))
-                   .select(word, "ascii_word", count))
+        counted = counted.where(has_ascii(word)).select(word, ascii_only(word).alias("ascii_word"), count)
     return counted
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kiln.functions.numeric import round_half_up, tenths_celsius_to_fahrenheit
-from kiln.functions.text import contains
+from kiln.functions.text import collapse_whitespace, contains, field_at
 import kiln.operators.dimension as lk
 from kiln.operators import graph, groupstats as gs, similarity, splits, text, topk
 from kiln.plans import params as P
@@ -42,6 +42,12 @@ def popular_items_named(spark, sf):
     return lk.lookup_few(popular_items(spark, sf), part, "l_partkey", "p_name", ["-count"], ["l_partkey"])
 
 
+def item_counts_strict(spark, sf):
+    li = tables.table(spark, sf, "lineitem", ["l_partkey"])
+    part = tables.table(spark, sf, "part", ["p_partkey", "p_name"]).withColumnRenamed("p_partkey", "l_partkey")
+    return lk.lookup(gs.group_count(li, "l_partkey", "count"), part, "l_partkey", strict_column="p_name")
+
+
 # ---- people-style group statistics on customer --------------------------------------------------
 
 def _customer(spark, sf, cols=None):
@@ -58,14 +64,19 @@ def avg_by_group_pairs(spark, sf):
     return gs.group_mean_by_parts(c, "c_nationkey", "c_acctbal", "avg_acctbal", exact_scale=12)
 
 
+def avg_by_group_rounded(spark, sf):
+    mean = avg_by_group(spark, sf).withColumn("avg_acctbal", round_half_up("avg_acctbal", 2))
+    return topk.ranked(mean, ["c_nationkey"])
+
+
 def mean_by_group_int(spark, sf):
     li = tables.table(spark, sf, "lineitem", ["l_suppkey", "l_linenumber"])
     return topk.ranked(gs.group_mean(li, "l_suppkey", "l_linenumber", "avg_linenumber"), ["l_suppkey"])
 
 
 def range_filter_sql(spark, sf):
-    _customer(spark, sf).createOrReplaceTempView("kiln_people")
-    return spark.sql(f"SELECT * FROM kiln_people WHERE c_nationkey < {P.RANGE_HIGH} AND c_nationkey > {P.RANGE_LOW}")
+    return spark.sql("SELECT * FROM {people} WHERE c_nationkey < :high AND c_nationkey > :low",
+                     args={"high": P.RANGE_HIGH, "low": P.RANGE_LOW}, people=_customer(spark, sf))
 
 
 def group_size(spark, sf):
@@ -205,6 +216,12 @@ def line_degree_each(spark, sf):
     return line_degree(tables.document_lines(spark, sf), "value", "space")
 
 
+def line_fields(spark, sf):
+    lines = tables.document_lines(spark, sf)
+    return lines.select("doc_id", "line_no", field_at("value", 2).alias("third_field"),
+                        collapse_whitespace("value").alias("collapsed"))
+
+
 def line_degree_ws(spark, sf):
     return _doc_line_degrees(spark, sf, "whitespace")
 
@@ -279,7 +296,9 @@ QUERIES: dict[str, Query] = {
     "rating_total": rating_total,
     "popular_items": popular_items,
     "popular_items_named": popular_items_named,
+    "item_counts_strict": item_counts_strict,
     "avg_by_group": avg_by_group,
+    "avg_by_group_rounded": avg_by_group_rounded,
     "avg_by_group_pairs": avg_by_group_pairs,
     "mean_by_group_int": mean_by_group_int,
     "range_filter_sql": range_filter_sql,
@@ -304,6 +323,7 @@ QUERIES: dict[str, Query] = {
     "min_degree_nodes": min_degree_nodes,
     "line_degree_space": line_degree_space,
     "line_degree_each": line_degree_each,
+    "line_fields": line_fields,
     "line_degree_ws": line_degree_ws,
     "bfs_distances": bfs_distances,
     "bfs_target": bfs_target,

@@ -55,7 +55,8 @@ def friends_by_age(spark: SparkSession, path: str, header: bool = False) -> Data
 def people_between(spark: SparkSession, path: str, low: int, high: int, view: str = "people") -> DataFrame:
     """Rows with low < age < high, by SQL over a temporary view."""
     read_delimited(spark, path, schema=PEOPLE, quote=None, mode="FAILFAST").createOrReplaceTempView(view)
-    return spark.sql(f"SELECT * FROM {view} WHERE age < {int(high)} AND age > {int(low)}")
+    return spark.sql("SELECT * FROM IDENTIFIER(:view) WHERE age < :high AND age > :low",
+                     args={"view": view, "high": int(high), "low": int(low)})
 
 
 def customer_spend(spark: SparkSession, path: str, k: int | None = None) -> DataFrame:

@@ -64,6 +64,16 @@ SELECT t.l_partkey, t.count, p.p_name FROM t LEFT JOIN part p ON p.p_partkey = t
     "avg_by_group": """SELECT c_nationkey,
   CAST(sum(CAST(c_acctbal AS DECIMAL(38,10))) AS DOUBLE) / count(c_acctbal) AS avg_acctbal
 FROM customer GROUP BY c_nationkey""",
+    "avg_by_group_rounded": """SELECT c_nationkey, round(fsum(c_acctbal) / count(c_acctbal), 2) AS avg_acctbal
+FROM customer GROUP BY c_nationkey ORDER BY c_nationkey""",
+    "item_counts_strict": """SELECT l_partkey, count(*) AS count, any_value(p_name) AS p_name
+FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY l_partkey""",
+    "line_fields": f"""WITH s AS (SELECT doc_id, regexp_split_to_array(text, '\\r?\\n') AS ls FROM documents),
+l AS (SELECT doc_id, unnest(ls) AS value, unnest(range(len(ls))) AS line_no FROM s),
+t AS (SELECT doc_id, line_no,
+  list_filter(regexp_split_to_array(value, '{_WHITESPACE}'), lambda x: x <> '') AS toks FROM l)
+SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, toks[3] AS third_field,
+  coalesce(array_to_string(toks, ' '), '') AS collapsed FROM t""",
     "avg_by_group_pairs": """SELECT c_nationkey,
   CAST(sum(CAST(c_acctbal AS DECIMAL(38,10))) AS DOUBLE) / count(c_acctbal) AS avg_acctbal
 FROM customer GROUP BY c_nationkey""",

@@ -170,3 +170,19 @@ def test_holdout_cap_and_folds_with_repeated_rows(spark):
     assert out.count() == 6 and out.where("part = 'test'").count() == 2
     folds = contiguous_folds(df, ["u", "i"], 5)
     assert sorted(r["count"] for r in folds.groupBy("fold").count().collect()) == [1, 1, 1, 1, 2]
+
+
+def _edge_tables(spark):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(spark.sparkContext.getCheckpointDir())
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    return [f.getPath().getName() for f in files if f.getPath().getName().startswith("kiln-edges-")]
+
+
+def test_bfs_without_level_bound_and_no_table_left(spark, edges):
+    before = _edge_tables(spark)
+    got = {n: (d, c) for n, d, c in rows(bfs(edges, 1, max_levels=None))}
+    want = python_bfs(EDGES, 1, 100)
+    assert {n: d for n, (d, _) in got.items() if d != 9999} == want and got[9] == (7, "BLACK")
+    assert tuple(bfs_target(edges, 1, 9, max_levels=None).first())[2:] == (7, 1)
+    assert bfs_target(edges, 1, 11, max_levels=None).first().degrees is None
+    assert _edge_tables(spark) == before
