@@ -176,9 +176,11 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are kept, all their columns as they were. The texts are read
-    twice, to fit and to judge, and not shuffled."""
+    """The rows of ``docs`` that are kept, all their columns as they were. Rows and figures are
+    written to the scratch folder, counted and judged there: the texts are measured once and
+    not shuffled."""
     rules = default_rules()
-    model = fit_votes(vote_patterns(figures(pick(docs, text=text_col), keep=()), rules), [r.good for r in rules])
     whole = docs.select(F.struct(*docs.columns).alias("_row"), F.col(text_col).alias("_text"))
-    return (judged(figures(whole, "_text", keep=("_row",)), rules, model).where("kept").select("_row.*"))
+    rows = written(figures(whole, "_text", keep=("_row",)))
+    model = fit_votes(vote_patterns(rows, rules), [r.good for r in rules])
+    return judged(rows, rules, model).where("kept").select("_row.*")
