@@ -362,6 +362,32 @@ def test_tree_removes_what_all_pages_of_a_host_show(spark):
     assert site_style_tree.extract(df.limit(0)).count() == 0
 
 
+def test_tree_decides_in_and_around_articles(spark):
+    rnd = random.Random(21)
+
+    def text():
+        return " ".join(str(rnd.random()) for _ in range(5))
+
+    texts = {k: (text(), [text() for _ in range(12)], text()) for k in range(40)}
+
+    def page(k):
+        head, body, rest = texts[k]
+        return (f"<body><div class=top>Our site</div><article><h1>{head}</h1>{''.join(f'<p>{t}</p>' for t in body)}"
+                f"<div>Send to a friend</div></article><div class=more><p>{rest}</p></div><div class=low>All rights</div></body>")
+
+    rows = [(k, f"http://h{k % 2}.org/{k}", page(k)) for k in range(40)]
+    copy = "<article><h1>A</h1><p>One text</p></article>"
+    rows += [(k, "http://copies.org/", copy) for k in (50, 51)]  # two copies of one page: kept
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for limit in (site_style_tree.MAX_BROADCAST, -1):
+        site_style_tree.MAX_BROADCAST, kept = limit, site_style_tree.MAX_BROADCAST
+        got = {r.page_id: r.text for r in site_style_tree.extract(df).collect()}
+        site_style_tree.MAX_BROADCAST = kept
+        assert len(got) == 42 and got[50] == got[51] == "A\nOne text"
+        for k, (head, body, rest) in texts.items():
+            assert got[k] == "\n".join([head, *body, rest])
+
+
 def test_articles_of_the_test_pages(spark):
     import html
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
