@@ -4,10 +4,11 @@ Texts are lower-cased and cut into words at everything but letters and digits. A
 a window's features are their shingles of five words, weighted by how often they occur (a
 text of fewer words is one shingle).
 
-1. Windows: a window similar to an item shares a shingle with it. Wherever a document has a
-   shingle of an item, the window of the item's size that lines the two up is taken. The
-   shingles are looked up in a bitmap of fixed size first (no false negatives) and then by
-   a join, so that no text is shuffled and only the words around a hit move on.
+1. Windows: of the item-sized windows of a document at every start (the whole document, if it
+   is shorter), those are taken that hold so many places with a shingle of the item that the
+   similarity can be 0.8; their order does not matter. The shingles are looked up in a bitmap
+   of fixed size first (no false negatives) and then by a join, so that no text is shuffled
+   and only the hits move on, every ANCHOR-th place with the words around it.
 2. SimHash: a 64-bit fingerprint of each window and item, each bit the sign of the weighted
    sum over the shingles' hash bits.
 3. Multi-index Hamming search: the fingerprint is cut into BLOCKS blocks. Two fingerprints
@@ -37,6 +38,9 @@ MIN_SIMILARITY = 0.8
 #: differ by 10 bits on average, with a standard deviation of 3.
 BLOCKS = (13, 13, 13, 13, 12)
 RADIUS = 19
+#: Places that carry their words. A window that is taken has a shingle of the item at eight of nine
+#: of its places or more, and so at a multiple of ANCHOR (or of its number of places, if smaller).
+ANCHOR = 4
 #: The bitmap has 2^14 words of 64 bits.
 BITMAP_WORDS = 1 << 14
 #: Rows of an item table that are broadcast (20 bytes each); larger ones are left to a shuffled join.
@@ -119,8 +123,8 @@ def items_of(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "t
 
 
 def _places(items: DataFrame) -> DataFrame:
-    """(k, h, q, size): shingles of items, their place, and the size of the item."""
-    return (items.select("size", "k", F.posexplode("shingles").alias("q", "h")).distinct())
+    """(k, h, size, key): shingles of items, the size of the item, and a hash of all its shingles."""
+    return items.select("size", "k", F.xxhash64("shingles").alias("key"), F.explode("shingles").alias("h")).distinct()
 
 
 def _word_of(h: Column) -> Column:
@@ -132,8 +136,9 @@ def _bit_of(h: Column) -> Column:
     return h.bitwiseAND(F.lit(63)).cast("int")
 
 
-def _hits(words: Column, k: int, bitmap: list[int], longest: int) -> Column:
-    """Places whose k-word shingle is in the bitmap: hash, place, number of words, and the words near it."""
+def _hits(words: Column, k: int, bitmap: list[int], longest: int, anchor: int) -> Column:
+    """Places whose k-word shingle is in the bitmap: hash, place, number of words, and at every
+    ``anchor``-th place the words near it."""
     table = F.from_json(F.lit(str(bitmap)), "array<bigint>")
 
     def known(h):
@@ -142,7 +147,7 @@ def _hits(words: Column, k: int, bitmap: list[int], longest: int) -> Column:
     def context(w, p):
         lo = F.greatest(p - longest, F.lit(0))
         return F.struct(_hash_at(w, p, k).alias("h"), p.alias("p"), lo.alias("lo"), F.size(w).alias("n"),
-                        F.slice(w, lo + 1, F.lit(2 * longest)).alias("near"))
+                        F.when(p % anchor == 0, F.slice(w, lo + 1, F.lit(2 * longest))).alias("near"))
 
     def hits(w):
         found = F.filter(F.sequence(F.lit(0), F.size(w) - k), lambda p: _bind(_hash_at(w, p, k), known))
@@ -151,10 +156,37 @@ def _hits(words: Column, k: int, bitmap: list[int], longest: int) -> Column:
     return _bind(words, hits)
 
 
-def _windows(docs: DataFrame, places: DataFrame, sizes: list[int], longest: int, n_places: int) -> DataFrame:
-    """(doc_id, size, start, words): the item-sized windows at shared shingles."""
+def _taken(hits: Column, n: Column, size: Column, k: int) -> Column:
+    """(start, words) of the windows whose hits can make 0.8. ``hits``: (p, lo, near) of all
+    places of one document that have a shingle of one item, in order."""
+    width = F.least(size, n)
+    places = width - k + 1
+    need = F.ceil((places + size - k + 1) * MIN_SIMILARITY / (1 + MIN_SIMILARITY) - 1e-9).cast("int")
+
+    def p(h, i):
+        return F.get(h, i)["p"]
+
+    def of(h, i):
+        """The starts of windows that hold ``need`` hits from the i-th on, and not the one before."""
+        lo = F.greatest(p(h, i + need - 1) - places + 1, F.coalesce(p(h, i - 1) + 1, F.lit(0)), F.lit(0))
+        hi = F.least(p(h, i), n - width)
+        anchor = F.get(F.filter(F.slice(h, i + 1, need), lambda x: x["near"].isNotNull()), F.lit(0))
+        starts = F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
+        return _bind(anchor, lambda a: F.transform(starts, lambda t: F.struct(
+            t.alias("start"), F.slice(a["near"], t - a["lo"] + 1, width).alias("words"))))
+
+    def all_of(h):
+        first = F.when(F.size(h) >= need, F.sequence(F.lit(0), F.size(h) - need)).otherwise(F.array().cast("array<int>"))
+        return F.flatten(F.transform(F.filter(first, lambda i: p(h, i + need - 1) - p(h, i) < places), lambda i: of(h, i)))
+
+    return _bind(hits, all_of)
+
+
+def _windows(docs: DataFrame, places: DataFrame, known: list, n_places: int) -> DataFrame:
+    """(doc_id, size, key, start, words): the item-sized windows that share enough with an item.
+    ``known``: (k, longest, shortest), the sizes of the items by k."""
     parts = []
-    for k in sizes:
+    for k, longest, shortest in known:
         of_k = places.where(F.col("k") == k)
         bits = (of_k.groupBy(_word_of(F.col("h")).alias("w"))
                 .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), _bit_of(F.col("h")))).alias("b"))
@@ -162,17 +194,19 @@ def _windows(docs: DataFrame, places: DataFrame, sizes: list[int], longest: int,
         bitmap = [0] * BITMAP_WORDS
         for row in bits:
             bitmap[row.w] = row.b
-        near = (docs.select("doc_id", F.explode(_hits(_words(F.col("text")), k, bitmap, longest)).alias("x"))
-                .select("doc_id", "x.*"))
-        joined = near.join(_bounded(of_k.select("h", "q", "size"), n_places), "h")
-        start = F.greatest(F.least(F.col("p") - F.col("q"), F.col("n") - F.col("size")), F.lit(0))
-        parts.append(joined.select("doc_id", "size", start.alias("start"),
-                                   F.slice("near", start - F.col("lo") + 1, F.col("size")).alias("words")))
+        hits = _hits(_words(F.col("text")), k, bitmap, longest, min(ANCHOR, shortest - k + 1))
+        near = (docs.select("doc_id", F.xxhash64("text").alias("row"), F.explode(hits).alias("x"))
+                .select("doc_id", "row", "x.*"))
+        joined = near.join(_bounded(of_k.select("h", "size", "key"), n_places), "h")
+        # The hits of one text and one item meet in one task; repeated rows are the same ones.
+        met = (joined.groupBy("doc_id", "row", "n", "size", "key")
+               .agg(F.sort_array(F.collect_set(F.struct("p", "lo", "near"))).alias("hits")))
+        parts.append(met.select("doc_id", "size", "key", F.explode(_taken(F.col("hits"), F.col("n"), F.col("size"), k)).alias("x"))
+                     .select("doc_id", "size", "key", "x.*"))
     out = parts[0]
     for part in parts[1:]:
         out = out.union(part)
-    # The same window is found at each shingle it shares; they meet in one task, combined before.
-    return out.groupBy("doc_id", "size", "start", "words").agg(F.count(F.lit(1)).alias("shared"))
+    return out
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -182,8 +216,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     rows = pick(docs, doc_id=id_col, text=text_col)
     items = items_of(benchmark, item_col, item_text_col)
     places = _places(items)
-    known = places.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("longest")).collect()  # 5 rows at most
-    windows = _windows(rows, places, sorted(r.k for r in known) or [SHINGLE], max([r.longest for r in known], default=1),
+    known = places.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("longest"), F.min("size").alias("shortest")
+                                     ).collect()  # 5 rows at most
+    windows = _windows(rows, places, sorted((r.k, r.longest, r.shortest) for r in known) or [(SHINGLE, SHINGLE, SHINGLE)],
                        sum(r.n for r in known))
     windows = windows.withColumn("shingles", _shingles(F.col("words")))
     windows = windows.select("doc_id", "size", "start", "shingles", _simhash(F.col("shingles")).alias("fingerprint"))

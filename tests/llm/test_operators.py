@@ -202,6 +202,39 @@ def test_decontamination(spark, awkward):
     assert {r.doc_id for r in kept.collect()} == {3, 4, 5, 6, None} - {i for i, _ in want if i is not None}
 
 
+def shingle_bag(w):
+    return Counter(tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4)))
+
+
+def best_window(w, v):
+    """The largest similarity of an item-sized window of the words ``w`` to the item ``v``."""
+    b, out = shingle_bag(v), 0
+    for s in range(max(1, len(w) - len(v) + 1)):
+        a = shingle_bag(w[s:s + len(v)])
+        out = max(out, sum((a & b).values()) / sum((a | b).values()))
+    return out
+
+
+def test_decontamination_finds_parts_in_another_order(spark):
+    rnd = random.Random(22)
+    items = [[f"i{j}w{k}" for k in range(n)] for j, n in enumerate((60, 80, 120, 5, 6, 7, 9, 3))]
+    items.append(["a", "b"] * 20)
+    docs = []
+    for j, v in enumerate(items):
+        cut = len(v) // 5
+        for turned in (v, v[-cut:] + v[:-cut], v[cut:] + v[:cut], v[1:] + v[:1], v[:-1], v[1:]):
+            for before in (0, 1, 2, 3, 50):
+                docs.append([f"x{rnd.random()}" for _ in range(before)] + turned + [f"y{rnd.random()}" for _ in range(rnd.choice((0, 30)))])
+    docs.append(items[0][-12:] + items[0][:48])
+    docs.append(docs[0] + items[1] + items[0][-12:] + items[0][:48] + ["z"] * 9 + items[2])
+    d = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(docs)], "doc_id long, text string")
+    b = spark.createDataFrame([(j, " ".join(v)) for j, v in enumerate(items)], "item_id long, text string")
+    want = {(k, j): s for k, w in enumerate(docs) for j, v in enumerate(items) if (s := best_window(w, v)) >= 0.8}
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontaminate.leaks(d, b).collect()}
+    assert got == pytest.approx(want)
+    assert want[(len(docs) - 2, 0)] == pytest.approx(52 / 60)
+
+
 def test_hamming_blocks_find_every_fingerprint_in_the_radius(spark):
     rnd = random.Random(6)
     rows = []
