@@ -235,6 +235,16 @@ def test_decontamination_finds_parts_in_another_order(spark):
     assert want[(len(docs) - 2, 0)] == pytest.approx(52 / 60)
 
 
+def test_decontamination_does_not_hang_on_the_radius(spark, monkeypatch):
+    item = [f"w{k}" for k in range(60)]
+    docs = [["x"] + item[:30] + ["new"] + item[31:] + ["y"], item[:-3] + ["z"] * 9, item[:20] + ["new"] + item[21:40] + ["new"] + item[41:]]
+    d = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(docs)], "doc_id long, text string")
+    b = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    monkeypatch.setattr(decontaminate, "RADIUS", 0)  # as for fingerprints that lie beyond it
+    got = {r.doc_id: r.similarity for r in decontaminate.leaks(d, b).collect()}
+    assert got == pytest.approx({k: s for k, w in enumerate(docs) if (s := best_window(w, item)) >= 0.8}) and set(got) == {0, 1}
+
+
 def test_hamming_blocks_find_every_fingerprint_in_the_radius(spark):
     rnd = random.Random(6)
     rows = []
