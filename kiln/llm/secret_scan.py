@@ -5,12 +5,15 @@ Base kinds, leftmost non-overlapping matches over the whole text, each kind by i
 key id of 20 or more) and ``hex`` (24 or more lower-case hex digits).
 
 The entropy kinds look at candidate strings, the maximal runs of URL-safe and standard
-base64 characters, 20 or longer. A candidate's character class (all hex digits, or mixed)
-sets the entropy a window of 20 characters must reach. The counts of a window are kept up
+base64 characters, 20 or longer. A window's character class (all hex digits, or mixed)
+sets the entropy a window of 20 characters must reach, so that a hex key is found after a
+name, a path or "0x" as it is alone. The counts of a window are kept up
 as it slides: one character enters, one leaves, and only their two terms of the sum
 c*log2(c) change. Windows that reach the limit are merged into spans (``hex_entropy``,
-``base64_entropy``). The allow-list suppresses candidates that are random-looking but
-known to be harmless. Entropy spans are added; base spans always stay.
+``base64_entropy``). The allow-list suppresses what is random-looking but known to be
+harmless, by the part that holds the window: for hex windows the stretch between separators
+and the run of hex digits in it, for others the whole candidate and, within it, the side of
+an equals sign. Entropy spans are added; base spans always stay.
 
 Null text is read as empty: no spans (``redact`` leaves null text null). Every row is
 scanned by itself, so ties and repeated rows each get their spans; other columns are not read.
@@ -35,10 +38,14 @@ KINDS = ("assign", "access", "hex", "hex_entropy", "base64_entropy")
 
 WINDOW = 20
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-#: Bits per character a window must reach, by character class of its candidate.
+HEX_RUN = re.compile(r"[0-9a-fA-F]{20,}")
+#: A part of a candidate between separators, and a side of an equals sign with its padding.
+PART = re.compile(r"[^/_=+-]{20,}")
+SIDE = re.compile(r"[^=]{20,}=*")
+#: Bits per character a window must reach, by its character class.
 MIN_ENTROPY = {"hex_entropy": 3.0, "base64_entropy": 3.9}
 
-#: Allow-list: candidates that match one of these as a whole are not secrets.
+#: Allow-list: candidates and parts of them that match one of these as a whole are not secrets.
 ALLOW = (
     r"[A-Za-z/_=+-]+",                                        # no digit: words, paths, rulers
     r"[0-9/_=+-]+",                                           # no letter: numbers, dates
@@ -81,11 +88,21 @@ def find_spans(text: str, allow: re.Pattern) -> list[tuple[str, int, int]]:
     found += [("access", *m.span()) for m in ACCESS.finditer(text) if len(m[0]) >= 20]
     found += [("hex", *m.span()) for m in HEX.finditer(text)]
     for m in CANDIDATE.finditer(text):
-        s = m[0]
-        if allow.fullmatch(s):
+        s, at = m[0], m.start()
+        for part in PART.finditer(s):
+            if allow.fullmatch(part[0]):
+                continue
+            for run in HEX_RUN.finditer(s, part.start(), part.end()):
+                if not allow.fullmatch(run[0]):
+                    found += [("hex_entropy", at + run.start() + a, at + run.start() + b)
+                              for a, b in entropy_windows(run[0], MIN_ENTROPY["hex_entropy"])]
+        if not s.strip("0123456789abcdefABCDEF"):
             continue
-        kind = "base64_entropy" if s.strip("0123456789abcdefABCDEF") else "hex_entropy"
-        found += [(kind, m.start() + a, m.start() + b) for a, b in entropy_windows(s, MIN_ENTROPY[kind])]
+        # An allowed candidate can still hold a value that is not.
+        mixed = [(0, s)] if not allow.fullmatch(s) else [(x.start(), x[0]) for x in SIDE.finditer(s)
+                                                         if not allow.fullmatch(x[0])]
+        found += [("base64_entropy", at + start + a, at + start + b) for start, x in mixed
+                  for a, b in entropy_windows(x, MIN_ENTROPY["base64_entropy"])]
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
 

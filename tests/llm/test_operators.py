@@ -102,6 +102,21 @@ def test_redact_masks_and_keeps_columns(spark, awkward):
     assert secret_scan.find_spans(allowed, re.compile("|".join(f"(?:{p})" for p in secret_scan.ALLOW))) == []
 
 
+def test_hex_keys_after_names_and_separators_are_found_as_alone():
+    rnd = random.Random(23)
+    allow = re.compile("|".join(f"(?:{p})" for p in secret_scan.ALLOW), re.DOTALL)
+    for _ in range(300):
+        key = "".join(rnd.choice("0123456789ABCDEF") for _ in range(40))
+        alone = [(k, a, b) for k, a, b in secret_scan.find_spans(key, allow)]
+        for before in ("SIGNING_KEY=", "KEY=", "/", "0x", "EXAMPLE_KEY=", "key-", "a/b_", "zz"):
+            got = secret_scan.find_spans(f"see {before}{key}/x", allow)
+            n = 4 + len(before)
+            assert [x for x in got if x[0] == "hex_entropy"] == [(k, a + n, b + n) for k, a, b in alone]
+    assert secret_scan.find_spans("EXAMPLE_KEY=q8Zr3Lw0Xk7Tn5Vb1Yc9Hd2Mf6Gp4Js", allow) == [("base64_entropy", 12, 43)]
+    for harmless in ("id/12345678901234567890123", "id=123e4567-e89b-12d3-a456-426614174000", "n_x12345678901234567890"):
+        assert secret_scan.find_spans(harmless, allow) == []
+
+
 # ---- 2 and 10 -------------------------------------------------------------------------------------
 
 def test_rank_code_round_trip():
