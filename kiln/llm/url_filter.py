@@ -9,7 +9,7 @@ rule's, and the longest rule that fits decides. For the rest:
    word of n letters that was never seen has a probability falling with n, so that unknown
    names stay whole. Only the substrings of labels are looked up, by a join; the word
    counts are never gathered.
-3. Multinomial naive Bayes over the words of host and path, learnt from the pages that the
+3. Multinomial naive Bayes over the words of host and path, each as often as it occurs, learnt from the pages that the
    rules decide; the words that rules themselves name are left out. Words are hashed into
    BUCKETS buckets, which bounds the model.
 
@@ -119,9 +119,10 @@ def segmented(labels: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def host_words(hosts: DataFrame, counts: DataFrame) -> DataFrame:
-    """(host, words): words of every distinct host, of its labels split at all but letters."""
-    parts = hosts.select("host").distinct().select("host", F.explode(F.array_distinct(F.array_remove(
-        F.split("host", r"[^a-z]+", -1), ""))).alias("label"))
+    """(host, words): words of every distinct host, of its labels split at all but letters; those of
+    a label that the host repeats as often."""
+    parts = hosts.select("host").distinct().select("host", F.explode(F.array_remove(
+        F.split("host", r"[^a-z]+", -1), "")).alias("label"))
     words = segmented(parts.select("label").distinct(), counts)
     return parts.join(words, "label").groupBy("host").agg(F.flatten(F.collect_list("words")).alias("words"))
 
@@ -156,8 +157,9 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
     named = F.array(*[F.lit(w) for w in rule_words(rules)]).cast("array<string>")
     split = (rows.join(written(host_words(rows, counts)), "host", "left")
              .select("page_id", "host", "path", rule.alias("rule"), verdict.alias("verdict"),
-                     F.array_except(F.concat(F.coalesce("words", F.array().cast("array<string>")), F.transform(
-                         path_words, lambda w: F.concat(F.lit("/"), w))), named).alias("words")))
+                     F.filter(F.concat(F.coalesce("words", F.array().cast("array<string>")), F.transform(
+                         path_words, lambda w: F.concat(F.lit("/"), w))),
+                              lambda w: ~F.array_contains(named, w)).alias("words")))
     model = train(split)
     if not model:
         odds = F.lit(0.0)

@@ -515,6 +515,21 @@ def test_url_parts_and_rules(spark):
     assert url_filter.judge(pages.limit(0)).count() == 0
 
 
+def test_words_of_an_url_count_as_often_as_they_occur(spark):
+    import math
+    urls = ["http://a.net/pills/pills/x", "http://b.org/fr/news", "http://pills.pills.info/pills/pills/news/de"]
+    pages = spark.createDataFrame([(k, u, "<p>pills news</p>") for k, u in enumerate(urls)],
+                                  "page_id long, url string, html string")
+    got = {r.page_id: r for r in url_filter.judge(pages).collect()}
+    # net, org, /fr and /de are named by rules.
+    assert sorted(got[0].words) == ["/pills", "/pills", "/x", "a"] and sorted(got[1].words) == ["/news", "b"]
+    assert sorted(got[2].words) == ["/news", "/pills", "/pills", "info", "pills", "pills"]
+    block, allow, n = Counter(got[0].words), Counter(got[1].words), 5
+    want = sum(math.log((block[w] + 1) / (4 + n)) - math.log((allow[w] + 1) / (2 + n)) for w in got[2].words
+               if w in block or w in allow)
+    assert got[2].log_odds == pytest.approx(want, abs=1e-4)
+
+
 def test_segmentation(spark):
     counts = spark.createDataFrame([("cheap", 50), ("pills", 40), ("che", 2), ("a", 500)], "word string, n long")
     labels = spark.createDataFrame([("cheappills",), ("zzz",), ("acheap",)], "label string")
