@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kiln.llm import (
-    bpe_automaton, decontaminate, minhash_dedup, quality_ranking, quality_rules, secret_scan, site_style_tree,
+    bpe_automaton, chunk_bpe, decontaminate, minhash_dedup, quality_ranking, quality_rules, secret_scan, site_style_tree,
     substring_dedup, token_files, url_filter)
 from kiln.llm.common import table
 
@@ -86,7 +86,16 @@ def op10_bpe_automaton(spark, sf_dir):
                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op12_chunk_bpe(spark, sf_dir):
+    """Ids of every document by the rank file, taken in overlapping chunks, and the bytes they decode to."""
+    import public_tokenizers
+    done = chunk_bpe.encode_decode(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"),
+                                   public_tokenizers.PATTERN)
+    return done.select("doc_id", F.expr("cast(octet_length(ids) div 4 as long)").alias("n_tokens"),
+                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 LLM_QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_token_files, op3_decontamination, op4_quality_rules, op5_minhash_dedup, op6_site_style_tree,
-    op7_substring_dedup, op8_url_filter, op9_quality_ranking, op10_bpe_automaton)}
+    op7_substring_dedup, op8_url_filter, op9_quality_ranking, op10_bpe_automaton, op12_chunk_bpe)}
 LLM_ORACLE: dict[str, str] = {}
