@@ -13,30 +13,33 @@ match the bytes ahead are followed. A prefix of a BPE sequence is the BPE sequen
 prefix, so each position is reached by one arc only, and the path to the end is the
 encoding. Decoding emits the labels of the arcs.
 
+Texts are split into words by numpy, a batch of rows at a time; each distinct word of a batch
+passes the automaton once, and ids and labels are laid out by gathering.
+
 Null text is read as empty text: no ids, decoded text "". A row is encoded by itself, so
-repeated rows, ties and the order of rows do not matter; other columns are not read.
+repeated rows, ties and the order of rows do not matter; other columns are not read. A very long
+text is a batch by itself, held by one task. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import json
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from kiln.llm.common import pick, ship
-
-#: White space of the splitting pattern (the Unicode property White_Space), fixed values.
-_S = r"\t-\r \x85\xa0  -     　"
-#: The published byte-level splitting pattern, with its white space written out.
-SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_S}\p{{L}}\p{{N}}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
+from kiln.llm.common import pick, ranges, ship
+from kiln.llm.word_ids import IdPool, Labels, binary_rows, pretoken_bounds, slices, text_bytes
 
 #: Entries a task keeps of words already encoded, and of arcs already looked up. Memory
 #: bounds only: on reaching one the table is emptied and filled anew.
 WORD_CACHE = 400_000
 ARC_CACHE = 2_000_000
+#: Bytes of text encoded at once.
+SLICE = 4 << 20
 
 
 def byte_symbols() -> dict[str, int]:
@@ -62,9 +65,8 @@ class BpeAutomaton:
         self.added = {a["content"]: a["id"] for a in added}
         for content, i in self.added.items():
             self.label[i] = content.encode()
-        self._added_split = (regex.compile("(" + "|".join(
-            regex.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None)
-        self._split = regex.compile(SPLIT)
+        self._added_split = (regex.compile(b"|".join(
+            regex.escape(t.encode()) for t in sorted(self.added, key=len, reverse=True))) if self.added else None)
 
         self.made_at = [-1]   # state -> step of the split that made it; state 0 is the start
         self.parent = [-1]    # state -> state it is a copy of
@@ -94,8 +96,8 @@ class BpeAutomaton:
                 self._ahead.setdefault(text[:n], -1)
             self._ahead[text] = t
         self._arcs: dict[int, bool] = {}
-        self._words: dict[str, bytes] = {}
-        self.word_cache = WORD_CACHE
+        self.words = IdPool(lambda words: [self.encode_bytes(w) for w in words], WORD_CACHE)
+        self.labels = Labels(self.label)
 
     @classmethod
     def from_text(cls, text: str) -> "BpeAutomaton":
@@ -141,28 +143,43 @@ class BpeAutomaton:
             i -= len(self.label[arrived[i]])
         return out[::-1]
 
+    def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after another, and the len + 1 places where the texts meet. The
+        words of all texts are cut out by numpy; distinct ones pass the automaton once."""
+        data, bounds = text_bytes(texts)
+        raw = data.tobytes() if self.added else b""
+        marks = sorted((m.start(), m.end()) for m in self._added_split.finditer(raw)) if self.added else []
+        # Added tokens are texts of their own, whose word has one id.
+        marks = [(a, b) for a, b in marks if np.searchsorted(bounds, a, "right") == np.searchsorted(bounds, b, "left")]
+        cuts = np.unique(np.concatenate([bounds, np.array(marks, np.int64).ravel()]))
+        begins = pretoken_bounds(data, cuts)
+        if marks:
+            keep = np.ones(len(begins), bool)
+            for a, b in marks:
+                keep[np.searchsorted(begins, a) + 1:np.searchsorted(begins, b)] = False
+            begins = begins[keep]
+        ids, ends = self.words.ids(slices(data, begins))
+        if marks:
+            at = np.searchsorted(begins, [a for a, _ in marks])
+            size = np.diff(ends)
+            new = size.copy()
+            new[at] = 1
+            out = np.zeros(int(new.sum()), np.uint32)
+            ends = np.concatenate([[0], np.cumsum(new)])
+            plain = np.ones(len(new), bool)
+            plain[at] = False
+            out[np.repeat(plain, new)] = ids[np.repeat(plain, size)]
+            out[ends[at]] = [self.added[raw[a:b].decode()] for a, b in marks]
+            ids = out
+        return ids, ends[np.searchsorted(begins, bounds)]
+
     def encode(self, text: str) -> bytes:
         """Ids of ``text`` as little-endian unsigned 32-bit integers."""
-        pieces = self._added_split.split(text) if self._added_split else [text]
-        words, out = self._words, []
-        for k, piece in enumerate(pieces):
-            if k % 2:
-                out.append(self.added[piece].to_bytes(4, "little"))
-                continue
-            for word in self._split.findall(piece):
-                ids = words.get(word)
-                if ids is None:
-                    ids = b"".join(t.to_bytes(4, "little") for t in self.encode_bytes(word.encode()))
-                    if len(word) <= 64:
-                        if len(words) >= self.word_cache:
-                            words.clear()
-                        words[word] = ids
-                out.append(ids)
-        return b"".join(out)
+        return self.encode_batch(pa.array([text], pa.string()))[0].astype("<u4").tobytes()
 
     def forget(self) -> None:
         """Empty the tables of words and arcs seen, so that an idle worker holds little memory."""
-        self._words.clear()
+        self.words.forget()
         self._arcs.clear()
 
     def decode(self, ids) -> str:
@@ -191,11 +208,13 @@ def encode_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text
     def run(batches):
         auto = automaton(spec.value)
         for batch in batches:
-            ids = [auto.encode(t or "") for t in batch.column(1).to_pylist()]
-            text = [auto.decode(memoryview(x).cast("I")) for x in ids]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(ids, pa.binary()), pa.array(text, pa.string())],
-                names=["doc_id", "ids", "decoded"])
+            for lo, hi in ranges(np.diff(text_bytes(batch.column(1))[1]), SLICE):
+                part = batch.slice(lo, hi - lo)
+                ids, ends = auto.encode_batch(part.column(1))
+                decoded, meet = auto.labels.decode(ids)
+                text = [d.decode("utf-8", "replace") for d in binary_rows(decoded, meet[ends]).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), binary_rows(ids, ends), pa.array(text, pa.string())],
+                                                 names=["doc_id", "ids", "decoded"])
 
     ship(docs.sparkSession)
     rows = pick(docs, doc_id=id_col, text=text_col)
@@ -215,18 +234,19 @@ def with_ids(docs: DataFrame, vocabulary: str, text_col: str = "text", word_cach
 
     def run(batches):
         auto = automaton(spec.value)
-        auto.word_cache = word_cache
+        auto.words.limit = word_cache
         for batch in batches:
-            ids = []
-            for text in batch.column(position).to_pylist():
-                ids.append(auto.encode(text or ""))
-                if auto.decode(memoryview(ids[-1]).cast("I")) != (text or ""):
+            for lo, hi in ranges(np.diff(text_bytes(batch.column(position))[1]), SLICE):
+                part = batch.slice(lo, hi - lo)
+                ids, ends = auto.encode_batch(part.column(position))
+                decoded, meet = auto.labels.decode(ids)
+                data, bounds = text_bytes(part.column(position))
+                if not (np.array_equal(decoded, data) and np.array_equal(meet[ends], bounds)):
                     raise ValueError("ids that do not decode to their text")
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                names=[*batch.schema.names, "n_tokens", "ids"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(np.diff(ends), pa.int64()), binary_rows(ids, ends)],
+                                                 names=[*part.schema.names, "n_tokens", "ids"])
         auto.forget()
-        auto.word_cache = WORD_CACHE
+        auto.words.limit = WORD_CACHE
 
     schema = StructType([*docs.schema.fields, StructField("n_tokens", LongType()), StructField("ids", BinaryType())])
     return docs.mapInArrow(run, schema)
