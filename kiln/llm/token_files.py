@@ -22,6 +22,7 @@ bytes. Other columns are not read. An empty table gives no blocks and no ranks.
 
 from __future__ import annotations
 
+import json
 import os
 
 import numpy as np
@@ -31,10 +32,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kiln.llm.common import pick, ranges, scratch_folder, ship, written
+from kiln.llm.word_ids import IdPool, slices, text_bytes, words_between
 
 #: Ids in a block, about; and chunks a task remembers (emptied when full: a memory bound only).
 BLOCK_IDS = 1 << 16
 CACHE = 1_500_000
+#: Words of plain letters given to the tokenizer in one text.
+JOINED = 256
 
 #: Bytes of text encoded at once.
 SLICE = 8 << 20
@@ -69,6 +73,15 @@ def unpack_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out
 
 
+#: Bytes that separate chunks; lower-case form of each byte; punctuation but for the apostrophe, which may
+#: begin a suffix; letters and digits.
+_SOLID = np.ones(256, bool)
+_SOLID[[9, 10, 11, 12, 13, 32]] = False
+_LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
+_PUNCTUATION = np.array([33 <= b < 127 and not chr(b).isalnum() and b != 39 for b in range(256)])
+_PLAIN = np.array([b < 128 and chr(b).isalnum() for b in range(256)])
+
+
 class ChunkEncoder:
     """Ids of texts by one vocabulary file, remembering the chunks between white space."""
 
@@ -79,55 +92,70 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[str, bytes] = {}
-
-    def _chunk_ids(self, chunks: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each of the distinct chunks."""
-        if len(self.known) > CACHE:
-            self.known.clear()
-        known = self.known
-        missing = {c: _parts(c) for c in chunks if c not in known}
-        new = list({p for of in missing.values() for p in of if p not in known})
-        for lo in range(0, len(new), 4096):
-            part = new[lo:lo + 4096]
-            for c, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[c] = np.array(e.ids, "<u4").tobytes()
-        for c, of in missing.items():
-            known[c] = b"".join([known[p] for p in of])
-        return [known[c] for c in chunks]
+        self.pool = IdPool(self._new, CACHE)
+        model = json.loads(spec)["model"]
+        suffix = model.get("end_of_word_suffix") or None
+        # Ids that end a word, where the vocabulary marks them.
+        self.ends_word = np.zeros(max(model["vocab"].values(), default=0) + 1, bool)
+        if suffix:
+            self.ends_word[[i for token, i in model["vocab"].items() if token.endswith(suffix)]] = True
+
+    def _new(self, chunks: list[bytes]) -> list:
+        """Ids of distinct chunks. Those of plain letters are one word each for the tokenizer, so that
+        many go in one text, whose ids are cut after each that ends a word."""
+        out: list = [None] * len(chunks)
+        letters = [k for k, c in enumerate(chunks) if c.isalpha()] if self.ends_word.any() else []
+        for lo in range(0, len(letters), JOINED):
+            part = letters[lo:lo + JOINED]
+            ids = np.array(self._encode([b" ".join([chunks[k] for k in part])])[0], np.uint32)
+            ends = np.flatnonzero(self.ends_word[np.minimum(ids, len(self.ends_word) - 1)]) + 1
+            if len(ends) == len(part) and ends[-1] == len(ids):
+                for k, a, b in zip(part, [0, *ends[:-1].tolist()], ends.tolist()):
+                    out[k] = ids[a:b]
+        rest = [k for k, ids in enumerate(out) if ids is None]
+        for lo in range(0, len(rest), 4096):
+            part = rest[lo:lo + 4096]
+            for k, ids in zip(part, self._encode([chunks[k] for k in part])):
+                out[k] = ids
+        return out
+
+    def _encode(self, texts: list[bytes]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
-        """Ids of each text. The chunks between ASCII white space are numbered in Arrow, encoded
-        once each, and their ids laid out by numpy."""
-        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
-        chunks = split.flatten().dictionary_encode()
-        ids_of = self._chunk_ids(chunks.dictionary.to_pylist())
-        sizes = np.array([len(x) // 4 for x in ids_of], np.int64)
-        flat = np.frombuffer(b"".join(ids_of), "<u4")
-        code = chunks.indices.to_numpy()
-        size = sizes[code]
-        ends = np.concatenate([[0], np.cumsum(size)])
-        first = (np.cumsum(sizes) - sizes)[code]
-        ids = flat[np.repeat(first - ends[:-1], size) + np.arange(ends[-1])]
-        bounds = ends[split.offsets.to_numpy() - split.offsets[0].as_py()]
-        return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
-
-
-#: ASCII punctuation but for the apostrophe, which may begin a suffix.
-_PUNCTUATION = "".join(chr(b) for b in range(33, 127) if not chr(b).isalnum() and b != 39)
-
-
-def _parts(chunk: str) -> list[str]:
-    """Pieces of a chunk that the tokenizer encodes alike by themselves: it lower-cases (done here
-    for plain ASCII without special tokens) and cuts between a letter or digit and punctuation."""
-    if "<|" in chunk:
-        return [chunk]
-    if chunk.isascii():
-        chunk = chunk.lower()
-    core = chunk.rstrip(_PUNCTUATION)
-    if core and len(core) < len(chunk) and core.lower()[-1].isalnum():
-        return [core, chunk[len(core):]]
-    return [chunk]
+        """Ids of each text. The chunks between ASCII white space are cut by numpy, numbered in Arrow,
+        encoded once each, and their ids laid out by gathering."""
+        data, bounds = text_bytes(texts)
+        chunks, meet = _chunks(data, bounds)
+        ids, ends = self.pool.ids(chunks)
+        at = ends[meet]
+        return [ids[a:b] for a, b in zip(at[:-1], at[1:])]
+
+
+def _chunks(data: np.ndarray, bounds: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The chunks of all texts, and where in their list the texts meet. They are cut further where the
+    tokenizer does: between a letter or digit and the punctuation at a chunk's end; and in lower case,
+    as the tokenizer reads them. Both only in chunks that cannot hold a special token."""
+    chunks, start, text = words_between(data, bounds, _SOLID)
+    n = len(chunks)
+    ends = np.frombuffer(chunks.buffers()[1], np.int32)[:n + 1].astype(np.int64)
+    solid = np.frombuffer(chunks.buffers()[2], np.uint8) if n else data[:0]
+    special = np.flatnonzero((solid[:-1] == ord("<")) & (solid[1:] == ord("|")))
+    plain = np.ones(n, bool)
+    plain[np.searchsorted(ends, special, "right") - 1] = False
+    # First byte of the punctuation that ends each chunk.
+    other = np.maximum.accumulate(np.where(_PUNCTUATION[solid], -1, np.arange(len(solid))))
+    tail = other[ends[1:] - 1] + 1
+    cut = plain & (tail > ends[:-1]) & (tail < ends[1:])
+    cut[cut] = _PLAIN[solid[tail[cut] - 1]]
+    lower = _LOWER[solid]
+    if not plain.all():
+        keep = np.repeat(~plain, np.diff(ends))
+        lower[keep] = solid[keep]
+    begins = np.sort(np.concatenate([ends, tail[cut]]))
+    # Chunks before each text, and the pieces that were cut off them.
+    meet = np.searchsorted(start, bounds)
+    return slices(lower, begins), meet + np.concatenate([[0], np.cumsum(cut)])[meet]
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}

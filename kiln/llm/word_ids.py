@@ -4,6 +4,7 @@ by numpy, ids of distinct words remembered in flat arrays, ids laid out and deco
 from __future__ import annotations
 
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -130,7 +131,7 @@ class IdPool:
         if missing:
             ids = self.encode(missing)
             size = np.fromiter(map(len, ids), np.int64, len(ids))
-            new = np.fromiter((t for x in ids for t in x), np.uint32, int(size.sum()))
+            new = np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))
             self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(size) - size])
             self.size = np.concatenate([self.size, size])
             self.flat = np.concatenate([self.flat, new])
