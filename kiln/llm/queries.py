@@ -8,8 +8,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kiln.llm import (
-    bpe_automaton, chunk_bpe, decontaminate, minhash_dedup, quality_ranking, quality_rules, secret_scan, site_style_tree,
-    substring_dedup, token_files, url_filter)
+    bpe_automaton, chunk_bpe, decontaminate, minhash_dedup, quality_ranking, quality_rules, ranked_search, secret_scan,
+    site_style_tree, substring_dedup, token_files, url_filter)
 from kiln.llm.common import table
 
 #: Folder of the public vocabulary files: a parameter of the package that installs them.
@@ -95,7 +95,32 @@ def op12_chunk_bpe(spark, sf_dir):
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op13_ranked_search(spark, sf_dir):
+    """The 50 best documents of every benchmark item."""
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 LLM_QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_token_files, op3_decontamination, op4_quality_rules, op5_minhash_dedup, op6_site_style_tree,
-    op7_substring_dedup, op8_url_filter, op9_quality_ranking, op10_bpe_automaton, op12_chunk_bpe)}
-LLM_ORACLE: dict[str, str] = {}
+    op7_substring_dedup, op8_url_filter, op9_quality_ranking, op10_bpe_automaton, op12_chunk_bpe,
+    op13_ranked_search)}
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = rf"regexp_extract_all({_LOWER.format('text')}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+LLM_ORACLE: dict[str, str] = {
+    "op13_ranked_search": f"""
+WITH d AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents),
+     p AS (SELECT doc_id, term, count(*) AS tf FROM d GROUP BY ALL),
+     n AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM p GROUP BY ALL),
+     s AS (SELECT count(*) AS cn, sum(n)::BIGINT AS cl FROM n),
+     m AS (SELECT doc_id, 50 + (50 * n * cn) // cl AS m FROM n, s),
+     w AS (SELECT term, floor(1000 * ln((2 * cn + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+           FROM p, s GROUP BY term, cn),
+     q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+     r AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+           FROM q JOIN w USING (term) JOIN p USING (term) JOIN m USING (doc_id) GROUP BY ALL),
+     o AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank,
+                  doc_id, score FROM r WHERE score > 0)
+SELECT * FROM o WHERE rank <= 50""",
+}
