@@ -47,7 +47,7 @@ from kiln.llm.common import pick, ranges, ship, written
 from kiln.llm.word_ids import gather, text_bytes, words_between
 
 #: Documents in a block of the index, about; terms of the items searched for at once, about.
-BLOCK_DOCS = 4096
+BLOCK_DOCS = 1024
 TERMS = 200_000
 #: Bytes of text counted at once.
 SLICE = 8 << 20

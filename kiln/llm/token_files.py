@@ -36,7 +36,7 @@ from kiln.llm.word_ids import IdPool, slices, text_bytes, words_between
 
 #: Ids in a block, about; and chunks a task remembers (emptied when full: a memory bound only).
 BLOCK_IDS = 1 << 16
-CACHE = 1_500_000
+CACHE = 1_000_000
 #: Words of plain letters given to the tokenizer in one text.
 JOINED = 256
 
