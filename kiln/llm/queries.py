@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kiln.llm import (
-    bpe_automaton, chunk_bpe, decontaminate, minhash_dedup, quality_ranking, quality_rules, ranked_search, secret_scan,
+    bpe_automaton, chunk_bpe, collocations, decontaminate, minhash_dedup, quality_ranking, quality_rules, ranked_search, secret_scan,
     site_style_tree, substring_dedup, token_files, url_filter)
 from kiln.llm.common import table
 
@@ -86,6 +86,11 @@ def op10_bpe_automaton(spark, sf_dir):
                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op11_collocations(spark, sf_dir):
+    """The 2000 best phrases of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_chunk_bpe(spark, sf_dir):
     """Ids of every document by the rank file, taken in overlapping chunks, and the bytes they decode to."""
     import public_tokenizers
@@ -102,13 +107,38 @@ def op13_ranked_search(spark, sf_dir):
 
 LLM_QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_token_files, op3_decontamination, op4_quality_rules, op5_minhash_dedup, op6_site_style_tree,
-    op7_substring_dedup, op8_url_filter, op9_quality_ranking, op10_bpe_automaton, op12_chunk_bpe,
+    op7_substring_dedup, op8_url_filter, op9_quality_ranking, op10_bpe_automaton, op11_collocations,
+    op12_chunk_bpe,
     op13_ranked_search)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _TERMS = rf"regexp_extract_all({_LOWER.format('text')}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 
+#: Every phrase of 1 to 4 words as a list, cut at each place, and each longer one's inner phrases.
 LLM_ORACLE: dict[str, str] = {
+    "op11_collocations": f"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, {_LOWER.format("coalesce(text, '')")} AS text FROM documents),
+     p AS (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM t),
+     w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM p),
+     g AS (SELECT lang, unnest(flatten(list_transform(range(1, len(ws) + 1),
+                  lambda i: list_transform(range(i, least(i + 4, len(ws) + 1)), lambda j: ws[i:j])))) AS ph FROM w),
+     f AS (SELECT lang, ph, count(*) AS f FROM g GROUP BY ALL),
+     n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE len(ph) = 1 GROUP BY ALL),
+     c AS (SELECT lang, ph, f AS a FROM f WHERE len(ph) > 1 AND f >= 30),
+     k AS (SELECT lang, ph, a, unnest(range(1, len(ph))) AS cut FROM c),
+     s AS (SELECT k.lang, k.ph, k.a, k.cut, x.f AS l, y.f AS r,
+                  ((2000000::HUGEINT * k.a) // (x.f::HUGEINT + y.f))::BIGINT AS score
+           FROM k JOIN f x ON x.lang = k.lang AND x.ph = k.ph[1:k.cut]
+                  JOIN f y ON y.lang = k.lang AND y.ph = k.ph[k.cut + 1:]),
+     b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, ph ORDER BY score, cut) = 1),
+     i AS (SELECT lang, a AS longer, unnest(flatten(list_transform(range(1, len(ph)),
+                  lambda i: list_transform(range(i + 1, len(ph) + 1), lambda j: ph[i:j])))) AS ph, len(ph) AS long FROM c),
+     m AS (SELECT lang, ph, max(longer) AS longer FROM i WHERE len(ph) < long AND len(ph) > 1 GROUP BY ALL),
+     o AS (SELECT b.*, array_to_string(b.ph, ' ') AS phrase FROM b LEFT JOIN m USING (lang, ph)
+           WHERE m.longer IS NULL OR 100::HUGEINT * m.longer < 80::HUGEINT * b.a),
+     r AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank,
+                  phrase, a, l, r, score FROM o)
+SELECT lang, rank, phrase, a, l, r, n, score FROM r JOIN n USING (lang) WHERE rank <= 2000""",
     "op13_ranked_search": f"""
 WITH d AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents),
      p AS (SELECT doc_id, term, count(*) AS tf FROM d GROUP BY ALL),
