@@ -139,15 +139,15 @@ def _levels(edges: DataFrame, buckets: int, start, max_levels: int | None, targe
     return reached_so_far(), expansions, None, 0
 
 
-def bfs(edges: DataFrame, start, nodes: DataFrame | None = None, max_levels: int | None = 5,
+def bfs(edges: DataFrame, start, nodes: DataFrame | None = None, max_levels: int | None = None,
         max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Distances from ``start`` by level-synchronous BFS over directed edges.
 
     One row per node of ``nodes`` (default: every edge source) and per reached
     node: node, distance (``UNREACHED`` if not reached within ``max_levels``), and
     color: BLACK = expanded, GRAY = reached on the last level but not expanded,
-    WHITE = not reached. Nodes further away than ``max_levels`` count as not reached;
-    None searches until no new node is found."""
+    WHITE = not reached. The search ends when no new node is found, or with ``max_levels``, and then
+    nodes further away count as not reached."""
     spark = edges.sparkSession
     edges, buckets, path = edge_table(edges)
     try:
@@ -166,7 +166,7 @@ def bfs(edges: DataFrame, start, nodes: DataFrame | None = None, max_levels: int
          .otherwise(F.lit(GRAY)).alias("color"))
 
 
-def bfs_target(edges: DataFrame, start, target, max_levels: int | None = 5,
+def bfs_target(edges: DataFrame, start, target, max_levels: int | None = None,
                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                strict_neighbours: bool = False) -> DataFrame:
     """Search for ``target``: stop at the first level whose expansion reaches it.

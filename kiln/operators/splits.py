@@ -81,25 +81,39 @@ def running_number(df: DataFrame, key, order, alias: str = "rank_in_key", number
 
 
 def holdout_split(df: DataFrame, user: str, order, start: int, stop: int, max_test: int = 0,
-                  part: str = "part") -> DataFrame:
+                  part: str = "part", unique: bool = False, cap_order=None) -> DataFrame:
     """Leave-n-out per user: a row whose running number within its user lies in
     [start, stop] goes to ``test``, every other row to ``base``.
 
-    ``max_test > 0`` caps the test size: only the first ``max_test`` such rows in
-    the global (user, order) order go to test, later ones go to base."""
+    ``max_test > 0`` caps the test size: only the first ``max_test`` such rows in the order of ``cap_order``
+    (default: user, then ``order``) go to test, later ones go to base. ``unique``: no user has two
+    rows alike in ``order`` (saves a shuffle); otherwise such rows are numbered first.
+
+    No row is numbered that cannot be in the test part: each task passes on only the first ``stop`` rows
+    of a user, and from these come the first and last key of a user's test part. Every row is then
+    compared with the two keys of its user, so that a user of any size is spread over tasks."""
     order_cols = _cols(order)
-    ranked = running_number(df, user, order_cols, alias="_k", number="_g")
-    qualifies = (F.col("_k") >= F.lit(start)) & (F.col("_k") <= F.lit(stop))
+    keys = list(order_cols)
+    rows = df
+    if not unique:
+        alike = Window.partitionBy(user, *order_cols).orderBy(*order_cols)
+        rows = df.withColumn("_dup", F.row_number().over(alike))
+        keys.append("_dup")
+    cap_cols = (_cols(cap_order) if cap_order else [user, *order_cols]) + keys[len(order_cols):]
+    in_user = Window.partitionBy("_user").orderBy("_key")
+    test = (rows.select(F.col(user).alias("_user"), F.struct(*keys).alias("_key"), F.struct(*cap_cols).alias("_cap"))
+            .withColumn("_k", F.row_number().over(in_user)).where(F.col("_k") <= F.lit(stop))
+            .where(F.col("_k") >= F.lit(start)))
+    is_test = F.col("_lo").isNotNull() & (F.struct(*keys) >= F.col("_lo")) & (F.struct(*keys) <= F.col("_hi"))
     if max_test and max_test > 0:
-        # The global number is unique, so that rows alike in (user, order) are told apart.
-        first_q = (global_row_number(ranked.where(qualifies).select("_g"), ["_g"], alias="_q")
-                   .where(F.col("_q") <= F.lit(max_test)).select("_g", F.lit(True).alias("_t")))
-        ranked = ranked.join(first_q, "_g", "left")
-        is_test = F.col("_t").isNotNull()
-    else:
-        is_test = qualifies
-    return ranked.select(*[c for c in ranked.columns if c not in ("_k", "_g", "_t")],
-                         F.when(is_test, F.lit("test")).otherwise(F.lit("base")).alias(part))
+        # The last key within the cap: one row.
+        last = test.orderBy("_cap").limit(max_test).agg(F.max("_cap").alias("_cap"), F.count(F.lit(1)).alias("n")).first()
+        if last["n"] == max_test:
+            at = F.struct(*[F.lit(last["_cap"][c]).cast(rows.schema[c].dataType).alias(c) for c in cap_cols])
+            is_test = is_test & (F.struct(*cap_cols) <= at)
+    ends = test.groupBy("_user").agg(F.min("_key").alias("_lo"), F.max("_key").alias("_hi"))
+    tagged = rows.join(ends, F.col(user).eqNullSafe(F.col("_user")), "left")
+    return tagged.select(*df.columns, F.when(is_test, F.lit("test")).otherwise(F.lit("base")).alias(part))
 
 
 def contiguous_folds(df: DataFrame, order, k: int = 5, fold: str = "fold") -> DataFrame:

@@ -39,7 +39,8 @@ def popular_items(spark, sf):
 
 def popular_items_named(spark, sf):
     part = tables.table(spark, sf, "part", ["p_partkey", "p_name"]).withColumnRenamed("p_partkey", "l_partkey")
-    return lk.lookup_few(popular_items(spark, sf), part, "l_partkey", "p_name", ["-count"], ["l_partkey"])
+    return lk.lookup_few(popular_items(spark, sf), part, "l_partkey", "p_name", ["-count"], ["l_partkey"],
+                         last_by="p_name")
 
 
 def item_counts_strict(spark, sf):
@@ -273,12 +274,12 @@ def sum_of_squares(spark, sf):
 
 def holdout_per_user(spark, sf):
     return splits.holdout_split(tables.ratings(spark, sf), "user_id", ["item_id"],
-                                P.HOLDOUT_START, P.HOLDOUT_STOP)
+                                P.HOLDOUT_START, P.HOLDOUT_STOP, unique=True)
 
 
 def holdout_capped(spark, sf):
     return splits.holdout_split(tables.ratings(spark, sf), "user_id", ["item_id"],
-                                P.HOLDOUT_START, P.HOLDOUT_STOP, max_test=P.HOLDOUT_MAX_TEST)
+                                P.HOLDOUT_START, P.HOLDOUT_STOP, max_test=P.HOLDOUT_MAX_TEST, unique=True)
 
 
 def contiguous_folds(spark, sf):

@@ -22,7 +22,7 @@ from kiln.functions.numeric import round_half_up, tenths_celsius_to_fahrenheit
 from kiln.functions.text import contains, field_at
 from kiln.operators import dimension, graph, groupstats as gs, similarity, splits, text, topk
 from kiln.sources import (adjacency_edges, line_degree, parse_adjacency, read_delimited,
-                          read_dimension, read_lines, read_quoted_names)
+                          read_dimension, read_lines, read_numbered, read_quoted_names)
 
 RATINGS_TAB = "user_id INT, item_id INT, rating INT, ts BIGINT"
 RATINGS_COLON = "user_id INT, item_id INT, rating DOUBLE, ts BIGINT"
@@ -134,9 +134,10 @@ def node_popularity(spark: SparkSession, graph_path: str, names_path: str,
 
 
 def separation(spark: SparkSession, graph_path: str, start: int, target: int | None = None,
-               max_levels: int = 5, strict_neighbours: bool = False) -> DataFrame:
+               max_levels: int | None = None, strict_neighbours: bool = False) -> DataFrame:
     """BFS over an adjacency file: distances from ``start`` or, with a target, its
-    degrees of separation and the number of hits on that level."""
+    degrees of separation and the number of hits on that level. ``max_levels=None`` searches
+    to the end; a number stops there, and nodes further away count as not reached."""
     edges = adjacency_edges(parse_adjacency(read_lines(spark, graph_path), id_type="int"))
     if target is None:
         nodes = parse_adjacency(read_lines(spark, graph_path), id_type="int").select("node").distinct()
@@ -145,8 +146,10 @@ def separation(spark: SparkSession, graph_path: str, start: int, target: int | N
 
 
 def leave_out(spark: SparkSession, ratings_path: str, start: int, stop: int, max_test: int = 0) -> DataFrame:
-    """Per-user holdout over a ratings file (order: user, item)."""
-    return splits.holdout_split(read_ratings(spark, ratings_path), "user_id", ["item_id"], start, stop, max_test)
+    """Per-user holdout over a ratings file in the order of its lines: a user's lines start..stop go to test, as far
+    as ``max_test`` of them in the whole file; all others to base. ``row`` is the line's number."""
+    rows = read_numbered(spark, ratings_path, RATINGS_TAB, "\t")
+    return splits.holdout_split(rows, "user_id", ["row"], start, stop, max_test, unique=True, cap_order=["row"])
 
 
 def folds(spark: SparkSession, ratings_path: str, k: int = 5) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from kiln.functions.text import collapse_whitespace, split_tokens, strip_ends
+from kiln.sources.numbered import read_numbered
 from kiln.sources.text import read_latin1_lines
 
 
@@ -17,7 +18,7 @@ def read_delimited(spark: SparkSession, path: str, schema: StructType | str | No
     """Read comma/tab/space/pipe or multi-character (``::``) separated text.
 
     * ``schema`` given: types are applied while parsing (no inference pass).
-    * ``header``/``infer_schema``: names from the first line, types by a sampling pass.
+    * ``header``/``infer_schema``: names from the first line, types by a pass over all rows.
     * ``quote=None`` turns quoting off, for files that are split literally.
     * ``mode="FAILFAST"`` raises on a field that does not parse, ``"PERMISSIVE"``
       gives NULL for it.
@@ -33,11 +34,21 @@ def read_delimited(spark: SparkSession, path: str, schema: StructType | str | No
 
 
 def read_dimension(spark: SparkSession, path: str, sep: str = "|", key: str = "id",
-                   name: str = "name", key_type: str = "int", encoding: str = "ISO-8859-1") -> DataFrame:
-    """Id/name dimension from a delimited file: fields 0 and 1 only, quotes off."""
-    df = read_delimited(spark, path, schema=f"{key} STRING, {name} STRING", sep=sep,
-                        encoding=encoding, quote=None)
-    return df.select(F.col(key).try_cast(key_type).alias(key), F.col(name))
+                   name: str = "name", key_type: str = "int", encoding: str = "ISO-8859-1",
+                   repeated: str = "last", max_lines: int | None = None) -> DataFrame:
+    """Id/name dimension from a delimited file: fields 0 and 1 only, quotes off, one row per id.
+
+    Filling a dictionary line by line leaves the last line of a repeated id, and so does
+    this: the lines carry their number in the file, and the largest wins (combined before the
+    shuffle). ``repeated="all"`` keeps every line. ``max_lines``: only the first lines of the file(s)."""
+    if repeated not in ("last", "all"):
+        raise ValueError("repeated must be 'last' or 'all'")
+    df = read_numbered(spark, path, f"{key} {key_type}, {name} STRING", sep, encoding)
+    if max_lines is not None:
+        df = df.where(F.col("row") <= F.lit(max_lines))
+    if repeated == "all":
+        return df.select(key, name)
+    return df.groupBy(key).agg(F.max_by(name, "row").alias(name))
 
 
 def read_quoted_names(spark: SparkSession, path: str, key: str = "id", name: str = "name",
