@@ -1,4 +1,4 @@
-"""Numeric column helpers: unit conversion, exact money sums, cosine from sums."""
+"""Numeric column helpers: unit conversion, decimal sums in parts, cosine from sums."""
 
 from __future__ import annotations
 
@@ -17,14 +17,46 @@ def tenths_celsius_to_fahrenheit(value) -> Column:
     return _col(value) * F.lit(0.1) * F.lit(9.0) / F.lit(5) + F.lit(32)
 
 
-def exact_sum(value, scale: int = 12, precision: int = 38) -> Column:
-    """Sum in fixed point with ``scale`` decimal places, as double: the same in any order of the
-    rows. A value with more places than that fails the job rather than being rounded."""
-    v = _col(value)
-    fixed = v.cast(f"decimal({precision},{scale})")
-    lost = v.isNotNull() & (fixed.isNull() | (fixed.cast("double") != v.cast("double")))
-    checked = F.when(lost, F.raise_error(F.concat(F.lit("no exact value with the given scale: "), v.cast("string"))))
-    return F.sum(checked.otherwise(fixed)).cast("double")
+#: Below this a value with few enough places is summed as it is, in DECIMAL(38, scale).
+_PLAIN_BELOW = 1e15
+
+
+def decimal_parts(value, scale: int = 12) -> tuple[Column, Column, Column, Column]:
+    """A double as the decimal that it prints as, in parts that can be added in any order: (fixed, power,
+    digits, special). ``fixed``: the value in ``scale`` places, where that is exact. Otherwise the value is
+    ``digits`` (an integer of 17 digits at most) times ten to the ``power``. ``special``: NaN and infinities."""
+    v = _col(value).cast("double")
+    finite = ~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))
+    fixed = F.when(F.abs(v) < F.lit(_PLAIN_BELOW), v).try_cast(f"decimal(38,{scale})")
+    plain = F.coalesce(fixed.cast("double") == v, F.lit(False))
+    text = F.split(v.cast("string"), "E")
+    mantissa = F.get(text, 0)
+    places = F.char_length(F.substring_index(mantissa, ".", -1))
+    power = F.coalesce(F.get(text, 1).try_cast("int"), F.lit(0)) - places
+    digits = F.replace(mantissa, F.lit("."), F.lit("")).try_cast("decimal(20,0)")
+    odd = v.isNotNull() & finite & ~plain
+    return (F.when(plain, fixed), F.when(odd, power), F.when(odd, digits), F.when(v.isNotNull() & ~finite, v))
+
+
+def sum_of_parts(fixed, terms, special) -> Column:
+    """The double that a sum in parts stands for: ``terms`` is an array of (power, digits), powers distinct.
+    With fixed parts only it is the exact sum, rounded once; otherwise every term is rounded once and they are
+    added by ascending power with their rounding errors carried, the same for any order of the rows."""
+    start = F.struct(F.lit(0.0).alias("hi"), F.lit(0.0).alias("lo"))
+    rounded = F.transform(F.array_sort(terms), lambda t: F.concat(
+        t["digits"].cast("string"), F.lit("E"), t["power"].cast("string")).cast("double"))
+
+    def add(acc, x):
+        total = acc["hi"] + x
+        back = total - acc["hi"]
+        lost = (acc["hi"] - (total - back)) + (x - back)
+        return F.struct(total.alias("hi"), (acc["lo"] + lost).alias("lo"))
+
+    plain = _col(fixed).cast("double")
+    mixed = F.aggregate(F.concat(rounded, F.array(F.coalesce(plain, F.lit(0.0)))), start, add,
+                        lambda acc: F.when(F.abs(acc["hi"]) == F.lit(float("inf")), acc["hi"])
+                        .otherwise(acc["hi"] + acc["lo"]))
+    return F.when(_col(special).isNotNull(), _col(special)).when(F.size(terms) > 0, mixed).otherwise(plain)
 
 
 def exact_square_sum(value) -> Column:

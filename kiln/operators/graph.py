@@ -3,26 +3,37 @@
 A graph is an edge DataFrame ``(src, dst)`` (repeats allowed) plus, optionally,
 a node DataFrame ``(node)``. BFS is level-synchronous: each level joins the
 frontier to the edges, aggregates the reached nodes, removes visited ones with
-an anti-join and writes the new level to the shared checkpoint folder, which
-cuts the lineage and survives executor loss.
-
-The edges are written once, as Parquet in the checkpoint folder, partitioned by
-a hash bucket of ``src``. A level joins on (bucket, src) with the frontier
-broadcast, so Spark's dynamic partition pruning reads only the buckets that
-hold frontier nodes: the first levels of a search touch a small part of the
-edge table instead of all of it. The table is deleted when the search ends.
+an anti-join and writes the new level to the shared folder, which cuts the
+lineage and survives executor loss. A level is one job: the number of new nodes,
+their bytes and the target's hits are observed on the write itself.
+
+Only the frontier moves, the edges are laid out once:
+
+* A frontier small enough to be broadcast (by the bytes observed) meets edges stored
+  by a hash bucket of ``src``; dynamic partition pruning reads only the buckets that
+  hold frontier nodes, so that a search's first levels touch a small part of them.
+* For larger frontiers the edges are stored in hash buckets of (source, salt), once, when
+  the first such frontier appears; a source of more than ``HOT_EDGES`` edges has
+  several salts and so several buckets. The frontier is shuffled to the buckets, a row
+  per salt of its node; the edges stay where they are.
+
+All of it is deleted when the search ends; the result is checkpointed.
 """
 
 from __future__ import annotations
 
 import itertools
-import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.operators.dimension import DEFAULT_MAX_BROADCAST_ROWS
-from kiln.session import ensure_checkpoint_dir, reliable_checkpoint
+from kiln.scratch import Scratch
+from kiln.session import reliable_checkpoint
+
+#: Bytes of a frontier, or of the visited nodes, that are broadcast at most.
+MAX_BROADCAST_BYTES = 32 << 20
+#: Edges of one source in one partition of the salted layout, about.
+HOT_EDGES = 100_000
 
 # BFS state names and the distance of a node that was never reached.
 WHITE, GRAY, BLACK = "WHITE", "GRAY", "BLACK"
@@ -58,89 +69,112 @@ def _bucket(col: str, buckets: int):
     return F.pmod(F.xxhash64(F.col(col)), F.lit(buckets)).cast("int")
 
 
-def edge_table(edges: DataFrame, buckets: int | None = None) -> tuple[DataFrame, int, str]:
-    """Write ``(src, dst)`` to the checkpoint folder partitioned by ``src_bucket``
-    and read it back: the table, its number of buckets and its path. The ``rebalance`` hint lets AQE split a bucket that holds a
+def edge_table(edges: DataFrame, scratch: Scratch, buckets: int | None = None) -> tuple[DataFrame, int]:
+    """``(src, dst, src_bucket)`` written to ``scratch`` partitioned by ``src_bucket``, and the number of
+    buckets. The ``rebalance`` hint lets AQE split a bucket that holds a
     large share of the edges into several files instead of one task writing it."""
-    spark = edges.sparkSession
     if buckets is None:
         # About one bucket per core: fine-grained pruning on a cluster, few files locally.
-        buckets = min(4096, max(8, spark.sparkContext.defaultParallelism))
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kiln-edges-{uuid.uuid4().hex}"
+        buckets = min(4096, max(8, edges.sparkSession.sparkContext.defaultParallelism))
     table = edges.select("src", "dst", _bucket("src", buckets).alias("src_bucket"))
-    table.hint("rebalance", "src_bucket").write.partitionBy("src_bucket").parquet(path)
-    # Explicit schema: an empty edge table writes no files to infer one from.
-    return spark.read.schema(table.schema).parquet(path), buckets, path
+    return scratch.write(table.hint("rebalance", "src_bucket"), partition_by="src_bucket"), buckets
+
+
+def salted_layout(edges: DataFrame, scratch: Scratch, hot_edges: int = HOT_EDGES) -> tuple[DataFrame, DataFrame]:
+    """``(src, salt, dst)`` in stored buckets of (src, salt); and ``(src, salts)`` of the sources that have more
+    than one salt."""
+    hot = scratch.write(
+        edges.groupBy("src").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > F.lit(hot_edges))
+        .select("src", F.ceil(F.col("n") / F.lit(hot_edges)).cast("int").alias("salts")))
+    salt = F.pmod(F.xxhash64("dst"), F.coalesce("salts", F.lit(1))).cast("int")
+    return scratch.bucketed(edges.join(hot, "src", "left").select("src", salt.alias("salt"), "dst"), ["src", "salt"]), hot
 
 
-def drop_edge_table(spark, path: str) -> None:
-    """Delete a table that ``edge_table`` wrote."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+class _Search:
+    """The edges in the layouts that a search needs."""
 
+    def __init__(self, edges: DataFrame, buckets: int, scratch: Scratch, max_broadcast_bytes: int):
+        self.edges, self.buckets, self.scratch, self.max_bytes = edges, buckets, scratch, max_broadcast_bytes
+        self.laid = self.hot = None
 
-def _levels(edges: DataFrame, buckets: int, start, max_levels: int | None, target, max_broadcast_rows: int,
+    def expand(self, front: DataFrame, level: int, size: int) -> DataFrame:
+        """(node, hits): every (frontier node, edge) pair counted, repeated edges included."""
+        # The distance predicate on the broadcast side lets dynamic partition pruning run.
+        front = front.where(F.col("distance") == F.lit(level - 1)).select(F.col("node").alias("src"))
+        if size <= self.max_bytes:
+            front = F.broadcast(front.withColumn("src_bucket", _bucket("src", self.buckets)))
+            met = self.edges.join(front, ["src_bucket", "src"])
+        else:
+            if self.laid is None:
+                self.laid, self.hot = salted_layout(self.edges.select("src", "dst"), self.scratch, HOT_EDGES)
+            salts = F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - F.lit(1))
+            front = front.join(self.hot, "src", "left").select("src", F.explode(salts).alias("salt"))
+            met = self.laid.join(front.hint("merge"), ["src", "salt"])
+        return met.groupBy(F.col("dst").alias("node")).agg(F.count(F.lit(1)).alias("hits"))
+
+
+def _row_bytes(node: str):
+    """About what a row takes in a broadcast: its key, and a word for each of pointer, length and hash."""
+    return F.octet_length(F.col(node).cast("string")) + F.lit(24)
+
+
+def _levels(edges: DataFrame, buckets: int, scratch: Scratch, start, max_levels: int | None, target, max_broadcast_bytes: int,
             strict_neighbours: bool = False):
     """Run the BFS loop. Returns (reached frame, expansions done, hit level, hits).
 
     Each level is one job: frontier x edges, hits aggregated per reached node
     (partial aggregate, so a node reached from many frontier rows is combined
     map-side), already-visited nodes removed by an anti-join, and the new level
-    written to the checkpoint folder. The target test reads that small level."""
+    written, with its size and the target's hits observed."""
     spark = edges.sparkSession
     key_type = edges.schema["src"].dataType
-    seed = spark.range(1).select(F.lit(start).cast(key_type).alias("node"), F.lit(0).alias("distance"))
-    # Materialised so the optimizer treats the start as data, not as a constant to fold.
-    levels = [reliable_checkpoint(seed)]
-    visited_rows, frontier_rows, expansions = 1, 1, 0
+    seed = spark.range(1).select(F.lit(start).cast(key_type).alias("node"), F.lit(0).alias("distance"),
+                                 F.lit(0).cast("bigint").alias("hits"))
+    # Written so that the optimizer treats the start as data, not as a constant to fold.
+    levels = [scratch.write(seed)]
+    expansions = 0
     # Only neighbours are tested in strict mode, so a start that is also the target is found
     # again through a back edge or a self-loop; otherwise it is found at distance 0.
     find_start_again = target is not None and target == start and strict_neighbours
     if target is not None and target == start and not strict_neighbours:
-        return levels[0], expansions, 0, 0
+        return levels[0].select("node", "distance"), expansions, 0, 0
+    search = _Search(edges, buckets, scratch, max_broadcast_bytes)
+    front_rows, front_bytes, visited_bytes = 1, 0, 0
 
     def reached_so_far():
         out = levels[0]
         for lv in levels[1:]:
             out = out.unionByName(lv)
-        return out
+        return out.select("node", "distance")
 
     for level in itertools.count(1):
-        if frontier_rows == 0 or (max_levels is not None and level > max_levels):
+        if front_rows == 0 or (max_levels is not None and level > max_levels):
             break
-        # The frontier: the nodes reached at distance level - 1 (the newest level). The
-        # distance predicate on the broadcast side lets dynamic partition pruning run.
-        front = (levels[-1].where(F.col("distance") == F.lit(level - 1))
-                 .select(F.col("node").alias("src"), _bucket("node", buckets).alias("src_bucket")))
-        front = F.broadcast(front) if frontier_rows <= max_broadcast_rows else front
-        # (node, hits): every (frontier node, edge) pair counted, repeated edges included.
-        reached = (edges.join(front, ["src_bucket", "src"]).groupBy(F.col("dst").alias("node"))
-                   .agg(F.count(F.lit(1)).alias("hits")))
-        if find_start_again:
-            back = reached.where(F.col("node") == F.lit(start).cast(key_type)).agg(F.sum("hits")).first()[0]
-            if back:
-                return reached_so_far(), expansions + 1, level, int(back)
+        reached = search.expand(levels[-1], level, front_bytes)
         visited = reached_so_far().select("node")
-        if visited_rows <= max_broadcast_rows:
+        if find_start_again:
+            visited = visited.where(F.col("node") != F.lit(start).cast(key_type))
+        if visited_bytes <= max_broadcast_bytes:
             visited = F.broadcast(visited)
-        new = reliable_checkpoint(reached.join(visited, "node", "left_anti")
-                                  .select("node", F.lit(level).alias("distance"), "hits"))
+        new = reached.join(visited, "node", "left_anti").select("node", F.lit(level).alias("distance"), "hits")
+        hit = (F.max(F.when(F.col("node") == F.lit(target).cast(key_type), F.col("hits"))) if target is not None
+               else F.max(F.lit(None).cast("bigint")))
+        levels.append(scratch.write(new, rows=F.count(F.lit(1)), bytes=F.sum(_row_bytes("node")), hits=hit))
+        seen = scratch.values
         expansions += 1
-        # One small job over the new level: its size and, when searching, the target's hits.
-        target_hits = (F.max(F.when(F.col("node") == F.lit(target).cast(key_type), F.col("hits")))
-                       if target is not None else F.lit(None))
-        summary = new.agg(F.count(F.lit(1)).alias("rows"), target_hits.alias("hits")).first()
-        if summary["hits"] is not None:
-            return reached_so_far(), expansions, level, int(summary["hits"])
-        frontier_rows = summary["rows"]
-        visited_rows += frontier_rows
-        if frontier_rows:
-            levels.append(new.select("node", "distance"))
+        if seen["hits"] is not None:
+            if find_start_again:
+                levels.pop()
+            return reached_so_far(), expansions, level, int(seen["hits"])
+        front_rows, front_bytes = seen["rows"], seen["bytes"] or 0
+        visited_bytes += front_bytes
+        if not front_rows:
+            levels.pop()
     return reached_so_far(), expansions, None, 0
 
 
 def bfs(edges: DataFrame, start, nodes: DataFrame | None = None, max_levels: int | None = None,
-        max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+        max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Distances from ``start`` by level-synchronous BFS over directed edges.
 
     One row per node of ``nodes`` (default: every edge source) and per reached
@@ -148,26 +182,22 @@ def bfs(edges: DataFrame, start, nodes: DataFrame | None = None, max_levels: int
     color: BLACK = expanded, GRAY = reached on the last level but not expanded,
     WHITE = not reached. The search ends when no new node is found, or with ``max_levels``, and then
     nodes further away count as not reached."""
-    spark = edges.sparkSession
-    edges, buckets, path = edge_table(edges)
-    try:
-        reached, expansions, _, _ = _levels(edges, buckets, start, max_levels, None, max_broadcast_rows)
-        base = (nodes.select("node") if nodes is not None
-                else reliable_checkpoint(edges.select(F.col("src").alias("node")).distinct()))
-    finally:
-        drop_edge_table(spark, path)
-    everyone = base.unionByName(reached.select("node")).distinct()
-    out = everyone.join(reached, "node", "left")
-    d = F.col("distance")
-    return out.select(
-        "node",
-        F.coalesce(d, F.lit(UNREACHED)).alias("distance"),
-        F.when(d.isNull(), F.lit(WHITE)).when(d < F.lit(expansions), F.lit(BLACK))
-         .otherwise(F.lit(GRAY)).alias("color"))
+    with Scratch(edges.sparkSession, "kiln-bfs") as scratch:
+        edges, buckets = edge_table(edges, scratch)
+        reached, expansions, _, _ = _levels(edges, buckets, scratch, start, max_levels, None, max_broadcast_bytes)
+        base = nodes.select("node") if nodes is not None else edges.select(F.col("src").alias("node"))
+        everyone = base.unionByName(reached.select("node")).distinct()
+        d = F.col("distance")
+        out = everyone.join(reached, "node", "left").select(
+            "node",
+            F.coalesce(d, F.lit(UNREACHED)).alias("distance"),
+            F.when(d.isNull(), F.lit(WHITE)).when(d < F.lit(expansions), F.lit(BLACK))
+             .otherwise(F.lit(GRAY)).alias("color"))
+        return reliable_checkpoint(out)
 
 
 def bfs_target(edges: DataFrame, start, target, max_levels: int | None = None,
-               max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+               max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
                strict_neighbours: bool = False) -> DataFrame:
     """Search for ``target``: stop at the first level whose expansion reaches it.
 
@@ -177,12 +207,10 @@ def bfs_target(edges: DataFrame, start, target, max_levels: int | None = None,
     0, or with ``strict_neighbours`` only through its neighbours (a self-loop gives
     1, a back edge 2), as a search that tests neighbours only does."""
     spark = edges.sparkSession
-    edges, buckets, path = edge_table(edges)
-    try:
-        _, _, level, hits = _levels(edges, buckets, start, max_levels, target, max_broadcast_rows,
+    with Scratch(spark, "kiln-bfs") as scratch:
+        edges, buckets = edge_table(edges, scratch)
+        _, _, level, hits = _levels(edges, buckets, scratch, start, max_levels, target, max_broadcast_bytes,
                                     strict_neighbours)
-    finally:
-        drop_edge_table(spark, path)
     key_type = edges.schema["src"].dataType
     return spark.range(1).select(
         F.lit(start).cast(key_type).alias("start"), F.lit(target).cast(key_type).alias("target"),

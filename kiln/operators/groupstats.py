@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kiln.functions.numeric import exact_square_sum, exact_sum
+from kiln.functions.numeric import decimal_parts, exact_square_sum, sum_of_parts
 
 
 def _keys(keys) -> list:
@@ -25,18 +25,41 @@ def group_count(df: DataFrame, keys, alias: str = "count") -> DataFrame:
     return df.groupBy(*_keys(keys)).agg(F.count(F.lit(1)).alias(alias))
 
 
+def _exact_sums(df: DataFrame, keys, value, scale: int) -> DataFrame:
+    """The keys, ``_s`` (the sum as double, the same in any order of the rows) and ``_n`` (non-NULL values).
+
+    Values of ``scale`` places or fewer are added in one DECIMAL; others as integers per power of ten.
+    Both are partial/final aggregates; the second one merges a group's powers (a few hundred at most)."""
+    keys = _keys(keys)
+    fixed, power, digits, special = decimal_parts(value, scale)
+    names = [f"_k{i}" for i in range(len(keys))]
+    rows = df.select(*[_col(k).alias(n) for k, n in zip(keys, names)], power.alias("_p"), fixed.alias("_f"),
+                     digits.alias("_d"), special.alias("_x"), _col(value).alias("_v"))
+    parts = rows.groupBy(*names, "_p").agg(F.sum("_f").alias("_f"), F.sum("_d").alias("_d"), F.sum("_x").alias("_x"),
+                                           F.count("_v").alias("_n"))
+    term = F.when(F.col("_p").isNotNull(), F.struct(F.col("_p").alias("power"), F.col("_d").alias("digits")))
+    whole = parts.groupBy(*names).agg(F.max("_f").alias("_f"), F.collect_list(term).alias("_t"), F.max("_x").alias("_x"),
+                                      F.sum("_n").alias("_n"))
+    columns = df.select(*[_col(k) for k in keys]).columns
+    return whole.select(*[F.col(n).alias(c) for n, c in zip(names, columns)],
+                        sum_of_parts("_f", F.col("_t"), "_x").alias("_s"), "_n")
+
+
 def group_sum(df: DataFrame, keys, value, alias: str = "total", exact_scale: int | None = None) -> DataFrame:
-    """Sum per group. With ``exact_scale`` the sum runs in fixed point at that many
-    decimal places and is returned as double (order-independent result)."""
-    agg = exact_sum(value, exact_scale) if exact_scale is not None else F.sum(_col(value))
-    return df.groupBy(*_keys(keys)).agg(agg.alias(alias))
+    """Sum per group. With ``exact_scale`` doubles are added as the decimals that they print as, so that
+    the double result does not depend on the order of the rows; values of up to ``exact_scale`` places
+    are the fast case, all others are added too."""
+    if exact_scale is None:
+        return df.groupBy(*_keys(keys)).agg(F.sum(_col(value)).alias(alias))
+    sums = _exact_sums(df, keys, value, exact_scale)
+    return sums.select(*[c for c in sums.columns if c not in ("_s", "_n")], F.col("_s").alias(alias))
 
 
 def group_mean(df: DataFrame, keys, value, alias: str = "mean", exact_scale: int | None = None) -> DataFrame:
     """Mean per group with Spark's two-phase average (in-partition, then merge).
 
-    With ``exact_scale`` the sum is taken in fixed point (see ``group_sum``) and
-    divided by the count once, so the double result is repeatable."""
+    With ``exact_scale`` the sum is that of ``group_sum`` and is divided by the count once, so the
+    double result is repeatable."""
     if exact_scale is not None:
         return group_mean_by_parts(df, keys, value, alias, exact_scale)
     return df.groupBy(*_keys(keys)).agg(F.avg(_col(value)).alias(alias))
@@ -47,10 +70,10 @@ def group_mean_by_parts(df: DataFrame, keys, value, alias: str = "mean",
     """Mean per group written as (sum, count) merged and then divided; equals
     ``group_mean`` and is kept as its paired check."""
     v = _col(value)
-    total = exact_sum(v, exact_scale) if exact_scale is not None else F.sum(v)
-    parts = df.groupBy(*_keys(keys)).agg(total.alias("_s"), F.count(v).alias("_n"))
+    parts = (_exact_sums(df, keys, v, exact_scale) if exact_scale is not None
+             else df.groupBy(*_keys(keys)).agg(F.sum(v).alias("_s"), F.count(v).alias("_n")))
     return parts.select(*[c for c in parts.columns if c not in ("_s", "_n")],
-                        (F.col("_s") / F.col("_n")).alias(alias))
+                        F.try_divide(F.col("_s"), F.col("_n")).alias(alias))
 
 
 def group_extreme(df: DataFrame, keys, value, how: str = "max", alias: str | None = None) -> DataFrame:

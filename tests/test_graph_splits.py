@@ -1,11 +1,14 @@
 import random
+import re
 from collections import defaultdict, deque
 
 import pytest
 
+from kiln.operators import graph
 from kiln.operators import (bfs, bfs_target, contiguous_folds, degree_ranking, fold_parts,
                             global_row_number, holdout_split, least_connected, node_degrees,
                             nodes_at_minimum, running_number)
+from kiln.scratch import Scratch
 from tests.conftest import rows
 
 EDGES = [(1, 2), (1, 3), (1, 3), (2, 4), (3, 4), (3, 4), (4, 5), (5, 6), (6, 7), (7, 8), (8, 9),
@@ -175,7 +178,7 @@ def test_holdout_cap_and_folds_with_repeated_rows(spark):
 def _edge_tables(spark):
     folder = spark._jvm.org.apache.hadoop.fs.Path(spark.sparkContext.getCheckpointDir())
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
-    return [f.getPath().getName() for f in files if f.getPath().getName().startswith("kiln-edges-")]
+    return [f.getPath().getName() for f in files if f.getPath().getName().startswith("kiln-bfs-")]
 
 
 def test_bfs_without_level_bound_and_no_table_left(spark, edges):
@@ -186,3 +189,89 @@ def test_bfs_without_level_bound_and_no_table_left(spark, edges):
     assert tuple(bfs_target(edges, 1, 9, max_levels=None).first())[2:] == (7, 1)
     assert bfs_target(edges, 1, 11, max_levels=None).first().degrees is None
     assert _edge_tables(spark) == before
+
+
+def _ancestors(plan, leaf):
+    """The operators above the line that holds ``leaf``, nearest first."""
+    lines = plan.splitlines()
+    at = next(k for k, line in enumerate(lines) if leaf(line))
+    depth = lambda line: len(re.match(r"[\s:|+\-]*", line).group())
+    out, now = [], depth(lines[at])
+    for line in reversed(lines[:at]):
+        if depth(line) < now:
+            out.append(line)
+            now = depth(line)
+    return out
+
+
+@pytest.mark.parametrize("max_bytes", [graph.MAX_BROADCAST_BYTES, -1])
+def test_bfs_is_the_same_with_any_frontier_bound(spark, monkeypatch, max_bytes):
+    """With the bound below 0 every level goes over the salted layout, hot sources over several salts."""
+    monkeypatch.setattr(graph, "HOT_EDGES", 3)
+    rnd = random.Random(12)
+    data = [(rnd.choice([0, 0, rnd.randrange(80)]), rnd.randrange(80)) for _ in range(300)]
+    df = spark.createDataFrame(data, "src BIGINT, dst BIGINT")
+    dist = {n: d for n, d, _ in rows(bfs(df, 0, max_broadcast_bytes=max_bytes)) if d != 9999}
+    want = python_bfs(data, 0, 10 ** 6)
+    assert dist == want
+    far = max(want, key=lambda n: (want[n], n))
+    hits = sum(want.get(s) == want[far] - 1 for s, d in data if d == far)
+    assert tuple(bfs_target(df, 0, far, max_broadcast_bytes=max_bytes).first())[2:] == (want[far], hits)
+    back = spark.createDataFrame([(1, 2), (2, 1), (2, 3)], "src BIGINT, dst BIGINT")
+    assert tuple(bfs_target(back, 1, 1, strict_neighbours=True, max_broadcast_bytes=max_bytes).first())[2:] == (2, 1)
+
+
+def test_large_frontiers_leave_the_edges_where_they_are(spark):
+    df = spark.range(3000).selectExpr("id % 50 as src", "id as dst")
+    with Scratch(spark) as scratch:
+        table, buckets = graph.edge_table(df, scratch)
+        search = graph._Search(table, buckets, scratch, -1)
+        front = scratch.write(spark.range(40).selectExpr("id as node", "1 as distance", "1L as hits"))
+        reached = search.expand(front, 2, 1)
+        assert reached.count() == 40 * 60
+        plan = reached._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        above = _ancestors(plan, lambda line: "FileScan parquet" in line and "SelectedBucketsCount" in line)
+        join = next(k for k, line in enumerate(above) if "SortMergeJoin" in line)
+        assert not [line for line in above[:join] if "Exchange" in line], plan
+
+
+def test_hot_sources_have_several_salts(spark):
+    df = spark.range(1000).selectExpr("case when id < 700 then 1 else id end as src", "id as dst")
+    with Scratch(spark) as scratch:
+        laid, hot = graph.salted_layout(df, scratch, hot_edges=100)
+        assert rows(hot) == [(1, 7)] and laid.where("src = 1").select("salt").distinct().count() == 7
+        assert laid.count() == 1000 and laid.where("src <> 1 and salt <> 0").count() == 0
+
+
+def test_observed_values_count_once_when_a_task_runs_twice(spark, tmp_path):
+    """The first attempt of a task fails after it has passed rows; the numbers are those of the rows written."""
+    mark = str(tmp_path / "failed")
+
+    def fail_once(batches):
+        for batch in batches:
+            yield batch
+        import os
+        if not os.path.exists(mark):
+            open(mark, "w").close()
+            raise RuntimeError("first attempt")
+
+    # Local mode gives a task one attempt; a failed write is simply run again by hand there.
+    df = spark.range(0, 1000, 1, 4)
+    with Scratch(spark) as scratch:
+        from pyspark.sql import functions as F
+        with pytest.raises(Exception):
+            scratch.write(df.mapInArrow(fail_once, "id long"), rows=F.count(F.lit(1)))
+        again = scratch.write(df.mapInArrow(fail_once, "id long"), rows=F.count(F.lit(1)), top=F.max("id"))
+        assert scratch.values == {"rows": 1000, "top": 999} and again.count() == 1000
+
+
+def test_scratch_tables_end_with_their_owner(spark):
+    import os
+    with Scratch(spark, "kiln-owned") as scratch:
+        table = scratch.write(spark.range(10))
+        folder = scratch.path.replace("file:", "")
+        assert table.count() == 10 and os.path.isdir(folder)
+        assert scratch.bucketed(spark.range(10), "id").count() == 10
+        names = list(scratch.names)
+        assert spark.catalog.tableExists(names[0])
+    assert not os.path.exists(folder) and not spark.catalog.tableExists(names[0])
