@@ -6,7 +6,8 @@ text of fewer words is one shingle).
 
 1. Windows: of the item-sized windows of a document at every start (the whole document, if it
    is shorter), those are taken that hold so many places with a shingle of the item that the
-   similarity can be 0.8; their order does not matter. The shingles are looked up in a bitmap
+   similarity can be 0.8; their order does not matter. This is a filter that spares the
+   fingerprints of windows without a chance, nothing is matched by it. The shingles are looked up in a bitmap
    of fixed size first (no false negatives) and then by a join, so that no text is shuffled
    and only the hits move on, every ANCHOR-th place with the words around it.
 2. SimHash: a 64-bit fingerprint of each window and item, each bit the sign of the weighted
@@ -14,8 +15,8 @@ text of fewer words is one shingle).
 3. Multi-index Hamming search: the fingerprint is cut into BLOCKS blocks. Two fingerprints
    within RADIUS bits differ in some block by RADIUS // BLOCKS bits at most, so an item's
    block with all such changes, joined with the windows' blocks, finds every fingerprint
-   within the radius. Of pairs at similarity 0.8 about one in a thousand lies beyond it by
-   the model at RADIUS, so a window and the item that it was taken for meet in any case.
+   within the radius. Only these are candidates: of pairs at similarity 0.8 about one in a
+   thousand lies beyond RADIUS by the model; more similar ones practically never do.
 4. The exact weighted similarity (sum of the smaller over sum of the larger weights)
    verifies what is left: 0.8 or more is a leak.
 
@@ -222,15 +223,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     windows = _windows(rows, places, sorted((r.k, r.longest, r.shortest) for r in known) or [(SHINGLE, SHINGLE, SHINGLE)],
                        sum(r.n for r in known))
     windows = windows.withColumn("shingles", _shingles(F.col("words")))
-    windows = windows.select("doc_id", "size", "start", "shingles", "key", _simhash(F.col("shingles")).alias("fingerprint"))
+    windows = windows.select("doc_id", "size", "start", "shingles", _simhash(F.col("shingles")).alias("fingerprint"))
 
-    def taken_for(key):
-        return F.struct(F.lit(-1).alias("block"), F.hash(key).alias("key"))
-
-    own = F.array(taken_for(F.col("key")), *[F.struct(F.lit(i).alias("block"), key.alias("key"))
-                                             for i, key in enumerate(_block_keys(F.col("fingerprint")))])
-    near = F.concat(F.array(taken_for(F.xxhash64("shingles"))),
-                    *[_changed(i, bits, key)
+    own = F.array(*[F.struct(F.lit(i).alias("block"), key.alias("key"))
+                    for i, key in enumerate(_block_keys(F.col("fingerprint")))])
+    near = F.concat(*[_changed(i, bits, key)
                       for i, (bits, key) in enumerate(zip(BLOCKS, _block_keys(F.col("fingerprint"))))])
     of_windows = (windows.withColumn("x", F.explode(own))
                   .select("doc_id", "size", "start", "shingles", "fingerprint", "x.block", "x.key"))
@@ -238,7 +235,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
                              F.col("fingerprint").alias("item_fingerprint"), F.explode(near).alias("x"))
                 .select("*", "x.block", "x.key").drop("x"))
     close = (of_windows.join(of_items, ["size", "block", "key"])
-             .where((F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_fingerprint"))) <= RADIUS) | (F.col("block") == -1))
+             .where(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_fingerprint"))) <= RADIUS)
              .withColumn("similarity", _similarity(F.col("shingles"), F.col("item_shingles")))
              .where(F.col("similarity") >= MIN_SIMILARITY))
     best = F.max_by("start", F.struct("similarity", -F.col("start")))

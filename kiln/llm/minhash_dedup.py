@@ -19,10 +19,11 @@
    leave a task. Every pair of one list is thus in one component or has been compared.
 5. Components again, and every row gets the component of its class.
 
-No list is capped. Null and empty texts have an empty set and are linked with nothing.
+Lists with the same classes are one list: the pairs are the same. No list is capped. Null and empty texts have an empty set and are linked with nothing.
 Rows that repeat a doc_id are separate members of their classes: each is answered by its own
 text. Null ids are ignored when the smallest id is sought; a class of null ids only is linked
-with nothing and has a null component (``kept`` null). Other columns are not read.
+with nothing and has a null component (``kept`` null). Other columns are not read. A very long
+text is one set, held by one task. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -147,6 +148,21 @@ def _lists(classes: DataFrame) -> DataFrame:
     return classes.select("c", "id", "sketch").mapInArrow(run, f"key long, c long, id {kind}")
 
 
+def _shared(lists: DataFrame) -> DataFrame:
+    """(key, c, id, h1, h2, h3): the lists of two classes and more with three hubs each, the class of the smallest
+    id, the first and the last. Of lists with the same classes only the one with the smallest key is
+    left: copies share dozens of them. They are told by number, ends and two sums of 64-bit hashes."""
+    several = lists.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
+    shared = written(lists.join(several, "key"))
+    low = F.expr("key ^ shiftleft(1L, 63)")  # keys compare as unsigned numbers in _pairs, so here
+    total = lambda seed: F.sum(F.xxhash64("c", F.lit(seed)).cast("decimal(20,0)"))
+    hubs = shared.groupBy("key").agg(F.min_by("c", "id").alias("h1"), F.min("c").alias("h2"), F.max("c").alias("h3"),
+                                     F.count(F.lit(1)).alias("m"), total(1).alias("s1"), total(2).alias("s2"))
+    one = (hubs.groupBy("m", "h2", "h3", "s1", "s2").agg(F.min(F.struct(low.alias("low"), "key", "h1")).alias("one"))
+           .select("one.key", "one.h1", "h2", "h3"))
+    return shared.join(one, "key").select("key", "c", "id", "h1", "h2", "h3")
+
+
 def _texts(source: DataFrame, members: DataFrame) -> DataFrame:
     """(c, n, sketch, blob) of the classes in ``members`` (c, id): the compressed text of one row each.
     Rows that have the id but another text are told by their digest."""
@@ -174,8 +190,23 @@ def _texts(source: DataFrame, members: DataFrame) -> DataFrame:
     return found.dropDuplicates(["c"])
 
 
+def _alike(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The (a, b) of ``pairs`` whose sizes and sketches do not rule a link out."""
+    side = lambda x: texts.select(F.col("c").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
+
+    def run(batches):
+        for batch in batches:
+            ok = pa.array([estimate(_values(x), _values(y)) >= PERCENT / 100 - SLACK
+                           for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], names=["a", "b"])
+
+    sized = (pairs.join(side("a"), "a").join(side("b"), "b")
+             .where(100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")))
+    return sized.select("a", "b", "s_a", "s_b").mapInArrow(run, "a long, b long")
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The (a, b) of ``pairs`` that are linked: estimate by sketch, then the full sets."""
+    """The (a, b) of ``pairs`` that are linked: first by sketch, so that few texts move, then the full sets."""
     side = lambda x: texts.select(F.col("c").alias(x), F.col("blob").alias(f"blob_{x}"))
 
     def run(batches):
@@ -190,14 +221,12 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             return kept[blob]
 
         for batch in batches:
-            ok = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = full(x), full(y)
-                ok.append(estimate(x[:SKETCH], y[:SKETCH]) >= PERCENT / 100 - SLACK and linked(x, y))
-            ok = pa.array(ok, pa.bool_())
+            ok = pa.array([linked(full(x), full(y)) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())],
+                          pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], names=["a", "b"])
 
-    joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "blob_a", "blob_b")
+    near = written(_alike(pairs, texts))
+    joined = near.join(side("a"), "a").join(side("b"), "b").select("a", "b", "blob_a", "blob_b")
     return joined.mapInArrow(run, "a long, b long")
 
 
@@ -357,12 +386,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # The rows of a class are never gathered, only counted in: their smallest id is its own.
     classes = written(rows.where("n > 0").groupBy("digest", "c")
                       .agg(F.min("doc_id").alias("id"), F.first("sketch").alias("sketch")))
-    lists = _lists(classes)
-    several = lists.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
-    lists = written(lists.join(several, "key"))
-    texts = written(_texts(source, lists.select("c", "id").distinct()))
-    hubs = lists.groupBy("key").agg(F.min_by("c", "id").alias("h1"), F.min("c").alias("h2"), F.max("c").alias("h3"))
-    starred = lists.join(hubs, "key")
+    starred = written(_shared(_lists(classes)))
+    texts = written(_texts(source, starred.select("c", "id").distinct()))
     pair = [F.least("c", "h").alias("a"), F.greatest("c", "h").alias("b")]
     stars = starred.select("c", F.col("h1").alias("h")).where("c != h").select(*pair).distinct()
     links = written(_confirmed(stars, texts))

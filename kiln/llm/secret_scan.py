@@ -10,13 +10,16 @@ sets the entropy a window of 20 characters must reach, so that a hex key is foun
 name, a path or "0x" as it is alone. The counts of a window are kept up
 as it slides: one character enters, one leaves, and only their two terms of the sum
 c*log2(c) change. Windows that reach the limit are merged into spans (``hex_entropy``,
-``base64_entropy``). The allow-list suppresses what is random-looking but known to be
+``base64_entropy``), and these reach to both ends of the run of hex digits, or of letters and digits,
+that they lie in, so that a masked key leaves no ends. The allow-list suppresses what is random-looking but known to be
 harmless, by the part that holds the window: for hex windows the stretch between separators
 and the run of hex digits in it, for others the whole candidate and, within it, the side of
-an equals sign. Entropy spans are added; base spans always stay.
+an equals sign. Of a placeholder (``example``, ``xxxx``) only itself is left out: a key beside it is
+judged as if it stood alone. Entropy spans are added; base spans always stay.
 
 Null text is read as empty: no spans (``redact`` leaves null text null). Every row is
-scanned by itself, so ties and repeated rows each get their spans; other columns are not read.
+scanned by itself, so ties and repeated rows each get their spans; other columns are not read. A very
+long text is scanned whole, in one task. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -51,8 +54,10 @@ ALLOW = (
     r"[0-9/_=+-]+",                                           # no letter: numbers, dates
     r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",    # UUID
     r"(?:[A-Za-z]*[/_-])*[A-Za-z]*\d{1,4}",                   # a path or name with a number at its end
-    r".*(?:EXAMPLE|example|xxxx|XXXX).*",                     # placeholders
+    r"(?:[A-Za-z]*\d{0,4}[a-z]?[/_-])+[A-Za-z]*\d{0,4}[a-z]?",  # the same with numbers in its parts
 )
+#: Placeholders: only they are left out, what stands beside them is judged by itself.
+PLACEHOLDER = re.compile(r"EXAMPLE|example|x{4,}|X{4,}")
 
 SPAN_TYPE = "array<struct<kind:string,start:bigint,end:bigint>>"
 
@@ -82,6 +87,37 @@ def entropy_windows(s: str, least: float, width: int = WINDOW) -> list[tuple[int
     return out
 
 
+def _whole(s: str, windows: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The windows with the rest of the letters, digits and plus signs that they are in the middle of; merged."""
+    out: list[tuple[int, int]] = []
+    for a, b in windows:
+        while a and (s[a - 1].isalnum() or s[a - 1] == "+"):
+            a -= 1
+        while b < len(s) and (s[b].isalnum() or s[b] == "+"):
+            b += 1
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def _mixed(s: str, allow: re.Pattern) -> list[tuple[int, str]]:
+    """(place, part) of a candidate to be judged by mixed windows: all of it, or the sides of its equals signs
+    if it is allowed as a whole or holds a placeholder, which itself is left out."""
+    if PLACEHOLDER.search(s):
+        at, parts = 0, []
+        for m in [*PLACEHOLDER.finditer(s), None]:
+            end = m.start() if m else len(s)
+            parts += [(at + x.start(), x[0]) for x in SIDE.finditer(s[at:end])]
+            at = m.end() if m else at
+        return [x for x in parts if not allow.fullmatch(x[1])]
+    if not allow.fullmatch(s):
+        return [(0, s)]
+    # An allowed candidate can still hold a value that is not.
+    return [(x.start(), x[0]) for x in SIDE.finditer(s) if not allow.fullmatch(x[0])]
+
+
 def find_spans(text: str, allow: re.Pattern) -> list[tuple[str, int, int]]:
     """All spans of one text, by start and then kind; offsets in code points, end exclusive."""
     found = [("assign", *m.span()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
@@ -93,16 +129,13 @@ def find_spans(text: str, allow: re.Pattern) -> list[tuple[str, int, int]]:
             if allow.fullmatch(part[0]):
                 continue
             for run in HEX_RUN.finditer(s, part.start(), part.end()):
-                if not allow.fullmatch(run[0]):
-                    found += [("hex_entropy", at + run.start() + a, at + run.start() + b)
-                              for a, b in entropy_windows(run[0], MIN_ENTROPY["hex_entropy"])]
+                # A run with one window that reaches the limit is a key from end to end.
+                if not allow.fullmatch(run[0]) and entropy_windows(run[0], MIN_ENTROPY["hex_entropy"]):
+                    found.append(("hex_entropy", at + run.start(), at + run.end()))
         if not s.strip("0123456789abcdefABCDEF"):
             continue
-        # An allowed candidate can still hold a value that is not.
-        mixed = [(0, s)] if not allow.fullmatch(s) else [(x.start(), x[0]) for x in SIDE.finditer(s)
-                                                         if not allow.fullmatch(x[0])]
-        found += [("base64_entropy", at + start + a, at + start + b) for start, x in mixed
-                  for a, b in entropy_windows(x, MIN_ENTROPY["base64_entropy"])]
+        found += [("base64_entropy", at + start + a, at + start + b) for start, x in _mixed(s, allow)
+                  for a, b in _whole(x, entropy_windows(x, MIN_ENTROPY["base64_entropy"]))]
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
