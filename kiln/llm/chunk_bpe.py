@@ -38,7 +38,7 @@ from kiln.llm.common import pick, ranges, ship, written
 from kiln.llm.word_ids import IdPool, Labels, binary_rows, pretoken_bounds, slices, text_bytes
 
 #: Bytes of a chunk, and of the next that it covers at least.
-CHUNK = 1 << 14
+CHUNK = 1 << 16
 OVERLAP = 1 << 8
 #: Bytes encoded at once, and words a task remembers.
 SLICE = 4 << 20
