@@ -16,16 +16,21 @@ Two shapes:
   however large the user, and every pair is produced exactly once. The plan is the
   same whether there is such a user or not. Sums per item pair are combined map-side
   before the shuffle.
+* ``pairs_above_support`` (a support threshold): an exact prefix filter over the items' rater
+  lists, see there. ``top_pairs_by_support`` takes its threshold from the most rated items.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegralType
 
 from kiln.functions.numeric import cosine
 from kiln.operators.topk import top_k
+from kiln.scratch import Scratch
 
 # Users with more ratings than this are split into ceil(n / split_rows) slices.
 DEFAULT_SPLIT_ROWS = 5_000
@@ -73,35 +78,126 @@ def rating_pairs(ratings: DataFrame, user: str = "user_id", item: str = "item_id
         F.col("a._r").alias("rating_1"), F.col("b._r").alias("rating_2"))
 
 
-def pair_similarity(pairs: DataFrame, zero_denominator: str = "null", with_sums: bool = False) -> DataFrame:
-    """Cosine score and support per (item_1, item_2) from a pair table."""
+def _pair_sums(pairs: DataFrame) -> DataFrame:
+    """The sums of a score per (item_1, item_2), and ``num_rows``, the rows they come from."""
     r1, r2 = F.col("rating_1"), F.col("rating_2")
-    sums = pairs.groupBy("item_1", "item_2").agg(
+    return pairs.groupBy("item_1", "item_2").agg(
         F.sum(r1 * r2).alias("numerator"), F.sum(r1 * r1).alias("sum_xx"),
-        F.sum(r2 * r2).alias("sum_yy"), F.count(r1 * r2).alias("num_pairs"))
+        F.sum(r2 * r2).alias("sum_yy"), F.count(r1 * r2).alias("num_pairs"), F.count(F.lit(1)).alias("num_rows"))
+
+
+def _scored(sums: DataFrame, zero_denominator: str, with_sums: bool = False) -> DataFrame:
     out = sums.withColumn("score", cosine("numerator", "sum_xx", "sum_yy", zero_denominator))
     cols = ["item_1", "item_2", "score", "num_pairs"] + (["numerator", "sum_xx", "sum_yy"] if with_sums else [])
     return out.select(*cols)
 
 
+def pair_similarity(pairs: DataFrame, zero_denominator: str = "null", with_sums: bool = False) -> DataFrame:
+    """Cosine score and support per (item_1, item_2) from a pair table."""
+    return _scored(_pair_sums(pairs), zero_denominator, with_sums)
+
+
 def all_pairs_similarity(ratings: DataFrame, user: str = "user_id", item: str = "item_id",
                          rating: str = "rating", orientation: str = "asc",
                          zero_denominator: str = "zero", split_rows: int | None = DEFAULT_SPLIT_ROWS,
                          partitions: int | None = None, min_score: float | None = None,
-                         min_support: int | None = None) -> DataFrame:
+                         min_support: int | None = None, unique: bool = False) -> DataFrame:
     """Similarity of every co-rated item pair: item_1, item_2, score, num_pairs; strict
-    ``> min_score`` and ``> min_support`` where given. An item with ``min_support`` raters or
-    fewer is in no pair of more support, so it is left out before the pairs are built."""
-    if min_support is not None:
-        rated = ratings.where(F.col(rating).isNotNull() & F.col(user).isNotNull())
-        often = (rated.groupBy(item).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(min_support))
-                 .select(item))
-        ratings = ratings.join(often, item, "left_semi")
-    sims = pair_similarity(rating_pairs(ratings, user, item, rating, orientation, split_rows, partitions),
-                           zero_denominator)
-    if min_score is not None:
-        sims = sims.where(F.col("score") > F.lit(min_score))
-    return sims if min_support is None else sims.where(F.col("num_pairs") > F.lit(min_support))
+    ``> min_score`` and ``> min_support`` where given. ``unique``: no user has rated an item twice, so that
+    a pair's support is the number of their common raters; ``min_support`` then goes by ``pairs_above_support``."""
+    if unique and min_support is not None and min_support > 0:
+        sims = pairs_above_support(ratings, min_support, user, item, rating, orientation, zero_denominator,
+                                   split_rows, partitions)
+    else:
+        sims = pair_similarity(rating_pairs(ratings, user, item, rating, orientation, split_rows, partitions),
+                               zero_denominator)
+        if min_support is not None:
+            sims = sims.where(F.col("num_pairs") > F.lit(min_support))
+    return sims if min_score is None else sims.where(F.col("score") > F.lit(min_score))
+
+
+def _rater_lists(ratings: DataFrame, min_support: int, held_back: int, user: str, item: str, rating: str) -> DataFrame:
+    """The rows (_u, _i, _r, _key, _cut) of items with more than ``min_support`` raters. ``_key`` orders all raters alike,
+    those of few ratings first; ``_cut`` is the key of the first of an item's last ``held_back`` raters."""
+    r = _normalise(ratings, user, item, rating).where(F.col("_u").isNotNull() & F.col("_i").isNotNull())
+    often = r.groupBy("_i").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(min_support)).select("_i")
+    r = r.join(often, "_i", "left_semi")
+    degree = r.groupBy("_u").agg(F.count(F.lit(1)).alias("_d"))
+    r = r.join(degree, "_u").withColumn("_key", F.struct("_d", "_u"))
+    # Each task passes on the last raters of an item only, so an item of any size is spread over tasks.
+    last = Window.partitionBy("_i").orderBy(F.col("_d").desc(), F.col("_u").desc())
+    cuts = (r.select("_i", "_d", "_u", "_key").withColumn("_k", F.row_number().over(last))
+            .where(F.col("_k") <= F.lit(held_back)).groupBy("_i").agg(F.min("_key").alias("_cut")))
+    return r.join(cuts, "_i").select("_u", "_i", "_r", "_key", "_cut")
+
+
+def pairs_above_support(ratings: DataFrame, min_support: int, user: str = "user_id", item: str = "item_id",
+                        rating: str = "rating", orientation: str = "asc", zero_denominator: str = "zero",
+                        split_rows: int | None = DEFAULT_SPLIT_ROWS, partitions: int | None = None,
+                        held_back: int | None = None) -> DataFrame:
+    """item_1, item_2, score, num_pairs of the pairs with more than ``min_support`` (1 or more) common raters; no user
+    may have rated an item twice.
+
+    All raters have one order, those with few ratings first, and an item's last ``held_back`` raters (h, 1 to
+    ``min_support``, default half of it) stay out of the pairing. Where two items' lists
+    are cut, at most h raters of the item cut first remain for both, so a pair of more than ``min_support`` shares more
+    than ``min_support - h`` raters before the cuts. The pairs with as many are the candidates: their sums so
+    far are kept, and the h raters behind the earlier cut are looked up in the other item. The result is exact.
+
+    Users of many ratings, who make the most pairs, are those held back. Looking up takes h rows a candidate and a
+    candidate has more than ``min_support - h`` pair rows, so that with the default the lookups are fewer than the pair
+    rows. The lists and the candidates are written once, in the shared folder, until the driver ends."""
+    if min_support < 1:
+        raise ValueError("min_support must be 1 or more")
+    h = max(1, min_support // 2) if held_back is None else held_back
+    if not 1 <= h <= min_support:
+        raise ValueError("held_back must lie between 1 and min_support")
+    scratch = Scratch(ratings.sparkSession, "kiln-pairs")
+    lists = scratch.write(_rater_lists(ratings, min_support, h, user, item, rating))
+    front = lists.where(F.col("_key") < F.col("_cut"))
+    pairs = rating_pairs(front, "_u", "_i", "_r", orientation, split_rows, partitions)
+    candidates = scratch.write(_pair_sums(pairs).where(F.col("num_rows") > F.lit(min_support - h)))
+    # Behind the cuts: the item cut first (its later raters are those held back) against the other one.
+    back = lists.where(F.col("_key") >= F.col("_cut"))
+    cuts = back.where(F.col("_key") == F.col("_cut")).select("_i", "_cut")
+    sides = (candidates.select("item_1", "item_2")
+             .join(cuts.select(F.col("_i").alias("item_1"), F.col("_cut").alias("_cut_1")), "item_1")
+             .join(cuts.select(F.col("_i").alias("item_2"), F.col("_cut").alias("_cut_2")), "item_2")
+             .select("item_1", "item_2", (F.col("_cut_1") <= F.col("_cut_2")).alias("_first")))
+    wanted = (sides.withColumn("_i", F.when(F.col("_first"), F.col("item_1")).otherwise(F.col("item_2")))
+              .join(back.select("_i", "_u", F.col("_r").alias("_held")), "_i")
+              .select("item_1", "item_2", "_first", "_u", "_held",
+                      F.when(F.col("_first"), F.col("item_2")).otherwise(F.col("item_1")).alias("_i")))
+    found = wanted.join(lists.select("_u", "_i", "_r"), ["_u", "_i"]).select(
+        "item_1", "item_2", F.when(F.col("_first"), F.col("_held")).otherwise(F.col("_r")).alias("rating_1"),
+        F.when(F.col("_first"), F.col("_r")).otherwise(F.col("_held")).alias("rating_2"))
+    sums = candidates.unionByName(_pair_sums(found)).groupBy("item_1", "item_2").agg(
+        *[F.sum(c).alias(c) for c in ("numerator", "sum_xx", "sum_yy", "num_pairs")])
+    return _scored(sums.where(F.col("num_pairs") > F.lit(min_support)), zero_denominator)
+
+
+def top_pairs_by_support(ratings: DataFrame, k: int, user: str = "user_id", item: str = "item_id",
+                         rating: str = "rating", orientation: str = "asc", zero_denominator: str = "zero",
+                         split_rows: int | None = DEFAULT_SPLIT_ROWS, unique: bool = False) -> DataFrame:
+    """The ``k`` pairs of most support (ties by item_1, item_2): item_1, item_2, score, num_pairs.
+
+    The k-th best support among the pairs of the most rated items is a lower bound of the k-th
+    best of all, and only pairs of that support and more are scored. ``unique`` as in ``all_pairs_similarity``."""
+    floor = 0
+    if unique:
+        seeds = 2 * math.isqrt(2 * k) + 2  # four times as many pairs as wanted, and more
+        rated = ratings.where(F.col(user).isNotNull() & F.col(item).isNotNull() & F.col(rating).isNotNull())
+        most = top_k(rated.groupBy(item).agg(F.count(F.lit(1)).alias("_n")), seeds, ["-_n"], [item]).select(item)
+        pairs = rating_pairs(rated.join(F.broadcast(most), item, "left_semi"), user, item, rating, orientation, split_rows)
+        best = top_k(_pair_sums(pairs), k, ["-num_pairs"]).agg(F.count(F.lit(1)).alias("n"), F.min("num_pairs").alias("least")).first()
+        floor = best["least"] if best["n"] == k else 0
+    if floor > 1:
+        # A quarter held back: few pairs of less support have three quarters of it before the cuts.
+        sims = pairs_above_support(ratings, floor - 1, user, item, rating, orientation, zero_denominator, split_rows,
+                                   held_back=max(1, (floor - 1) // 4))
+    else:
+        sims = all_pairs_similarity(ratings, user, item, rating, orientation, zero_denominator, split_rows)
+    return top_k(sims, k, ["-num_pairs"], ["item_1", "item_2"])
 
 
 def similar_to_item(ratings: DataFrame, ref, user: str = "user_id", item: str = "item_id",

@@ -256,11 +256,12 @@ def all_pairs_similarity(spark, sf):
 
 def similar_pairs(spark, sf):
     return similarity.all_pairs_similarity(tables.ratings(spark, sf), orientation="asc", zero_denominator="zero",
-                                           min_score=P.MIN_SCORE, min_support=P.MIN_SUPPORT)
+                                           min_score=P.MIN_SCORE, min_support=P.MIN_SUPPORT, unique=True)
 
 
 def top_support_pairs(spark, sf):
-    return topk.top_k(all_pairs_similarity(spark, sf), P.TOP_PAIRS, ["-num_pairs"], ["item_1", "item_2"])
+    return similarity.top_pairs_by_support(tables.ratings(spark, sf), P.TOP_PAIRS, orientation="asc", zero_denominator="zero",
+                                           unique=True)
 
 
 # ---- sums, splits, layout -----------------------------------------------------------------------

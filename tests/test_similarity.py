@@ -1,10 +1,11 @@
 import math
+import random
 from collections import defaultdict
 from itertools import combinations
 
 import pytest
 
-from kiln.operators import all_pairs_similarity, rating_pairs, similar_to_item
+from kiln.operators import all_pairs_similarity, pairs_above_support, rating_pairs, similar_to_item, top_pairs_by_support
 from tests.conftest import rows
 
 RATINGS = [
@@ -89,3 +90,97 @@ def test_hot_user_grid_split_large(spark):
     assert split == rows(all_pairs_similarity(df, split_rows=None))
     want = brute_force(data)
     assert {(a, b): n for a, b, _, n in split} == {k: v[1] for k, v in want.items()}
+
+
+def _random_ratings(seed, users=60, items=14):
+    """A user of every item, users of a few, two items rated alike and one rated once."""
+    rng = random.Random(seed)
+    data = [(0, i, rng.randint(0, 5)) for i in range(items)]
+    for u in range(1, users):
+        share = rng.choice([0.05, 0.3, 0.9])
+        data += [(u, i, rng.randint(0, 5)) for i in range(items - 3) if rng.random() < share]
+        if u % 2:
+            data += [(u, items - 3, 2), (u, items - 2, 4)]
+    return data
+
+
+@pytest.mark.parametrize("min_support,held_back", [(1, None), (5, None), (8, 8), (8, 1), (20, None), (29, 7), (100, None)])
+def test_pairs_above_support_equal_filtered_brute_force(spark, min_support, held_back):
+    data = _random_ratings(min_support)
+    df = spark.createDataFrame(data, "user_id INT, item_id INT, rating INT")
+    got = {(a, b): (s, n) for a, b, s, n in rows(pairs_above_support(df, min_support, held_back=held_back, split_rows=4))}
+    sums = defaultdict(lambda: [0, 0, 0, 0])
+    by_user = defaultdict(list)
+    for u, i, r in data:
+        by_user[u].append((i, r))
+    for rated in by_user.values():
+        for (i, a), (j, b) in combinations(sorted(rated), 2):
+            for k, v in enumerate((a * b, a * a, b * b, 1)):
+                sums[i, j][k] += v
+    want = {k: v for k, v in sums.items() if v[3] > min_support}
+    assert got.keys() == want.keys() and (min_support == 100) == (not want)
+    for k, (xy, xx, yy, n) in want.items():
+        assert got[k][1] == n and math.isclose(got[k][0], xy / math.sqrt(xx * yy) if xx * yy else 0.0, rel_tol=1e-12)
+
+
+def test_pairs_above_support_with_nulls_and_bad_arguments(spark):
+    data = [(u, i, None if (u, i) == (3, 1) else 2) for u in range(6) for i in (1, 2)] + [(None, 1, 5), (7, None, 5)]
+    df = spark.createDataFrame(data, "user_id INT, item_id INT, rating INT")
+    want = rows(all_pairs_similarity(df, min_support=4))
+    assert len(want) == 1 and rows(all_pairs_similarity(df, min_support=4, unique=True)) == want
+    assert rows(all_pairs_similarity(df, min_support=5, unique=True)) == []
+    assert rows(pairs_above_support(df.limit(0), 3)) == []
+    for support, held_back in ((0, None), (3, 4), (3, 0)):
+        with pytest.raises(ValueError):
+            pairs_above_support(df, support, held_back=held_back)
+
+
+def test_support_of_repeated_ratings_counts_every_pair_of_rows(spark):
+    df = spark.createDataFrame([(1, 1, 2), (1, 1, 3), (1, 2, 4), (1, 2, 5)], "user_id INT, item_id INT, rating INT")
+    assert rows(all_pairs_similarity(df, min_support=3), "item_1", "item_2", "num_pairs") == [(1, 2, 4)]
+
+
+@pytest.mark.parametrize("k", [1, 3, 10, 1000])
+def test_top_pairs_by_support(spark, k):
+    df = spark.createDataFrame(_random_ratings(k), "user_id INT, item_id INT, rating INT")
+    every = sorted(rows(all_pairs_similarity(df)), key=lambda t: (-t[3], t[0], t[1]))[:k]
+    for unique in (True, False):
+        got = [tuple(r) for r in top_pairs_by_support(df, k, unique=unique).collect()]
+        assert [(a, b, n) for a, b, _, n in got] == [(a, b, n) for a, b, _, n in every]
+
+
+def test_prefix_filter_pairs_fewer_rows_than_the_full_join(spark):
+    """Rows that are paired or looked up, counted on ratings where a few users have rated nearly everything."""
+    rng = random.Random(5)
+    data = [(u, i, 1) for u in range(8) for i in range(60)] + \
+           [(u, i, 1) for u in range(8, 400) for i in rng.sample(range(60), 3)] + \
+           [(u, i, 1) for u in range(400, 430) for i in (60, 61, 62)]
+    df = spark.createDataFrame(data, "user_id INT, item_id INT, rating INT")
+    out = pairs_above_support(df, 16)
+    assert rows(out, "item_1", "item_2", "num_pairs") == [(60, 61, 30), (60, 62, 30), (61, 62, 30)]
+    full = rating_pairs(df).count()
+    assert _joined_rows(out) + _written_pair_rows(spark, df, 16) < full / 5
+
+
+def _joined_rows(df):
+    """Rows of the largest join of a plan that has run."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    found, left = [0], [plan]
+    while left:
+        node = left.pop()
+        if "AdaptiveSparkPlan" in node.nodeName():
+            left.append(node.executedPlan())
+        elif "QueryStage" in node.nodeName():
+            left.append(node.plan())
+        if "Join" in node.nodeName():
+            found.append(node.metrics().apply("numOutputRows").value())
+        children = node.children()
+        left += [children.apply(k) for k in range(children.size())]
+    return max(found)
+
+
+def _written_pair_rows(spark, df, min_support):
+    from kiln.operators.similarity import _rater_lists
+    lists = _rater_lists(df, min_support, min_support // 2, "user_id", "item_id", "rating")
+    return rating_pairs(lists.where("_key < _cut"), "_u", "_i", "_r").count()
