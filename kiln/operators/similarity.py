@@ -34,6 +34,8 @@ from kiln.scratch import Scratch
 
 # Users with more ratings than this are split into ceil(n / split_rows) slices.
 DEFAULT_SPLIT_ROWS = 5_000
+# Share of the rating rows that a prefix filter must hold back to be worth its passes.
+HELD_BACK_SHARE = 0.1
 
 
 def _normalise(ratings: DataFrame, user: str, item: str, rating: str) -> DataFrame:
@@ -116,10 +118,9 @@ def all_pairs_similarity(ratings: DataFrame, user: str = "user_id", item: str =
     return sims if min_score is None else sims.where(F.col("score") > F.lit(min_score))
 
 
-def _rater_lists(ratings: DataFrame, min_support: int, held_back: int, user: str, item: str, rating: str) -> DataFrame:
+def _rater_lists(r: DataFrame, min_support: int, held_back: int) -> DataFrame:
     """The rows (_u, _i, _r, _key, _cut) of items with more than ``min_support`` raters. ``_key`` orders all raters alike,
     those of few ratings first; ``_cut`` is the key of the first of an item's last ``held_back`` raters."""
-    r = _normalise(ratings, user, item, rating).where(F.col("_u").isNotNull() & F.col("_i").isNotNull())
     often = r.groupBy("_i").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(min_support)).select("_i")
     r = r.join(often, "_i", "left_semi")
     degree = r.groupBy("_u").agg(F.count(F.lit(1)).alias("_d"))
@@ -146,14 +147,24 @@ def pairs_above_support(ratings: DataFrame, min_support: int, user: str = "user_
 
     Users of many ratings, who make the most pairs, are those held back. Looking up takes h rows a candidate and a
     candidate has more than ``min_support - h`` pair rows, so that with the default the lookups are fewer than the pair
-    rows. The lists and the candidates are written once, in the shared folder, until the driver ends."""
+    rows. The ratings, the lists and the candidates are written once, in the shared folder, until the driver ends."""
     if min_support < 1:
         raise ValueError("min_support must be 1 or more")
     h = max(1, min_support // 2) if held_back is None else held_back
     if not 1 <= h <= min_support:
         raise ValueError("held_back must lie between 1 and min_support")
     scratch = Scratch(ratings.sparkSession, "kiln-pairs")
-    lists = scratch.write(_rater_lists(ratings, min_support, h, user, item, rating))
+    stored = scratch.write(_known(ratings, user, item, rating))
+    return _prefix_filtered(scratch, stored, min_support, h, orientation, zero_denominator, split_rows, partitions)
+
+
+def _known(ratings: DataFrame, user: str, item: str, rating: str) -> DataFrame:
+    return _normalise(ratings, user, item, rating).where(F.col("_u").isNotNull() & F.col("_i").isNotNull())
+
+
+def _prefix_filtered(scratch: Scratch, stored: DataFrame, min_support: int, h: int, orientation: str,
+                     zero_denominator: str, split_rows: int | None, partitions: int | None = None) -> DataFrame:
+    lists = scratch.write(_rater_lists(stored, min_support, h))
     front = lists.where(F.col("_key") < F.col("_cut"))
     pairs = rating_pairs(front, "_u", "_i", "_r", orientation, split_rows, partitions)
     candidates = scratch.write(_pair_sums(pairs).where(F.col("num_rows") > F.lit(min_support - h)))
@@ -182,21 +193,30 @@ def top_pairs_by_support(ratings: DataFrame, k: int, user: str = "user_id", item
     """The ``k`` pairs of most support (ties by item_1, item_2): item_1, item_2, score, num_pairs.
 
     The k-th best support among the pairs of the most rated items is a lower bound of the k-th
-    best of all, and only pairs of that support and more are scored. ``unique`` as in ``all_pairs_similarity``."""
-    floor = 0
-    if unique:
-        seeds = 2 * math.isqrt(2 * k) + 2  # four times as many pairs as wanted, and more
-        rated = ratings.where(F.col(user).isNotNull() & F.col(item).isNotNull() & F.col(rating).isNotNull())
-        most = top_k(rated.groupBy(item).agg(F.count(F.lit(1)).alias("_n")), seeds, ["-_n"], [item]).select(item)
-        pairs = rating_pairs(rated.join(F.broadcast(most), item, "left_semi"), user, item, rating, orientation, split_rows)
-        best = top_k(_pair_sums(pairs), k, ["-num_pairs"]).agg(F.count(F.lit(1)).alias("n"), F.min("num_pairs").alias("least")).first()
-        floor = best["least"] if best["n"] == k else 0
-    if floor > 1:
-        # A quarter held back: few pairs of less support have three quarters of it before the cuts.
-        sims = pairs_above_support(ratings, floor - 1, user, item, rating, orientation, zero_denominator, split_rows,
-                                   held_back=max(1, (floor - 1) // 4))
+    best of all. Items of fewer raters are left out, and where the raters held back are HELD_BACK_SHARE of the rest
+    or more, the prefix filter of ``pairs_above_support`` goes before the scores (if all items have many more
+    raters than the bound, it would prune nothing). Either way gives the same rows. ``unique`` as in
+    ``all_pairs_similarity``; without it every pair is scored."""
+    if not unique:
+        return top_k(all_pairs_similarity(ratings, user, item, rating, orientation, zero_denominator, split_rows),
+                     k, ["-num_pairs"], ["item_1", "item_2"])
+    scratch = Scratch(ratings.sparkSession, "kiln-pairs")
+    stored = scratch.write(_known(ratings, user, item, rating))
+    seeds = 2 * math.isqrt(2 * k) + 2  # four times as many pairs as wanted, and more
+    most = top_k(stored.groupBy("_i").agg(F.count("_r").alias("_n")), seeds, ["-_n"], ["_i"]).select("_i")
+    pairs = rating_pairs(stored.join(F.broadcast(most), "_i", "left_semi"), "_u", "_i", "_r", orientation, split_rows)
+    best = top_k(_pair_sums(pairs), k, ["-num_pairs"]).agg(F.count(F.lit(1)).alias("n"), F.min("num_pairs").alias("least")).first()
+    floor = best["least"] if best["n"] == k else 0
+    # Only items of that many raters can be in such a pair.
+    often = stored.groupBy("_i").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= F.lit(floor))
+    size = often.agg(F.count(F.lit(1)).alias("items"), F.coalesce(F.sum("_n"), F.lit(0)).alias("rows")).first()
+    # A quarter held back: few pairs of less support have three quarters of it before the cuts.
+    held_back = max(1, (floor - 1) // 4)
+    if floor > 1 and held_back * size["items"] >= HELD_BACK_SHARE * size["rows"]:
+        sims = _prefix_filtered(scratch, stored, floor - 1, held_back, orientation, zero_denominator, split_rows)
     else:
-        sims = all_pairs_similarity(ratings, user, item, rating, orientation, zero_denominator, split_rows)
+        rest = stored.join(often.select("_i"), "_i", "left_semi")
+        sims = pair_similarity(rating_pairs(rest, "_u", "_i", "_r", orientation, split_rows), zero_denominator)
     return top_k(sims, k, ["-num_pairs"], ["item_1", "item_2"])
 
 

@@ -5,6 +5,7 @@ from itertools import combinations
 
 import pytest
 
+from kiln.operators import similarity
 from kiln.operators import all_pairs_similarity, pairs_above_support, rating_pairs, similar_to_item, top_pairs_by_support
 from tests.conftest import rows
 
@@ -140,8 +141,9 @@ def test_support_of_repeated_ratings_counts_every_pair_of_rows(spark):
     assert rows(all_pairs_similarity(df, min_support=3), "item_1", "item_2", "num_pairs") == [(1, 2, 4)]
 
 
-@pytest.mark.parametrize("k", [1, 3, 10, 1000])
-def test_top_pairs_by_support(spark, k):
+@pytest.mark.parametrize("k,share", [(1, 0.1), (3, 0.0), (3, 9.0), (10, 0.0), (1000, 0.1)])
+def test_top_pairs_by_support(spark, monkeypatch, k, share):
+    monkeypatch.setattr(similarity, "HELD_BACK_SHARE", share)
     df = spark.createDataFrame(_random_ratings(k), "user_id INT, item_id INT, rating INT")
     every = sorted(rows(all_pairs_similarity(df)), key=lambda t: (-t[3], t[0], t[1]))[:k]
     for unique in (True, False):
@@ -181,6 +183,6 @@ def _joined_rows(df):
 
 
 def _written_pair_rows(spark, df, min_support):
-    from kiln.operators.similarity import _rater_lists
-    lists = _rater_lists(df, min_support, min_support // 2, "user_id", "item_id", "rating")
+    from kiln.operators.similarity import _known, _rater_lists
+    lists = _rater_lists(_known(df, "user_id", "item_id", "rating"), min_support, min_support // 2)
     return rating_pairs(lists.where("_key < _cut"), "_u", "_i", "_r").count()
