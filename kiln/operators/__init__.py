@@ -12,7 +12,7 @@ from kiln.operators.similarity import (all_pairs_similarity, pair_similarity, pa
 from kiln.operators.splits import (contiguous_folds, fold_parts, global_row_number, holdout_split,
                                    running_number)
 from kiln.operators.text import token_total, tokens, word_count
-from kiln.operators.topk import first_row, preview, ranked, top_k
+from kiln.operators.topk import first_row, preview, ranked, row_hash, sample_rows, top_k
 from kiln.operators.graph import edge_table
 
 __all__ = [
@@ -21,7 +21,8 @@ __all__ = [
     "fold_parts", "global_extreme", "global_row_number", "group_count", "group_extreme",
     "group_mean", "group_mean_by_parts", "group_sum", "holdout_split", "least_connected", "lookup",
     "lookup_few", "node_degrees", "nodes_at_minimum", "other_of_pair", "pair_similarity", "pairs_above_support",
-    "partition_profile", "partition_rows", "preview", "ranked", "rating_pairs", "running_number",
+    "partition_profile", "partition_rows", "preview", "ranked", "rating_pairs", "row_hash", "running_number",
+    "sample_rows",
     "schema_table", "similar_to_item", "sum_of_squares", "token_total", "tokens", "top_k",
     "top_pairs_by_support", "total_count", "word_count",
 ]

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kiln.scratch import Scratch
 from kiln.session import reliable_checkpoint
 
 # monotonically_increasing_id keeps the record position in its lower 33 bits.
@@ -38,10 +39,13 @@ def _join_keys_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how
 
 
 def global_row_number(df: DataFrame, order, alias: str = "row_num", partitions: int | None = None,
-                      total: str | None = None, part: str | None = None) -> DataFrame:
+                      total: str | None = None, part: str | None = None, stored: bool = False) -> DataFrame:
     """``df`` plus a 1-based row number in ``order``; optionally the row count as ``total`` and the
-    range partition as ``part``."""
+    range partition as ``part``. ``stored``: ``df`` reads a table as it lies, so that the sampling of the range
+    bounds may read it a second time; any other input is computed once and written first."""
     cols = _cols(order)
+    if not stored:
+        df = Scratch(df.sparkSession, "kiln-rows").write(df)
     # Without an explicit count AQE sizes the range partitions to the data, merging only
     # adjacent ranges, so partition order remains the global order.
     ranged = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)

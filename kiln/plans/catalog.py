@@ -293,6 +293,10 @@ def fold_base(spark, sf):
     return base
 
 
+def sampled_ratings(spark, sf):
+    return topk.sample_rows(tables.ratings(spark, sf), P.SAMPLE_ROWS, ["user_id", "item_id"], P.SAMPLE_SEED)
+
+
 QUERIES: dict[str, Query] = {
     "rating_histogram": rating_histogram,
     "rating_total": rating_total,
@@ -338,4 +342,5 @@ QUERIES: dict[str, Query] = {
     "holdout_capped": holdout_capped,
     "contiguous_folds": contiguous_folds,
     "fold_base": fold_base,
+    "sampled_ratings": sampled_ratings,
 }

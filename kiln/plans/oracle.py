@@ -211,3 +211,5 @@ SELECT * FROM f WHERE fold <> {P.BASE_OF_FOLD} ORDER BY user_id, item_id"""
 
 ORACLE["top_support_pairs"] = ORACLE["all_pairs_similarity"] + \
     f"\nORDER BY num_pairs DESC, item_1, item_2 LIMIT {P.TOP_PAIRS}"
+ORACLE["sampled_ratings"] = f"""WITH {_RATINGS}
+SELECT * FROM r ORDER BY md5(concat_ws('|', '{P.SAMPLE_SEED}', user_id, item_id)) LIMIT {P.SAMPLE_ROWS}"""

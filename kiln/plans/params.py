@@ -30,3 +30,6 @@ HOLDOUT_START, HOLDOUT_STOP = 1, 10
 HOLDOUT_MAX_TEST = 5000
 FOLDS = 5
 BASE_OF_FOLD = 2
+
+# Repeatable sample of the ratings view.
+SAMPLE_ROWS, SAMPLE_SEED = 10_000, 7
