@@ -7,8 +7,9 @@ rule's, and the longest rule that fits decides. For the rest:
 2. Word segmentation: the labels of every host (each distinct label once) are split into
    the most probable sequence of words by the Viterbi algorithm over their substrings. A
    word of n letters that was never seen has a probability falling with n, so that unknown
-   names stay whole. Only the substrings of labels are looked up, by a join; the word
-   counts are never gathered.
+   names stay whole. Words may have any length. Only substrings of labels are looked up, by a join: those of
+   up to SEED letters, and longer words by their first SEED letters, so that a label of n letters makes
+   at most n * SEED rows; the word counts are never gathered.
 3. Multinomial naive Bayes over the words of host and path, each as often as it occurs, learnt from the pages that the
    rules decide; the words that rules themselves name are left out. Words are hashed into
    BUCKETS buckets, which bounds the model.
@@ -34,7 +35,8 @@ from kiln.llm.common import pick, ship, written
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 
 BUCKETS = 1 << 16
-MAX_WORD = 20
+SEED = 20
+CHUNK = 256
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -69,23 +71,28 @@ def rule_words(rules=RULES) -> list[str]:
 
 
 def word_counts(texts: DataFrame, text_col: str, mark_up: bool = True) -> DataFrame:
-    """(word, n): ASCII words of 1 to MAX_WORD letters, lower-cased, over all rows."""
+    """(word, n): ASCII words of any length, lower-cased, over all rows."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     if mark_up:
         text = F.regexp_replace(text, r"<[^>]*>", " ")
     return (texts.select(F.explode(F.split(F.lower(text), r"[^a-z]+", -1)).alias("word"))
-            .where(F.length("word").between(1, MAX_WORD)).groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+            .where(F.col("word") != "").groupBy("word").agg(F.count(F.lit(1)).alias("n")))
 
 
-def segment(label: str, cost: dict[str, float], unseen) -> list[str]:
-    """The cheapest split of ``label``; on ties the one with the longer last word."""
-    best, back = [0.0] + [math.inf] * len(label), [0] * (len(label) + 1)
+def segment(label: str, cost: dict[str, float], base: float, letter: float) -> list[str]:
+    """The cheapest split of ``label``; on ties the one with the longer last word. Words that are not in ``cost`` cost
+    ``base`` and ``letter`` for each letter, and more than any that is."""
+    best, back = [0.0] * (len(label) + 1), [0] * (len(label) + 1)
+    lengths = sorted({len(w) for w in cost}, reverse=True)
+    start = 0  # where the cheapest unknown last word begins: its cost grows alike from every start
     for j in range(1, len(label) + 1):
-        for i in range(max(0, j - MAX_WORD), j):
-            word = label[i:j]
-            total = best[i] + cost.get(word, unseen(len(word)))
-            if total < best[j]:
-                best[j], back[j] = total, i
+        best[j], back[j] = best[start] + base + letter * (j - start), start
+        for length in lengths:
+            total = best[j - length] + cost.get(label[j - length:j], math.inf) if length <= j else math.inf
+            if total < best[j] or total == best[j] and j - length < back[j]:
+                best[j], back[j] = total, j - length
+        if best[j] - letter * j < best[start] - letter * start:
+            start = j
     out, j = [], len(label)
     while j:
         out.append(label[back[j]:j])
@@ -97,25 +104,29 @@ def segmented(labels: DataFrame, counts: DataFrame) -> DataFrame:
     """(label, words) of the distinct labels. Each label meets the counts of its own substrings."""
     ship(labels.sparkSession)
     total = counts.agg(F.sum("n")).first()[0] or 1
-    n = F.length("label")
-    pieces = labels.select("label", F.explode(F.array_distinct(F.flatten(F.transform(
+    # Cut into chunks first and known by a hash, so that no row of a piece carries a whole long label.
+    keyed = labels.withColumn("key", F.md5(F.col("label").cast("binary")))
+    chunks = keyed.select("key", F.explode(F.transform(
+        F.sequence(F.lit(0), F.floor((F.length("label") - 1) / F.lit(CHUNK)).cast("int")),
+        lambda c: F.substr("label", c * F.lit(CHUNK) + 1, F.lit(CHUNK + SEED - 1)))).alias("chunk"))
+    n = F.length("chunk")
+    pieces = chunks.select("key", F.explode(F.array_distinct(F.flatten(F.transform(
         F.sequence(F.lit(1), n), lambda i: F.transform(
-            F.sequence(F.lit(1), F.least(n - i + 1, F.lit(MAX_WORD))), lambda k: F.substr("label", i, k)))))).alias("word"))
-    seen = (pieces.join(counts, "word").groupBy("label")
-            .agg(F.collect_list(F.struct("word", "n")).alias("seen")))  # a label's substrings
-
-    def unseen(length: int) -> float:
-        return math.log(total) + math.log(10) * length  # 1 / (total * 10^length)
+            F.sequence(F.lit(1), F.least(n - i + 1, F.lit(SEED))), lambda k: F.substr("chunk", i, k)))))).alias("piece"))
+    words = counts.select("word", "n", F.substring("word", 1, SEED).alias("piece"))
+    # Long words that only begin like a part of the label match nothing in it later.
+    seen = pieces.join(words, "piece").groupBy("key").agg(F.collect_list(F.struct("word", "n")).alias("seen"))
+    base, letter = math.log(total), math.log(10)  # 1 / (total * 10^length)
 
     def run(batches):
         for batch in batches:
             out = []
             for label, known in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 cost = {x["word"]: math.log(total / x["n"]) for x in known or ()}
-                out.append(segment(label, cost, unseen))
+                out.append(segment(label, cost, base, letter))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.string()))], names=["label", "words"])
 
-    return labels.join(seen, "label", "left").mapInArrow(run, "label string, words array<string>")
+    return keyed.join(seen, "key", "left").select("label", "seen").mapInArrow(run, "label string, words array<string>")
 
 
 def host_words(hosts: DataFrame, counts: DataFrame) -> DataFrame:

@@ -570,6 +570,39 @@ def test_segmentation(spark):
     assert "".join(got["zzz"]) == "zzz"
 
 
+def test_words_of_any_length(spark):
+    long, longer = "donaudampfschifffahrtsgesellschaft", "donaudampfschifffahrtskapitaen"
+    pages = spark.createDataFrame([(f"<p>{long} the {longer} {'x' * 70_000}</p>",), (None,), ("",)], "html string")
+    counts = url_filter.word_counts(pages, "html")
+    assert {r.word for r in counts.collect()} == {long, longer, "the", "x" * 70_000}
+    unknown = "qwrtzpsdfgqwrtzpsdfgqwrtz"
+    labels = [long, "the" + long + "the", longer + long, unknown, "x" * 70_000, "the" + "q" * 5000]
+    got = {r.label: r.words for r in url_filter.segmented(spark.createDataFrame([(x,) for x in labels], "label string"), counts).collect()}
+    assert got == {labels[0]: [long], labels[1]: ["the", long, "the"], labels[2]: [longer, long], unknown: [unknown],
+                   labels[4]: [labels[4]], labels[5]: ["the", "q" * 5000]}
+
+
+def test_segments_equal_the_best_of_all_splits():
+    import itertools
+    import math
+    rnd = random.Random(3)
+    for _ in range(300):
+        total = rnd.randint(5, 1000)
+        cost = {"".join(rnd.choices("ab", k=rnd.randint(1, 6))): math.log(total / rnd.randint(1, total)) for _ in range(rnd.randint(0, 8))}
+        label = "".join(rnd.choices("ab", k=rnd.randint(1, 9)))
+        base, letter = math.log(total), math.log(10)
+
+        def price(words):
+            return sum(cost.get(w, base + letter * len(w)) for w in words)
+
+        splits = []
+        for cuts in itertools.product((0, 1), repeat=len(label) - 1):
+            ends = [0, *[k + 1 for k, c in enumerate(cuts) if c], len(label)]
+            splits.append([label[a:b] for a, b in zip(ends, ends[1:])])
+        got = url_filter.segment(label, cost, base, letter)
+        assert "".join(got) == label and price(got) == pytest.approx(min(map(price, splits)), abs=1e-9)
+
+
 # ---- 9 ------------------------------------------------------------------------------------------
 
 def test_quality_ranking(spark, awkward):
