@@ -17,7 +17,8 @@
    BLOCK classes, pairs of different components only: the estimate first, then the full
    sets, within the list with the smallest key that the pair shares. Only confirmed links
    leave a task. Every pair of one list is thus in one component or has been compared.
-5. Components again, and every row gets the component of its class.
+5. Components are merged along the new links after each step (nothing is computed where a step
+   finds none), and every row gets the component of its class.
 
 Lists with the same classes are one list: the pairs are the same. No list is capped. Null and empty texts have an empty set and are linked with nothing.
 Rows that repeat a doc_id are separate members of their classes: each is answered by its own
@@ -37,7 +38,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.llm.common import combine, mix, pick, ship, word_hashes, written
-from kiln.session import reliable_checkpoint
 
 #: Values a sketch retains, and the threshold as a percentage.
 SKETCH = 64
@@ -233,30 +233,47 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(v, component): the smallest vertex that each vertex of ``edges`` (a, b) can reach. Labels
     spread along edges and then jump to the label of their label, until none changes: about
-    log(diameter) rounds. Edges and labels stay distributed; each round is checkpointed."""
-    both = reliable_checkpoint(edges.select(F.col("a").alias("v"), F.col("b").alias("w"))
-                               .union(edges.select("b", "a")).distinct())
-    labels = reliable_checkpoint(both.groupBy("v").agg(F.min("w").alias("w"))
-                                 .select("v", F.least("w", "v").alias("component")))
+    log(diameter) rounds. Edges and labels stay distributed; each round is one written table,
+    whose known size lets Catalyst choose the joins of the next one."""
+    both = written(edges.select(F.col("a").alias("v"), F.col("b").alias("w"))
+                   .union(edges.select("b", "a")).distinct())
+    labels = written(both.groupBy("v").agg(F.min("w").alias("w"))
+                     .select("v", F.least("w", "v").alias("component")))
     while True:
         near = (both.join(labels.select(F.col("v").alias("w"), "component"), "w")
                 .groupBy("v").agg(F.min("component").alias("near")))
         spread = labels.join(near, "v").select("v", F.col("component").alias("old"),
                                                F.least("component", "near").alias("mid"))
         jump = labels.select(F.col("v").alias("mid"), F.col("component").alias("far"))
-        moved = reliable_checkpoint(spread.join(jump, "mid")
-                                    .select("v", "old", F.least("mid", "far").alias("component")))
-        changed = moved.where(F.col("old") != F.col("component")).limit(1).count()
+        moved = written(spread.join(jump, "mid").select("v", "old", F.least("mid", "far").alias("component")))
         labels = moved.select("v", "component")
-        if not changed:
+        if moved.where("old != component").isEmpty():
             return labels
 
 
+def merged(label: DataFrame, edges: DataFrame) -> DataFrame:
+    """The labels (v, component) of a graph after the written ``edges`` (a, b) are added: the components
+    of the graph whose vertices are the old components. Without edges nothing is computed."""
+    if edges.isEmpty():
+        return label
+    root = components(_of(edges, label).select(F.col("of_a").alias("a"), F.col("of_b").alias("b")))
+    root = root.select(F.col("v").alias("component"), F.col("component").alias("root"))
+    moved = label.join(root, "component", "left").select("v", F.coalesce("root", "component").alias("component"))
+    # Vertices that had no edge before are their own old component.
+    new = root.join(label.select(F.col("v").alias("component")), "component", "left_anti")
+    return written(moved.union(new))
+
+
+def _of(pairs: DataFrame, label: DataFrame) -> DataFrame:
+    """``pairs`` (a, b) with the components of_a and of_b of their ends."""
+    of = lambda x: label.select(F.col("v").alias(x), F.col("component").alias(f"_{x}"))
+    return (pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+            .select("a", "b", F.coalesce("_a", "a").alias("of_a"), F.coalesce("_b", "b").alias("of_b")))
+
+
 def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
     """The pairs (a, b) whose ends are not in one component yet."""
-    of = lambda x: label.select(F.col("v").alias(x), F.col("component").alias(f"of_{x}"))
-    return (pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
-            .where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b"))
+    return _of(pairs, label).where("of_a != of_b").select("a", "b")
 
 
 def shared_counts(a: list[np.ndarray], b: list[np.ndarray], chunk: int = 1024) -> np.ndarray:
@@ -304,8 +321,16 @@ def _pairs(key: int, i: int, j: int, rows: list[tuple], sketches: list[np.ndarra
     second = first if i == j else [k for k, r in enumerate(rows) if r[0] == j]
     own = np.array([key]).view(np.uint64)[0]
     part = lambda of, k: np.array([rows[x][k] for x in of], np.int64)
-    below = lambda of: [(k := sketch_keys(sketches[x]))[k < own] for x in of]
-    n2, c2, s2, k2 = part(second, 3), part(second, 2), [sketches[x] for x in second], below(second)
+    smaller: dict[int, np.ndarray] = {}  # the smaller lists of the rows that come so far
+
+    def below(of):
+        for x in of:
+            if x not in smaller:
+                keys = sketch_keys(sketches[x])
+                smaller[x] = keys[keys < own]
+        return [smaller[x] for x in of]
+
+    n2, c2, s2 = part(second, 3), part(second, 2), [sketches[x] for x in second]
     for lo in range(0, len(first) if second else 0, STRIP):
         strip = first[lo:lo + STRIP]
         n1 = part(strip, 3)[:, None]
@@ -319,7 +344,8 @@ def _pairs(key: int, i: int, j: int, rows: list[tuple], sketches: list[np.ndarra
         able &= shared_counts(s1, s2) >= (PERCENT / 100 - SLACK) * np.minimum(SKETCH, np.maximum(n1, n2))
         if not able.any():
             continue
-        able &= shared_counts(below(strip), k2) == 0
+        at, to = np.flatnonzero(able.any(1)), np.flatnonzero(able.any(0))
+        able[np.ix_(at, to)] &= shared_counts(below([strip[x] for x in at]), below([second[y] for y in to])) == 0
         for x, y in zip(*np.nonzero(able)):
             if estimate(s1[x], s2[y]) >= PERCENT / 100 - SLACK:
                 yield strip[x], second[y]
@@ -390,13 +416,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = written(_texts(source, starred.select("c", "id").distinct()))
     pair = [F.least("c", "h").alias("a"), F.greatest("c", "h").alias("b")]
     stars = starred.select("c", F.col("h1").alias("h")).where("c != h").select(*pair).distinct()
-    links = written(_confirmed(stars, texts))
-    label = components(links)
+    label = components(written(_confirmed(stars, texts)))
     stars = starred.select("c", F.explode(F.array("h2", "h3")).alias("h")).where("c != h").select(*pair).distinct()
-    links = written(links.union(_confirmed(_apart(stars, label), texts)))
+    label = merged(label, written(_confirmed(_apart(stars, label), texts)))
     others = starred.where("c not in (h1, h2, h3)").select("key", "c")
-    more = written(_residual(others, components(links), texts))
-    label = components(links.union(more))
+    label = merged(label, written(_residual(others, label, texts)))
     ids = (classes.select("digest", "c", "id").join(label, F.col("c") == F.col("v"), "left")
            .select("digest", "id", F.coalesce("component", "c").alias("component")))
     least = ids.groupBy("component").agg(F.min("id").alias("component_id"))
