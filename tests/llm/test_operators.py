@@ -406,6 +406,17 @@ def test_near_duplicates_of_small_sets_and_of_one_dense_group(spark):
     assert got == dedup_brute(rows)
 
 
+def test_components_merged_in_steps_equal_those_of_all_edges(spark):
+    edges = lambda pairs: minhash_dedup.written(spark.createDataFrame(pairs, "a long, b long"))
+    first, then = [(1, 2), (2, 3), (3, 4), (7, 9), (8, 9), (20, 21)], [(4, 9), (30, 31), (31, 21), (1, 4), (40, 41)]
+    label = minhash_dedup.components(edges(first))
+    assert minhash_dedup.merged(label, edges([])) is label
+    merged = {r.v: r.component for r in minhash_dedup.merged(label, edges(then)).collect()}
+    whole = {r.v: r.component for r in minhash_dedup.components(edges(first + then)).collect()}
+    assert merged == whole
+    assert merged == {1: 1, 2: 1, 3: 1, 4: 1, 7: 1, 8: 1, 9: 1, 20: 20, 21: 20, 30: 20, 31: 20, 40: 40, 41: 40}
+
+
 def test_union_sketch_estimate():
     rnd = np.random.default_rng(10)
     both, a, b = (rnd.integers(0, 2**63, n, dtype=np.uint64) for n in (1600, 200, 200))
