@@ -48,4 +48,4 @@ def test_kept_documents_stay_one_per_group(spark):
 
 def test_registered():
     assert set(LLM_QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in LLM_QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in LLM_QUERIES) == list(range(1, 14))
