@@ -8,14 +8,15 @@ Two shapes:
 * ``similar_to_item`` (one reference item): only the reference item's raters are
   joined to the ratings, so the work is linear in the ratings of those users and
   no pair table is built.
-* ``all_pairs_similarity``: the pair table is the definition of the result, so
-  each user's items are paired once (theta condition in the join) on a grid: with
-  s = ceil(n / split_rows) slices for a user of n ratings (one for most), each row is
-  hashed to a slice on its own side and copied to every slice of the other side, and
-  the join key is (user, a, b). Task (a, b) pairs about split_rows x split_rows rows,
+* ``rating_pairs``: the pair table itself. Each user's items are paired once (theta condition in
+  the join) on a grid: with s = ceil(n / split_rows) slices for a user of n ratings (one for
+  most), each row is hashed to a slice on its own side and copied to every slice of the other
+  side, and the join key is (user, a, b). Task (a, b) pairs about split_rows x split_rows rows,
   however large the user, and every pair is produced exactly once. The plan is the
-  same whether there is such a user or not. Sums per item pair are combined map-side
-  before the shuffle.
+  same whether there is such a user or not.
+* ``all_pairs_similarity``: the sums over that table, by ``_co_rated_sums``. No pair row is shuffled:
+  the lists of a user's items go to the tasks of each of their items, which pair and add up at once, and
+  the number of tasks follows the number of pair rows.
 * ``pairs_above_support`` (a support threshold): an exact prefix filter over the items' rater
   lists, see there. ``top_pairs_by_support`` takes its threshold from the most rated items.
 """
@@ -34,6 +35,10 @@ from kiln.scratch import Scratch
 
 # Users with more ratings than this are split into ceil(n / split_rows) slices.
 DEFAULT_SPLIT_ROWS = 5_000
+# The same for the lists of ``_co_rated_sums``, which a row carries whole.
+CELL_ROWS = 1_000
+# Pair rows that a task of ``_co_rated_sums`` makes: a bound on its memory, whatever the size of the table.
+TASK_PAIRS = 2_000_000
 # Share of the rating rows that a prefix filter must hold back to be worth its passes.
 HELD_BACK_SHARE = 0.1
 
@@ -80,14 +85,63 @@ def rating_pairs(ratings: DataFrame, user: str = "user_id", item: str = "item_id
         F.col("a._r").alias("rating_1"), F.col("b._r").alias("rating_2"))
 
 
-def _pair_sums(pairs: DataFrame) -> DataFrame:
-    """The sums of a score per (item_1, item_2), and ``num_rows``, the rows they come from."""
+def _pair_sums(pairs: DataFrame, *keys: str) -> DataFrame:
+    """The sums of a score per (item_1, item_2) or ``keys``, and ``num_rows``, the rows they come from."""
     r1, r2 = F.col("rating_1"), F.col("rating_2")
-    return pairs.groupBy("item_1", "item_2").agg(
+    return pairs.groupBy(*(keys or ("item_1", "item_2"))).agg(
         F.sum(r1 * r2).alias("numerator"), F.sum(r1 * r1).alias("sum_xx"),
         F.sum(r2 * r2).alias("sum_yy"), F.count(r1 * r2).alias("num_pairs"), F.count(F.lit(1)).alias("num_rows"))
 
 
+def _item_lists(r: DataFrame, split_rows: int | None) -> DataFrame:
+    """(_u, _a, _b, _left, _right): the rows of slice a of a user and those of slice b as lists of (_i, _r), for all a and
+    b; of a user with one slice, all rows twice. Slices as in ``rating_pairs``."""
+    if split_rows:
+        size = min(split_rows, CELL_ROWS)
+        hot = (r.groupBy("_u").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(size))
+               .select("_u", F.ceil(F.col("_n") / F.lit(size)).cast("int").alias("_slices")))
+        r = r.join(hot, "_u", "left").withColumn("_slices", F.coalesce("_slices", F.lit(1)))
+    else:
+        r = r.withColumn("_slices", F.lit(1))
+    k, n, own = F.col("_k"), F.col("_slices"), F.col("_own")
+    # A row is in the n cells (own, b) on the left and in the n cells (a, own) on the right; (own, own) is one cell.
+    tagged = (r.withColumn("_own", F.pmod(F.xxhash64("_i"), n).cast("int"))
+              .withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(2) * n - F.lit(2)))))
+    other = F.when(k - n < own, k - n).otherwise(k - n + F.lit(1))
+    cells = tagged.select("_u", F.when(k < n, own).otherwise(other).alias("_a"), F.when(k < n, k).otherwise(own).alias("_b"),
+                          F.struct("_i", "_r").alias("_row"), (k < n).alias("_is_left"), ((k >= n) | (k == own)).alias("_is_right"))
+    return (cells.repartition("_u", "_a", "_b").groupBy("_u", "_a", "_b")
+            .agg(F.collect_list(F.when(F.col("_is_left"), F.col("_row"))).alias("_left"),
+                 F.collect_list(F.when(F.col("_is_right"), F.col("_row"))).alias("_right"))
+            .where((F.size("_left") > 0) & (F.size("_right") > 0)))
+
+
+def _co_rated_sums(scratch: Scratch, r: DataFrame, orientation: str, split_rows: int | None,
+                   partitions: int | None = None) -> DataFrame:
+    """``_pair_sums(rating_pairs(r))`` of stored rows (_u, _i, _r) without nulls in _u and _i, by item.
+
+    Every item is sent, once for each of its raters, the list of the rater's items on the other side; the tasks of
+    an item write out the pairs and add them up. So what is shuffled are lists, a few bytes a pair, and sums. There are as
+    many tasks as TASK_PAIRS asks for (or ``partitions``), on the side that copies the lists as well as on the side that adds up;
+    an item of more pair rows than that is dealt to several tasks by rater, and their sums are added."""
+    lists = scratch.write(_item_lists(r, split_rows), pair_rows=F.sum(F.size("_left").cast("bigint") * F.size("_right")))
+    made = (scratch.values["pair_rows"] or 0) // 2
+    n = partitions or max(r.sparkSession.sparkContext.defaultParallelism, -(-made // TASK_PAIRS))
+    salts = (lists.select(F.size("_right").alias("_n"), F.explode("_left._i").alias("_i"))
+             .groupBy("_i").agg(F.sum("_n").alias("_n")).where(F.col("_n") > F.lit(TASK_PAIRS))
+             .select("_i", F.ceil(F.col("_n") / F.lit(TASK_PAIRS)).cast("int").alias("_salts")))
+    other = F.filter("_right", lambda x: x["_i"] < F.col("_i") if orientation == "desc" else x["_i"] > F.col("_i"))
+    dealt = (lists.repartition(n, "_u", "_a", "_b").select("_u", "_right", F.inline("_left"))
+             .join(F.broadcast(salts), "_i", "left")
+             .select(F.col("_i").alias("item_1"), F.col("_r").alias("rating_1"), other.alias("_other"),
+                     F.pmod(F.xxhash64("_u"), F.coalesce("_salts", F.lit(1))).cast("int").alias("_salt"))
+             .repartition(n, "item_1", "_salt"))
+    pairs = dealt.select("item_1", "_salt", "rating_1", F.inline("_other")).withColumnsRenamed({"_i": "item_2", "_r": "rating_2"})
+    sums = _pair_sums(pairs, "item_1", "_salt", "item_2")
+    return (sums.repartition(n, "item_1", "item_2").groupBy("item_1", "item_2")
+            .agg(*[F.sum(c).alias(c) for c in ("numerator", "sum_xx", "sum_yy", "num_pairs", "num_rows")]))
+
+
 def _scored(sums: DataFrame, zero_denominator: str, with_sums: bool = False) -> DataFrame:
     out = sums.withColumn("score", cosine("numerator", "sum_xx", "sum_yy", zero_denominator))
     cols = ["item_1", "item_2", "score", "num_pairs"] + (["numerator", "sum_xx", "sum_yy"] if with_sums else [])
@@ -106,13 +160,16 @@ def all_pairs_similarity(ratings: DataFrame, user: str = "user_id", item: str =
                          min_support: int | None = None, unique: bool = False) -> DataFrame:
     """Similarity of every co-rated item pair: item_1, item_2, score, num_pairs; strict
     ``> min_score`` and ``> min_support`` where given. ``unique``: no user has rated an item twice, so that
-    a pair's support is the number of their common raters; ``min_support`` then goes by ``pairs_above_support``."""
+    a pair's support is the number of their common raters; ``min_support`` then goes by ``pairs_above_support``.
+    ``partitions``: tasks that copy lists and that add up, instead of the number that follows from the pair rows. The ratings
+    and the lists are written once, in the shared folder, until the driver ends."""
     if unique and min_support is not None and min_support > 0:
         sims = pairs_above_support(ratings, min_support, user, item, rating, orientation, zero_denominator,
                                    split_rows, partitions)
     else:
-        sims = pair_similarity(rating_pairs(ratings, user, item, rating, orientation, split_rows, partitions),
-                               zero_denominator)
+        scratch = Scratch(ratings.sparkSession, "kiln-pairs")
+        stored = scratch.write(_known(ratings, user, item, rating))
+        sims = _scored(_co_rated_sums(scratch, stored, orientation, split_rows, partitions), zero_denominator)
         if min_support is not None:
             sims = sims.where(F.col("num_pairs") > F.lit(min_support))
     return sims if min_score is None else sims.where(F.col("score") > F.lit(min_score))
@@ -166,8 +223,8 @@ def _prefix_filtered(scratch: Scratch, stored: DataFrame, min_support: int, h: i
                      zero_denominator: str, split_rows: int | None, partitions: int | None = None) -> DataFrame:
     lists = scratch.write(_rater_lists(stored, min_support, h))
     front = lists.where(F.col("_key") < F.col("_cut"))
-    pairs = rating_pairs(front, "_u", "_i", "_r", orientation, split_rows, partitions)
-    candidates = scratch.write(_pair_sums(pairs).where(F.col("num_rows") > F.lit(min_support - h)))
+    sums = _co_rated_sums(scratch, front.select("_u", "_i", "_r"), orientation, split_rows, partitions)
+    candidates = scratch.write(sums.where(F.col("num_rows") > F.lit(min_support - h)))
     # Behind the cuts: the item cut first (its later raters are those held back) against the other one.
     back = lists.where(F.col("_key") >= F.col("_cut"))
     cuts = back.where(F.col("_key") == F.col("_cut")).select("_i", "_cut")
@@ -215,8 +272,8 @@ def top_pairs_by_support(ratings: DataFrame, k: int, user: str = "user_id", item
     if floor > 1 and held_back * size["items"] >= HELD_BACK_SHARE * size["rows"]:
         sims = _prefix_filtered(scratch, stored, floor - 1, held_back, orientation, zero_denominator, split_rows)
     else:
-        rest = stored.join(often.select("_i"), "_i", "left_semi")
-        sims = pair_similarity(rating_pairs(rest, "_u", "_i", "_r", orientation, split_rows), zero_denominator)
+        rest = scratch.write(stored.join(often.select("_i"), "_i", "left_semi"))
+        sims = _scored(_co_rated_sums(scratch, rest, orientation, split_rows), zero_denominator)
     return top_k(sims, k, ["-num_pairs"], ["item_1", "item_2"])
 
 

@@ -93,6 +93,46 @@ def test_hot_user_grid_split_large(spark):
     assert {(a, b): n for a, b, _, n in split} == {k: v[1] for k, v in want.items()}
 
 
+@pytest.mark.parametrize("orientation", ["asc", "desc"])
+def test_pairs_are_added_up_in_tasks_of_bounded_size(spark, monkeypatch, orientation):
+    """As many tasks as the pair rows ask for, whatever the shuffle setting; an item above the bound is dealt to several."""
+    monkeypatch.setattr(similarity, "TASK_PAIRS", 40)
+    rng = random.Random(3)
+    data = [(u, 0, u % 5) for u in range(60)] + [(u, rng.randint(1, 30), rng.randint(0, 4)) for u in range(60) for _ in range(6)]
+    data += [(60, i, 3) for i in range(31)] + [(None, 1, 2), (1, None, 2), (2, 9, None)]  # repeats and nulls too
+    df = spark.createDataFrame(data, "user_id INT, item_id INT, rating INT").repartition(3)
+    got = all_pairs_similarity(df, orientation=orientation, split_rows=7)
+    made = rating_pairs(df).count()
+    assert got.rdd.getNumPartitions() >= made // 40 > 8
+    want = similarity.pair_similarity(rating_pairs(df, orientation=orientation), "zero")
+    assert rows(got) == rows(want)
+
+
+def test_no_pair_row_is_shuffled(spark):
+    """Many pair rows of few pairs: the records that reach an exchange are lists and sums, fewer than the pair rows."""
+    df = spark.createDataFrame([(u, i, 1) for u in range(40) for i in range(25)], "user_id INT, item_id INT, rating INT")
+    out = all_pairs_similarity(df)
+    assert out.count() == 300
+    assert _exchanged_rows(out) < rating_pairs(df).count() / 3
+
+
+def _exchanged_rows(df):
+    """Rows written by the exchanges of a plan that has run."""
+    df.collect()
+    found, left = 0, [df._jdf.queryExecution().executedPlan()]
+    while left:
+        node = left.pop()
+        if "AdaptiveSparkPlan" in node.nodeName():
+            left.append(node.executedPlan())
+        elif "QueryStage" in node.nodeName():
+            left.append(node.plan())
+        if node.nodeName() == "Exchange":
+            found += node.metrics().apply("shuffleRecordsWritten").value()
+        children = node.children()
+        left += [children.apply(k) for k in range(children.size())]
+    return found
+
+
 def _random_ratings(seed, users=60, items=14):
     """A user of every item, users of a few, two items rated alike and one rated once."""
     rng = random.Random(seed)
