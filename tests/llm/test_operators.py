@@ -2,6 +2,7 @@
 long texts, ties and repeated rows, empty tables, extra columns with clashing names."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -632,3 +633,36 @@ def test_quality_ranking(spark, awkward):
     odd = spark.createDataFrame([(0, 1), (0, 1), (1, 0), (2, None), (None, 1), (3, 5), (4, 0)], "doc_id long, quality int")
     assert {0 <= r.score <= 1 for r in quality_ranking.scores(awkward, odd).collect()} == {True}
     assert quality_ranking.scores(empty(spark), odd).count() == 0
+
+
+def test_quality_ranking_learns_from_every_pair(spark, monkeypatch):
+    """The weights are those of all good x bad pairs, by plain Newton steps; the threshold is that of all rows."""
+    rnd = np.random.default_rng(4)
+    x = rnd.normal(size=(300, len(quality_ranking.FEATURES)))
+    x[:, -1] = 0  # a figure that never differs
+    label = (x[:, 0] + 0.7 * x[:, 1] + rnd.normal(size=300) > 0.5).astype(int)
+    train = spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(label, x)], "label int, x array<double>").repartition(5)
+    monkeypatch.setattr(quality_ranking, "BIN", 0.02)
+    monkeypatch.setattr(quality_ranking, "BINS", 1000)
+    mean, w = quality_ranking.fit(train)
+    scale = x.std(0)
+    scale[-1] = 1
+    z = (x - x.mean(0)) / scale
+    d = (z[label == 1][:, None] - z[label == 0][None]).reshape(-1, x.shape[1])
+    want = np.zeros(x.shape[1])
+    for _ in range(12):
+        p = 1 / (1 + np.exp(d @ want))
+        want -= np.linalg.solve((d * (p * (1 - p))[:, None]).T @ d / len(d) + quality_ranking.L2 * np.eye(len(want)),
+                                quality_ranking.L2 * want - p @ d / len(d))
+    assert np.allclose(mean, x.mean(0)) and np.allclose(w * scale, want, atol=2e-3)
+
+
+def test_quality_threshold_is_an_exact_rank(spark, monkeypatch):
+    rnd = random.Random(6)
+    values = [rnd.choice([rnd.gauss(0, 1), 2.0, 1e6 * rnd.random(), -3.0]) for _ in range(400)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    monkeypatch.setattr(quality_ranking, "PARTS", 8)
+    for rank in (0, 57, 399):
+        assert quality_ranking.rank_value(df, rank) == sorted(values)[rank]
+    close = spark.createDataFrame([(1.0,), (1.0,), (float(np.nextafter(1.0, 2)),)], "v double")
+    assert [quality_ranking.rank_value(close, k) for k in (1, 2)] == [1.0, float(np.nextafter(1.0, 2))]
