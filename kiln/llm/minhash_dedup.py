@@ -14,9 +14,9 @@
    two more hubs, the first and the last class by hash, for pairs not in one component yet.
 4. What a star cannot see are links between two classes of one list that are no hubs of it.
    Where these are still in several components, they are compared in full, in blocks of
-   BLOCK classes, pairs of different components only: the estimate first, then the full
-   sets, within the list with the smallest key that the pair shares. Only confirmed links
-   leave a task. Every pair of one list is thus in one component or has been compared.
+   BLOCK classes, pairs of different components only (blocks of a list's largest component do not
+   meet each other): the estimate first, then the full sets, within the list with the smallest key
+   that the pair shares. Only confirmed links leave a task. Every pair of one list is thus in one component or has been compared.
 5. Components are merged along the new links after each step (nothing is computed where a step
    finds none), and every row gets the component of its class.
 
@@ -351,18 +351,29 @@ def _pairs(key: int, i: int, j: int, rows: list[tuple], sketches: list[np.ndarra
                 yield strip[x], second[y]
 
 
+def _placed(member: DataFrame) -> DataFrame:
+    """(key, i, j, at, c, component): the groups in which the members (key, c, component) of lists of several components
+    meet. A list of up to BLOCK members is one group (0, 0). A longer one is cut into blocks, by hash: first those of the
+    members outside its largest component, then those of that component. Two blocks meet in one group, but for two
+    of the largest component, whose pairs have their answer. So one large component is not copied for every block of its
+    own, however long the list."""
+    counts = member.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    mixed = (counts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("most"), F.sum("n").alias("m"))
+             .where("m > most.n").select("key", "m", F.col("most.component").alias("big"),
+                                         F.when(F.col("m") > BLOCK, F.col("most.n")).otherwise(0).alias("n_big")))
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    rows = (member.join(mixed, "key").withColumn("is_big", (F.col("component") == F.col("big")) & (F.col("n_big") > 0))
+            .withColumn("small", blocks(F.col("m") - F.col("n_big"))).withColumn("large", blocks(F.col("n_big"))))
+    at = F.pmod(F.xxhash64("c", "key"), F.when(F.col("is_big"), F.col("large")).otherwise(F.col("small"))).cast("int")
+    return (rows.withColumn("at", at + F.when(F.col("is_big"), F.col("small")).otherwise(0))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("small") + F.when(F.col("is_big"), 0).otherwise(F.col("large")) - 1)))
+            .select("key", F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j"), "at", "c", "component"))
+
+
 def _residual(lists: DataFrame, label: DataFrame, texts: DataFrame) -> DataFrame:
     """Links between classes of different components that share a list."""
-    member = lists.join(label, F.col("c") == F.col("v"), "left").select(
-        "key", "c", F.coalesce("component", "c").alias("component"))
-    mixed = member.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                      F.count(F.lit(1)).alias("m")).where("lo < hi").select("key", "m")
-    # A class is in one block of its list, drawn by hash; two blocks meet in one group (key, i, j).
-    at = F.pmod(F.xxhash64("c", "key"), F.col("blocks")).cast("int")
-    spread = (member.join(mixed, "key").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
-              .withColumn("at", at).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .select("key", F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j"), "at", "c",
-                      "component"))
+    spread = _placed(lists.join(label, F.col("c") == F.col("v"), "left").select(
+        "key", "c", F.coalesce("component", "c").alias("component")))
 
     def wanted(batches):
         """The classes of each group that have a pair to confirm in full."""
@@ -396,8 +407,10 @@ def _residual(lists: DataFrame, label: DataFrame, texts: DataFrame) -> DataFrame
                                                   pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
 
     kinds = "key long, i int, j int, at int, c long, component long"
-    grouped = lambda df, last: (df.join(texts.select("c", "n", last), "c")
-                                .select("key", "i", "j", "at", "c", "component", "n", last)
+    # A class meets its sketch or text once and takes it to all of its groups then.
+    grouped = lambda df, last: (df.groupBy("c", "component").agg(F.collect_list(F.struct("key", "i", "j", "at")).alias("places"))
+                                .join(texts.select("c", "n", last), "c")
+                                .select(F.inline("places"), "c", "component", "n", last)
                                 .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"))
     need = written(grouped(spread, "sketch").mapInArrow(wanted, kinds))
     return grouped(need, "blob").mapInArrow(confirm, "a long, b long")

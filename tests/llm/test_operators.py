@@ -407,6 +407,26 @@ def test_near_duplicates_of_small_sets_and_of_one_dense_group(spark):
     assert got == dedup_brute(rows)
 
 
+def test_a_long_list_copies_only_members_outside_its_largest_component(spark, monkeypatch):
+    """Every pair of different components meets once; the rows grow with the members outside the largest component."""
+    monkeypatch.setattr(minhash_dedup, "BLOCK", 10)
+    member = [(1, c, 5) for c in range(300)] + [(1, 1000 + c, c % 4) for c in range(14)]  # long, one large component
+    member += [(2, c, c % 3) for c in range(9)] + [(3, c, 7) for c in range(40)]  # short; of one component
+    placed = minhash_dedup._placed(spark.createDataFrame(member, "key long, c long, component long")).collect()
+    of = {(key, c): component for key, c, component in member}
+    groups, met = {}, Counter()
+    for r in placed:
+        assert of[r.key, r.c] == r.component and r.at in (r.i, r.j)
+        groups.setdefault((r.key, r.i, r.j), []).append(r)
+    for (key, i, j), rows in groups.items():
+        for x, y in itertools.combinations(rows, 2):
+            if x.component != y.component and (i == j or x.at != y.at):
+                met[key, min(x.c, y.c), max(x.c, y.c)] += 1
+    want = {(key, x, y) for key, x in of for k, y in of if k == key and x < y and of[key, x] != of[key, y]}
+    assert met.keys() == want and set(met.values()) == {1}
+    assert len(placed) == 300 * 2 + 14 * (2 + 30) + 9  # 31 blocks for each of 314 members and 9 before
+
+
 def test_components_merged_in_steps_equal_those_of_all_edges(spark):
     edges = lambda pairs: minhash_dedup.written(spark.createDataFrame(pairs, "a long, b long"))
     first, then = [(1, 2), (2, 3), (3, 4), (7, 9), (8, 9), (20, 21)], [(4, 9), (30, 31), (31, 21), (1, 4), (40, 41)]
