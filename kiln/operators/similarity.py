@@ -15,8 +15,8 @@ Two shapes:
   however large the user, and every pair is produced exactly once. The plan is the
   same whether there is such a user or not.
 * ``all_pairs_similarity``: the sums over that table, by ``_co_rated_sums``. No pair row is shuffled:
-  the lists of a user's items go to the tasks of each of their items, which pair and add up at once, and
-  the number of tasks follows the number of pair rows.
+  the lists of a user's items go, as codes of a few bytes, to the tasks of each of their items, which pair and add up
+  at once, and the number of tasks follows the number of pair rows. Nor are the sums, but those of items dealt to several tasks.
 * ``pairs_above_support`` (a support threshold): an exact prefix filter over the items' rater
   lists, see there. ``top_pairs_by_support`` takes its threshold from the most rated items.
 """
@@ -25,11 +25,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, IntegralType
+from pyspark.sql.types import ArrayType, DecimalType, IntegralType
 
 from kiln.functions.numeric import cosine
+from kiln.operators.dimension import DEFAULT_MAX_BROADCAST_ROWS
 from kiln.operators.topk import top_k
 from kiln.scratch import Scratch
 
@@ -39,6 +40,8 @@ DEFAULT_SPLIT_ROWS = 5_000
 CELL_ROWS = 1_000
 # Pair rows that a task of ``_co_rated_sums`` makes: a bound on its memory, whatever the size of the table.
 TASK_PAIRS = 2_000_000
+# Tasks that add up for each task that copies lists: copies are a few bytes a pair row, sums a hundred a pair.
+COPIED_TASKS = 8
 # Share of the rating rows that a prefix filter must hold back to be worth its passes.
 HELD_BACK_SHARE = 0.1
 
@@ -93,53 +96,129 @@ def _pair_sums(pairs: DataFrame, *keys: str) -> DataFrame:
         F.sum(r2 * r2).alias("sum_yy"), F.count(r1 * r2).alias("num_pairs"), F.count(F.lit(1)).alias("num_rows"))
 
 
-def _item_lists(r: DataFrame, split_rows: int | None) -> DataFrame:
-    """(_u, _a, _b, _left, _right): the rows of slice a of a user and those of slice b as lists of (_i, _r), for all a and
-    b; of a user with one slice, all rows twice. Slices as in ``rating_pairs``."""
+class _Codes:
+    """How the lists of ``_co_rated_sums`` hold a row's (_i, _r): the column ``code`` of it and the columns ``item`` and
+    ``rating`` of a code.
+
+    Integers are one number, the item's distance from the least item and behind it that of the rating from the least
+    rating (0: NULL), as wide as the table's least and greatest values ask for; anything else is a struct. Codes sort by item."""
+
+    def __init__(self, r: DataFrame):
+        self.types = [r.schema[c].dataType for c in ("_i", "_r")]
+        self.code, self.dtype = F.struct("_i", "_r"), None
+        if not all(isinstance(t, IntegralType) for t in self.types):
+            return
+        ends = r.agg(F.min("_i"), F.max("_i"), F.min("_r"), F.max("_r")).first()
+        self.item_0, item_n, self.rating_0, rating_n = (v or 0 for v in ends)
+        self.bits = (rating_n - self.rating_0 + 1).bit_length()
+        width = (item_n - self.item_0).bit_length() + self.bits
+        self.dtype = next((t for t, most in (("smallint", 15), ("int", 31), ("bigint", 63)) if width <= most), None)
+        if self.dtype:
+            item = F.col("_i").cast("bigint") - F.lit(self.item_0)
+            rating = F.col("_r").cast("bigint") - F.lit(self.rating_0) + F.lit(1)
+            self.code = F.shiftleft(item, self.bits).bitwiseOR(F.coalesce(rating, F.lit(0).cast("bigint"))).cast(self.dtype)
+
+    def item(self, code: Column) -> Column:
+        if not self.dtype:
+            return code["_i"]
+        return (F.shiftright(code.cast("bigint"), self.bits) + F.lit(self.item_0)).cast(self.types[0])
+
+    def rating(self, code: Column) -> Column:
+        if not self.dtype:
+            return code["_r"]
+        held = code.cast("bigint").bitwiseAND(F.lit((1 << self.bits) - 1))
+        return F.when(held > F.lit(0), held - F.lit(1) + F.lit(self.rating_0)).cast(self.types[1])
+
+
+def _hinted(frame: DataFrame, rows: int) -> DataFrame:
+    """For a join: ``frame`` of ``rows`` rows, broadcast if these are few, so that the other side stays where it is."""
+    return F.broadcast(frame) if rows <= DEFAULT_MAX_BROADCAST_ROWS else frame
+
+
+def _item_lists(scratch: Scratch, r: DataFrame, codes: _Codes, orientation: str, split_rows: int | None) -> DataFrame:
+    """(_u, _a, _b, _left, _right): the sorted codes of slice a of a user and, where b is another slice, those of slice b, for
+    all a and b; most users have one slice. Slices as in ``rating_pairs``."""
+    r = r.select("_u", "_i", codes.code.alias("_c"))
+    listed = F.sort_array(F.collect_list("_c"), orientation != "desc").alias("_left")
+    users = 0
     if split_rows:
         size = min(split_rows, CELL_ROWS)
         hot = (r.groupBy("_u").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(size))
                .select("_u", F.ceil(F.col("_n") / F.lit(size)).cast("int").alias("_slices")))
-        r = r.join(hot, "_u", "left").withColumn("_slices", F.coalesce("_slices", F.lit(1)))
-    else:
-        r = r.withColumn("_slices", F.lit(1))
+        hot = scratch.write(hot, users=F.count(F.lit(1)))
+        users = scratch.values["users"]
+    single = r.join(_hinted(hot, users), "_u", "left_anti") if users else r
+    lists = (single.select("_u", "_c").repartition("_u").groupBy("_u").agg(listed)
+             .select("_u", F.lit(0).alias("_a"), F.lit(0).alias("_b"), "_left", F.lit(None).cast(ArrayType(r.schema["_c"].dataType)).alias("_right")))
+    if not users:
+        return lists
     k, n, own = F.col("_k"), F.col("_slices"), F.col("_own")
-    # A row is in the n cells (own, b) on the left and in the n cells (a, own) on the right; (own, own) is one cell.
-    tagged = (r.withColumn("_own", F.pmod(F.xxhash64("_i"), n).cast("int"))
+    # A row is in the n cells (own, b) on the left and in the n - 1 other cells (a, own) on the right.
+    tagged = (r.join(_hinted(hot, users), "_u").withColumn("_own", F.pmod(F.xxhash64("_i"), n).cast("int"))
               .withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(2) * n - F.lit(2)))))
     other = F.when(k - n < own, k - n).otherwise(k - n + F.lit(1))
     cells = tagged.select("_u", F.when(k < n, own).otherwise(other).alias("_a"), F.when(k < n, k).otherwise(own).alias("_b"),
-                          F.struct("_i", "_r").alias("_row"), (k < n).alias("_is_left"), ((k >= n) | (k == own)).alias("_is_right"))
-    return (cells.repartition("_u", "_a", "_b").groupBy("_u", "_a", "_b")
-            .agg(F.collect_list(F.when(F.col("_is_left"), F.col("_row"))).alias("_left"),
-                 F.collect_list(F.when(F.col("_is_right"), F.col("_row"))).alias("_right"))
-            .where((F.size("_left") > 0) & (F.size("_right") > 0)))
+                          F.when(k < n, F.col("_c")).alias("_l"), F.when(k >= n, F.col("_c")).alias("_r"))
+    cells = (cells.repartition("_u", "_a", "_b").groupBy("_u", "_a", "_b")
+             .agg(F.sort_array(F.collect_list("_l"), orientation != "desc").alias("_left"), F.collect_list("_r").alias("_right"))
+             .withColumn("_right", F.when(F.col("_a") != F.col("_b"), F.col("_right")))
+             .where((F.size("_left") > 0) & (F.col("_right").isNull() | (F.size("_right") > 0))))
+    return lists.unionByName(cells)
+
+
+def _copies(lists: DataFrame, codes: _Codes, orientation: str, cells: bool) -> DataFrame:
+    """(item_1, rating_1, _u, _other): each code of a left list with the codes of the other side behind its item."""
+    start = [codes.item(F.col("_c")).alias("item_1"), codes.rating(F.col("_c")).alias("rating_1"), "_u"]
+    # A sorted list against itself: what follows, which may begin with the same item again.
+    out = (lists.where(F.col("_right").isNull()).select("_u", "_left", F.posexplode("_left").alias("_at", "_c"))
+           .where(F.col("_at") < F.size("_left") - F.lit(1))
+           .select(*start, F.slice("_left", F.col("_at") + F.lit(2), F.size("_left")).alias("_other")))
+    if not cells:
+        return out
+    behind = F.filter("_right", lambda x: codes.item(x) < codes.item(F.col("_c")) if orientation == "desc"
+                      else codes.item(x) > codes.item(F.col("_c")))
+    return out.unionByName(lists.where(F.col("_right").isNotNull()).select("_u", "_right", F.explode("_left").alias("_c"))
+                           .select(*start, behind.alias("_other")).where(F.size("_other") > 0))
 
 
 def _co_rated_sums(scratch: Scratch, r: DataFrame, orientation: str, split_rows: int | None,
                    partitions: int | None = None) -> DataFrame:
     """``_pair_sums(rating_pairs(r))`` of stored rows (_u, _i, _r) without nulls in _u and _i, by item.
 
-    Every item is sent, once for each of its raters, the list of the rater's items on the other side; the tasks of
-    an item write out the pairs and add them up. So what is shuffled are lists, a few bytes a pair, and sums. There are as
-    many tasks as TASK_PAIRS asks for (or ``partitions``), on the side that copies the lists as well as on the side that adds up;
-    an item of more pair rows than that is dealt to several tasks by rater, and their sums are added."""
-    lists = scratch.write(_item_lists(r, split_rows), pair_rows=F.sum(F.size("_left").cast("bigint") * F.size("_right")))
-    made = (scratch.values["pair_rows"] or 0) // 2
-    n = partitions or max(r.sparkSession.sparkContext.defaultParallelism, -(-made // TASK_PAIRS))
-    salts = (lists.select(F.size("_right").alias("_n"), F.explode("_left._i").alias("_i"))
-             .groupBy("_i").agg(F.sum("_n").alias("_n")).where(F.col("_n") > F.lit(TASK_PAIRS))
-             .select("_i", F.ceil(F.col("_n") / F.lit(TASK_PAIRS)).cast("int").alias("_salts")))
-    other = F.filter("_right", lambda x: x["_i"] < F.col("_i") if orientation == "desc" else x["_i"] > F.col("_i"))
-    dealt = (lists.repartition(n, "_u", "_a", "_b").select("_u", "_right", F.inline("_left"))
-             .join(F.broadcast(salts), "_i", "left")
-             .select(F.col("_i").alias("item_1"), F.col("_r").alias("rating_1"), other.alias("_other"),
-                     F.pmod(F.xxhash64("_u"), F.coalesce("_salts", F.lit(1))).cast("int").alias("_salt"))
-             .repartition(n, "item_1", "_salt"))
-    pairs = dealt.select("item_1", "_salt", "rating_1", F.inline("_other")).withColumnsRenamed({"_i": "item_2", "_r": "rating_2"})
-    sums = _pair_sums(pairs, "item_1", "_salt", "item_2")
-    return (sums.repartition(n, "item_1", "item_2").groupBy("item_1", "item_2")
-            .agg(*[F.sum(c).alias(c) for c in ("numerator", "sum_xx", "sum_yy", "num_pairs", "num_rows")]))
+    Every item is sent, once for each of its raters, the list of the rater's items on the other side, as codes of a few
+    bytes; the tasks of an item write out the pairs and add them up. There are as many tasks as TASK_PAIRS asks for (or
+    ``partitions``) and an eighth as many that copy the lists. An item's sums are whole in its task and are not shuffled;
+    an item of more than TASK_PAIRS pair rows is dealt to several tasks by rater, and only its sums are added up again."""
+    codes = _Codes(r)
+    n_left = F.size("_left").cast("bigint")
+    rows = F.when(F.col("_right").isNull(), n_left * (n_left - F.lit(1))).otherwise(n_left * F.size("_right"))
+    lists = scratch.write(_item_lists(scratch, r, codes, orientation, split_rows), pair_rows=F.sum(rows), cells=F.count("_right"))
+    made, cells = (scratch.values["pair_rows"] or 0) // 2, scratch.values["cells"] > 0
+    cores = r.sparkSession.sparkContext.defaultParallelism
+    tasks = lambda rows, each=TASK_PAIRS: partitions or max(cores, -(-rows // each))
+    copies = _copies(lists.repartition(tasks(made, COPIED_TASKS * TASK_PAIRS), "_u", "_a", "_b"), codes, orientation, cells)
+    # Copied from the lists as they lie: counted only.
+    salts = (_copies(lists, codes, orientation, cells).groupBy("item_1").agg(F.sum(F.size("_other")).alias("_n"))
+             .where(F.col("_n") > F.lit(TASK_PAIRS))
+             .select(F.col("item_1"), F.col("_n"), F.ceil(F.col("_n") / F.lit(TASK_PAIRS)).cast("int").alias("_salts")))
+    salts = scratch.write(salts, items=F.count(F.lit(1)), pair_rows=F.sum("_n"))
+    items, often = scratch.values["items"], scratch.values["pair_rows"] or 0
+
+    def added_up(dealt: DataFrame, *keys: str) -> DataFrame:
+        pairs = dealt.select("item_1", *keys, "rating_1", F.explode("_other").alias("_c")).select(
+            "item_1", *keys, "rating_1", codes.item(F.col("_c")).alias("item_2"), codes.rating(F.col("_c")).alias("rating_2"))
+        return _pair_sums(pairs.where(F.col("item_1") != F.col("item_2")), "item_1", *keys, "item_2")
+
+    whole = copies.join(_hinted(salts.select("item_1"), items), "item_1", "left_anti") if items else copies
+    sums = added_up(whole.select("item_1", "rating_1", "_other").repartition(tasks(made - often), "item_1"))
+    if not items:
+        return sums
+    n = tasks(often)
+    parts = (copies.join(_hinted(salts.select("item_1", "_salts"), items), "item_1")
+             .select("item_1", "rating_1", "_other", F.pmod(F.xxhash64("_u"), F.col("_salts")).cast("int").alias("_salt")))
+    parts = (added_up(parts.repartition(n, "item_1", "_salt"), "_salt").repartition(n, "item_1", "item_2").groupBy("item_1", "item_2")
+             .agg(*[F.sum(c).alias(c) for c in ("numerator", "sum_xx", "sum_yy", "num_pairs", "num_rows")]))
+    return sums.unionByName(parts)
 
 
 def _scored(sums: DataFrame, zero_denominator: str, with_sums: bool = False) -> DataFrame:

@@ -116,6 +116,33 @@ def test_no_pair_row_is_shuffled(spark):
     assert _exchanged_rows(out) < rating_pairs(df).count() / 3
 
 
+def test_sums_of_a_pair_are_not_shuffled(spark):
+    """Nearly every pair has one rater: as many sums as pair rows, and fewer records reach an exchange than half of them."""
+    rng = random.Random(11)
+    data = [(u, i, 1 + u % 5) for u in range(60) for i in rng.sample(range(2000), 15)]
+    out = all_pairs_similarity(spark.createDataFrame(data, "user_id INT, item_id INT, rating INT"))
+    assert out.count() > 6000
+    assert _exchanged_rows(out) < 3000
+
+
+@pytest.mark.parametrize("orientation", ["asc", "desc"])
+@pytest.mark.parametrize("kind,item,rating", [
+    ("smallint", lambda i: i - 5, lambda r: r - 2), ("int", lambda i: i * 90_001 - 7, lambda r: 90 * r), ("bigint", lambda i: i << 40, lambda r: r - 4),
+    (None, lambda i: (i - 8) << 59, lambda r: r << 2), (None, lambda i: f"i{i}", lambda r: r), (None, lambda i: i, lambda r: r / 4)])
+def test_lists_hold_any_item_and_rating(spark, kind, item, rating, orientation):
+    """Codes of every width, and structs: users of one and of several slices, repeats, NULL ratings, hot items."""
+    rng = random.Random(2)
+    data = [(u, item(rng.randint(0, 15)), None if rng.random() < 0.1 else rating(rng.randint(0, 5))) for u in range(30) for _ in range(rng.randint(1, 12))]
+    types = {str: "STRING", int: "BIGINT", float: "DOUBLE"}
+    df = spark.createDataFrame(data, f"user_id INT, item_id {types[type(item(1))]}, rating {types[type(rating(1))]}")
+    assert similarity._Codes(similarity._known(df, "user_id", "item_id", "rating")).dtype == kind
+    want = rows(similarity.pair_similarity(rating_pairs(df, orientation=orientation), "zero"))
+    got = rows(all_pairs_similarity(df, orientation=orientation, split_rows=6))
+    assert [(a, b, n) for a, b, _, n in got] == [(a, b, n) for a, b, _, n in want]
+    for g, w in zip(got, want):
+        assert g[2] == w[2] or math.isclose(g[2], w[2], rel_tol=1e-12)
+
+
 def _exchanged_rows(df):
     """Rows written by the exchanges of a plan that has run."""
     df.collect()
