@@ -339,19 +339,23 @@ def top_pairs_by_support(ratings: DataFrame, k: int, user: str = "user_id", item
     scratch = Scratch(ratings.sparkSession, "kiln-pairs")
     stored = scratch.write(_known(ratings, user, item, rating))
     seeds = 2 * math.isqrt(2 * k) + 2  # four times as many pairs as wanted, and more
-    most = top_k(stored.groupBy("_i").agg(F.count("_r").alias("_n")), seeds, ["-_n"], ["_i"]).select("_i")
+    counts = scratch.write(stored.groupBy("_i").agg(F.count("_r").alias("_n"), F.count(F.lit(1)).alias("_rows")), rows=F.sum("_rows"))
+    rows = scratch.values["rows"] or 0
+    most = top_k(counts, seeds, ["-_n"], ["_i"]).select("_i")
     pairs = rating_pairs(stored.join(F.broadcast(most), "_i", "left_semi"), "_u", "_i", "_r", orientation, split_rows)
     best = top_k(_pair_sums(pairs), k, ["-num_pairs"]).agg(F.count(F.lit(1)).alias("n"), F.min("num_pairs").alias("least")).first()
     floor = best["least"] if best["n"] == k else 0
     # Only items of that many raters can be in such a pair.
-    often = stored.groupBy("_i").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= F.lit(floor))
-    size = often.agg(F.count(F.lit(1)).alias("items"), F.coalesce(F.sum("_n"), F.lit(0)).alias("rows")).first()
+    often = counts.where(F.col("_rows") >= F.lit(floor))
+    size = often.agg(F.count(F.lit(1)).alias("items"), F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows")).first()
     # A quarter held back: few pairs of less support have three quarters of it before the cuts.
     held_back = max(1, (floor - 1) // 4)
     if floor > 1 and held_back * size["items"] >= HELD_BACK_SHARE * size["rows"]:
         sims = _prefix_filtered(scratch, stored, floor - 1, held_back, orientation, zero_denominator, split_rows)
     else:
-        rest = scratch.write(stored.join(often.select("_i"), "_i", "left_semi"))
+        rest = stored
+        if size["rows"] < rows:
+            rest = scratch.write(stored.join(_hinted(often.select("_i"), size["items"]), "_i", "left_semi"))
         sims = _scored(_co_rated_sums(scratch, rest, orientation, split_rows), zero_denominator)
     return top_k(sims, k, ["-num_pairs"], ["item_1", "item_2"])
 

@@ -143,6 +143,24 @@ def test_lists_hold_any_item_and_rating(spark, kind, item, rating, orientation):
         assert g[2] == w[2] or math.isclose(g[2], w[2], rel_tol=1e-12)
 
 
+@pytest.fixture
+def shuffled(monkeypatch):
+    """Records that reach an exchange on the way to each table written, in a list."""
+    found, write = [], similarity.Scratch.write
+    monkeypatch.setattr(similarity.Scratch, "write", lambda self, df, *a, **k: (found.append(_exchanged_rows(df)), write(self, df, *a, **k))[1])
+    return found
+
+
+def test_top_pairs_shuffle_rows_a_few_times_and_no_sums(spark, shuffled):
+    rng = random.Random(9)
+    data = [(u, i, 1 + u % 5) for u in range(100) for i in rng.sample(range(1000), 20)]
+    df = spark.createDataFrame(data, "user_id INT, item_id INT, rating INT")
+    out = top_pairs_by_support(df, 5, unique=True)
+    every = sorted(rows(similarity.pair_similarity(rating_pairs(df, orientation="asc"))), key=lambda t: (-t[3], t[0], t[1]))
+    assert len(every) > 15_000 and [tuple(r) for r in out.collect()] == every[:5]
+    assert sum(shuffled) + _exchanged_rows(out) < 7 * len(data)
+
+
 def _exchanged_rows(df):
     """Rows written by the exchanges of a plan that has run."""
     df.collect()
