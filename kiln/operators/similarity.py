@@ -256,16 +256,23 @@ def all_pairs_similarity(ratings: DataFrame, user: str = "user_id", item: str =
 
 def _rater_lists(r: DataFrame, min_support: int, held_back: int) -> DataFrame:
     """The rows (_u, _i, _r, _key, _cut) of items with more than ``min_support`` raters. ``_key`` orders all raters alike,
-    those of few ratings first; ``_cut`` is the key of the first of an item's last ``held_back`` raters."""
-    often = r.groupBy("_i").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(min_support)).select("_i")
-    r = r.join(often, "_i", "left_semi")
+    those of few ratings first; ``_cut`` is the key of the first of an item's last ``held_back`` raters.
+
+    The tables of items, a row each, are written and sent to the rows where they are small; the rows go by user once."""
+    scratch = Scratch(r.sparkSession, "kiln-raters")
+    enough = F.col("_n") > F.lit(min_support)
+    counts = scratch.write(r.groupBy("_i").agg(F.count(F.lit(1)).alias("_n")),
+                           often=F.count(F.when(enough, True)), seldom=F.count(F.when(~enough, True)))
+    if scratch.values["seldom"]:
+        r = r.join(_hinted(counts.where(enough).select("_i"), scratch.values["often"]), "_i", "left_semi")
     degree = r.groupBy("_u").agg(F.count(F.lit(1)).alias("_d"))
-    r = r.join(degree, "_u").withColumn("_key", F.struct("_d", "_u"))
+    r = scratch.write(r.join(degree, "_u"))
     # Each task passes on the last raters of an item only, so an item of any size is spread over tasks.
     last = Window.partitionBy("_i").orderBy(F.col("_d").desc(), F.col("_u").desc())
-    cuts = (r.select("_i", "_d", "_u", "_key").withColumn("_k", F.row_number().over(last))
-            .where(F.col("_k") <= F.lit(held_back)).groupBy("_i").agg(F.min("_key").alias("_cut")))
-    return r.join(cuts, "_i").select("_u", "_i", "_r", "_key", "_cut")
+    cuts = (r.select("_i", "_d", "_u").withColumn("_k", F.row_number().over(last)).where(F.col("_k") <= F.lit(held_back))
+            .groupBy("_i").agg(F.min(F.struct("_d", "_u")).alias("_cut")))
+    cuts = scratch.write(cuts, items=F.count(F.lit(1)))
+    return r.join(_hinted(cuts, scratch.values["items"]), "_i").select("_u", "_i", "_r", F.struct("_d", "_u").alias("_key"), "_cut")
 
 
 def pairs_above_support(ratings: DataFrame, min_support: int, user: str = "user_id", item: str = "item_id",
@@ -300,13 +307,22 @@ def _known(ratings: DataFrame, user: str, item: str, rating: str) -> DataFrame:
 
 def _prefix_filtered(scratch: Scratch, stored: DataFrame, min_support: int, h: int, orientation: str,
                      zero_denominator: str, split_rows: int | None, partitions: int | None = None) -> DataFrame:
-    lists = scratch.write(_rater_lists(stored, min_support, h))
-    front = lists.where(F.col("_key") < F.col("_cut"))
-    sums = _co_rated_sums(scratch, front.select("_u", "_i", "_r"), orientation, split_rows, partitions)
-    candidates = scratch.write(sums.where(F.col("num_rows") > F.lit(min_support - h)))
+    # The key of a row is needed no more: whether it lies before its item's cut, and in the item's first row behind it the cut.
+    key, cut = F.col("_key"), F.col("_cut")
+    lists = scratch.write(_rater_lists(stored, min_support, h)
+                          .select("_u", "_i", "_r", (key < cut).alias("_front"), F.when(key == cut, cut).alias("_cut")))
+    sums = _co_rated_sums(scratch, lists.where("_front").select("_u", "_i", "_r"), orientation, split_rows, partitions)
+    candidates = scratch.write(sums.where(F.col("num_rows") > F.lit(min_support - h)), found=F.count(F.lit(1)))
+    if not scratch.values["found"]:
+        return _scored(candidates, zero_denominator)
+    # Looked up are rows of the candidates' items only.
+    items = candidates.select(F.explode(F.array("item_1", "item_2")).alias("_i")).distinct()
+    items = scratch.write(items, items=F.count(F.lit(1)))
+    few = scratch.values["items"]
+    lists = lists.join(_hinted(items, few), "_i", "left_semi")
     # Behind the cuts: the item cut first (its later raters are those held back) against the other one.
-    back = lists.where(F.col("_key") >= F.col("_cut"))
-    cuts = back.where(F.col("_key") == F.col("_cut")).select("_i", "_cut")
+    back = lists.where(~F.col("_front"))
+    cuts = _hinted(back.where(F.col("_cut").isNotNull()).select("_i", "_cut"), few)
     sides = (candidates.select("item_1", "item_2")
              .join(cuts.select(F.col("_i").alias("item_1"), F.col("_cut").alias("_cut_1")), "item_1")
              .join(cuts.select(F.col("_i").alias("item_2"), F.col("_cut").alias("_cut_2")), "item_2")

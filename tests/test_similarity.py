@@ -151,6 +151,20 @@ def shuffled(monkeypatch):
     return found
 
 
+def test_rows_of_a_support_threshold_are_shuffled_a_few_times(spark, shuffled):
+    """All rows and steps counted: the raters in order, the cuts, the lists, the pairs; most pairs have one rater."""
+    rng = random.Random(7)
+    data = [(u, i, 1 + u % 5) for u in range(100) for i in rng.sample(range(150), 20)]
+    df = spark.createDataFrame(data, "user_id INT, item_id INT, rating INT")
+    out = pairs_above_support(df, 6)
+    sums = defaultdict(int)
+    for u in range(100):
+        for pair in combinations(sorted(i for v, i, _ in data if v == u), 2):
+            sums[pair] += 1
+    assert {(a, b): n for a, b, _, n in rows(out)} == {k: n for k, n in sums.items() if n > 6}
+    assert sum(shuffled) + _exchanged_rows(out) < 5 * len(data)
+
+
 def test_top_pairs_shuffle_rows_a_few_times_and_no_sums(spark, shuffled):
     rng = random.Random(9)
     data = [(u, i, 1 + u % 5) for u in range(100) for i in rng.sample(range(1000), 20)]
