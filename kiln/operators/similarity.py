@@ -101,11 +101,13 @@ class _Codes:
     ``rating`` of a code.
 
     Integers are one number, the item's distance from the least item and behind it that of the rating from the least
-    rating (0: NULL), as wide as the table's least and greatest values ask for; anything else is a struct. Codes sort by item."""
+    rating (0: NULL), as wide as the table's least and greatest values ask for; anything else is a struct. Codes sort by item.
+    Numbers of 16 to 24 bits are sent as two arrays, of 16 and of 8 bits: ``names`` are the columns of a
+    list, made by ``sent`` and taken apart by ``received``."""
 
     def __init__(self, r: DataFrame):
         self.types = [r.schema[c].dataType for c in ("_i", "_r")]
-        self.code, self.dtype = F.struct("_i", "_r"), None
+        self.code, self.dtype, self.names = F.struct("_i", "_r"), None, ["_other"]
         if not all(isinstance(t, IntegralType) for t in self.types):
             return
         ends = r.agg(F.min("_i"), F.max("_i"), F.min("_r"), F.max("_r")).first()
@@ -113,11 +115,27 @@ class _Codes:
         self.bits = (rating_n - self.rating_0 + 1).bit_length()
         width = (item_n - self.item_0).bit_length() + self.bits
         self.dtype = next((t for t, most in (("smallint", 15), ("int", 31), ("bigint", 63)) if width <= most), None)
+        if self.dtype == "int" and width <= 24:
+            self.names = ["_low", "_high"]
         if self.dtype:
             item = F.col("_i").cast("bigint") - F.lit(self.item_0)
             rating = F.col("_r").cast("bigint") - F.lit(self.rating_0) + F.lit(1)
             self.code = F.shiftleft(item, self.bits).bitwiseOR(F.coalesce(rating, F.lit(0).cast("bigint"))).cast(self.dtype)
 
+    def sent(self, listed: Column) -> list[Column]:
+        if len(self.names) == 1:
+            return [listed.alias(*self.names)]
+        return [F.transform(listed, lambda x: (x.bitwiseAND(F.lit(0xFFFF)) - F.lit(0x8000)).cast("smallint")).alias("_low"),
+                F.transform(listed, lambda x: (F.shiftright(x, 16) - F.lit(0x80)).cast("tinyint")).alias("_high")]
+
+    def received(self, dealt: DataFrame, *keep: str) -> DataFrame:
+        """The columns ``keep`` and ``_c``, a row for each code of the list."""
+        if len(self.names) == 1:
+            return dealt.select(*keep, F.explode(*self.names).alias("_c"))
+        high, low = F.get("_high", F.col("_at")).cast("int") + F.lit(0x80), F.col("_lo").cast("int") + F.lit(0x8000)
+        return (dealt.select(*keep, "_high", F.posexplode("_low").alias("_at", "_lo"))
+                .select(*keep, F.shiftleft(high, 16).bitwiseOR(low).alias("_c")))
+
     def item(self, code: Column) -> Column:
         if not self.dtype:
             return code["_i"]
@@ -167,18 +185,19 @@ def _item_lists(scratch: Scratch, r: DataFrame, codes: _Codes, orientation: str,
 
 
 def _copies(lists: DataFrame, codes: _Codes, orientation: str, cells: bool) -> DataFrame:
-    """(item_1, rating_1, _u, _other): each code of a left list with the codes of the other side behind its item."""
+    """(item_1, rating_1, _u, and the list): each code of a left list with the codes of the other side behind its item."""
     start = [codes.item(F.col("_c")).alias("item_1"), codes.rating(F.col("_c")).alias("rating_1"), "_u"]
     # A sorted list against itself: what follows, which may begin with the same item again.
-    out = (lists.where(F.col("_right").isNull()).select("_u", "_left", F.posexplode("_left").alias("_at", "_c"))
+    out = (lists.where(F.col("_right").isNull()).select("_u", "_left", *codes.sent(F.col("_left")))
+           .select("_u", "_left", *codes.names, F.posexplode("_left").alias("_at", "_c"))
            .where(F.col("_at") < F.size("_left") - F.lit(1))
-           .select(*start, F.slice("_left", F.col("_at") + F.lit(2), F.size("_left")).alias("_other")))
+           .select(*start, *[F.slice(name, F.col("_at") + F.lit(2), F.size("_left")).alias(name) for name in codes.names]))
     if not cells:
         return out
     behind = F.filter("_right", lambda x: codes.item(x) < codes.item(F.col("_c")) if orientation == "desc"
                       else codes.item(x) > codes.item(F.col("_c")))
     return out.unionByName(lists.where(F.col("_right").isNotNull()).select("_u", "_right", F.explode("_left").alias("_c"))
-                           .select(*start, behind.alias("_other")).where(F.size("_other") > 0))
+                           .withColumn("_behind", behind).where(F.size("_behind") > 0).select(*start, *codes.sent(F.col("_behind"))))
 
 
 def _co_rated_sums(scratch: Scratch, r: DataFrame, orientation: str, split_rows: int | None,
@@ -198,24 +217,24 @@ def _co_rated_sums(scratch: Scratch, r: DataFrame, orientation: str, split_rows:
     tasks = lambda rows, each=TASK_PAIRS: partitions or max(cores, -(-rows // each))
     copies = _copies(lists.repartition(tasks(made, COPIED_TASKS * TASK_PAIRS), "_u", "_a", "_b"), codes, orientation, cells)
     # Copied from the lists as they lie: counted only.
-    salts = (_copies(lists, codes, orientation, cells).groupBy("item_1").agg(F.sum(F.size("_other")).alias("_n"))
+    salts = (_copies(lists, codes, orientation, cells).groupBy("item_1").agg(F.sum(F.size(codes.names[0])).alias("_n"))
              .where(F.col("_n") > F.lit(TASK_PAIRS))
              .select(F.col("item_1"), F.col("_n"), F.ceil(F.col("_n") / F.lit(TASK_PAIRS)).cast("int").alias("_salts")))
     salts = scratch.write(salts, items=F.count(F.lit(1)), pair_rows=F.sum("_n"))
     items, often = scratch.values["items"], scratch.values["pair_rows"] or 0
 
     def added_up(dealt: DataFrame, *keys: str) -> DataFrame:
-        pairs = dealt.select("item_1", *keys, "rating_1", F.explode("_other").alias("_c")).select(
+        pairs = codes.received(dealt, "item_1", *keys, "rating_1").select(
             "item_1", *keys, "rating_1", codes.item(F.col("_c")).alias("item_2"), codes.rating(F.col("_c")).alias("rating_2"))
         return _pair_sums(pairs.where(F.col("item_1") != F.col("item_2")), "item_1", *keys, "item_2")
 
     whole = copies.join(_hinted(salts.select("item_1"), items), "item_1", "left_anti") if items else copies
-    sums = added_up(whole.select("item_1", "rating_1", "_other").repartition(tasks(made - often), "item_1"))
+    sums = added_up(whole.select("item_1", "rating_1", *codes.names).repartition(tasks(made - often), "item_1"))
     if not items:
         return sums
     n = tasks(often)
     parts = (copies.join(_hinted(salts.select("item_1", "_salts"), items), "item_1")
-             .select("item_1", "rating_1", "_other", F.pmod(F.xxhash64("_u"), F.col("_salts")).cast("int").alias("_salt")))
+             .select("item_1", "rating_1", *codes.names, F.pmod(F.xxhash64("_u"), F.col("_salts")).cast("int").alias("_salt")))
     parts = (added_up(parts.repartition(n, "item_1", "_salt"), "_salt").repartition(n, "item_1", "item_2").groupBy("item_1", "item_2")
              .agg(*[F.sum(c).alias(c) for c in ("numerator", "sum_xx", "sum_yy", "num_pairs", "num_rows")]))
     return sums.unionByName(parts)

@@ -127,10 +127,10 @@ def test_sums_of_a_pair_are_not_shuffled(spark):
 
 @pytest.mark.parametrize("orientation", ["asc", "desc"])
 @pytest.mark.parametrize("kind,item,rating", [
-    ("smallint", lambda i: i - 5, lambda r: r - 2), ("int", lambda i: i * 90_001 - 7, lambda r: 90 * r), ("bigint", lambda i: i << 40, lambda r: r - 4),
+    ("smallint", lambda i: i - 5, lambda r: r - 2), ("int", lambda i: i * 1_001 - 9, lambda r: r), ("int", lambda i: i * 69_000, lambda r: r), ("int", lambda i: i * 90_001 - 7, lambda r: 90 * r), ("bigint", lambda i: i << 40, lambda r: r - 4),
     (None, lambda i: (i - 8) << 59, lambda r: r << 2), (None, lambda i: f"i{i}", lambda r: r), (None, lambda i: i, lambda r: r / 4)])
 def test_lists_hold_any_item_and_rating(spark, kind, item, rating, orientation):
-    """Codes of every width, and structs: users of one and of several slices, repeats, NULL ratings, hot items."""
+    """Codes of every width, in one array and in two (17 and 24 bits), and structs: users of one and of several slices, repeats, NULL ratings, hot items."""
     rng = random.Random(2)
     data = [(u, item(rng.randint(0, 15)), None if rng.random() < 0.1 else rating(rng.randint(0, 5))) for u in range(30) for _ in range(rng.randint(1, 12))]
     types = {str: "STRING", int: "BIGINT", float: "DOUBLE"}
